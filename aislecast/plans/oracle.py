@@ -68,7 +68,7 @@ CTES: dict[str, str] = {
   SELECT r_name AS store_id, p_brand AS sku, l_shipdate AS ts,
     CASE WHEN l_orderkey % 200 <> 0 THEN l_quantity::INTEGER END AS qty_sold,
     CASE WHEN l_orderkey % 200 <> 1
-      THEN round(l_extendedprice / l_quantity, 2)::DECIMAL(18, 2) END AS price,
+      THEN {r("l_extendedprice / l_quantity", 2)}::DECIMAL(18, 2) END AS price,
     CASE WHEN l_linestatus = 'O' THEN 'online' ELSE 'in-store' END AS channel {LINES}""",
     "iot_raw": f"""
   SELECT r_name AS store_id, p_brand AS sku, l_shipdate AS ts,

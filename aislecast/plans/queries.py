@@ -63,10 +63,6 @@ def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     return df.withColumns({c: round_even(F.col(c), digits) for c in columns})
 
 
-def sums(columns: str) -> str:
-    return f"SELECT {columns}"
-
-
 # --- A: sources ---------------------------------------------------------------
 
 
@@ -198,10 +194,6 @@ def b4(t: Tables) -> DataFrame:
     return rounded(out, 2, "shelf")
 
 
-ENRICHED_SQL = """
-SELECT c.store_id, c.sku, c.date,
-  coalesce((SELECT 1.0 WHERE EXISTS (SELECT 1)), 1.0) AS one FROM curated c"""
-
 CO_STOCK_SQL = """
   SELECT a.store_id, a.sku, least(greatest(CASE WHEN count(n.dst) > 0
       THEN sum(coalesce(p.active_days, 0))::DOUBLE / count(n.dst)
@@ -231,7 +223,6 @@ LEFT JOIN (SELECT DISTINCT p.store_id, p.date, n.src AS sku FROM prev_shelf p
 
 
 CUTOFF = "2000-12-31"
-DEFAULT_CO_STOCK = "graph_co_stock_freq"
 
 
 @query(
@@ -844,7 +835,7 @@ def e7(t: Tables) -> DataFrame:
 
 @query(
     "e8_conditional_counts",
-    "SELECT count(*) AS total, count_if(NOT acked) AS open_count, count_if(acked) AS acknowledged_count "
+    "SELECT count(*) AS total, count(*) FILTER (NOT acked) AS open_count, count(*) FILTER (acked) AS acknowledged_count "
     f"FROM ({ACKED_SQL})",
 )
 def e8(t: Tables) -> DataFrame:
@@ -1026,19 +1017,18 @@ def e23(t: Tables) -> DataFrame:
 
 @query(
     "e24_date_quantile",
-    "SELECT store_id, quantile_cont((date - DATE '1970-01-01')::DOUBLE, 0.8) AS day FROM daily GROUP BY store_id",
+    f"SELECT store_id, {r("quantile_cont((date - DATE '1970-01-01')::DOUBLE, 0.8)", 4)} AS day "
+    "FROM daily GROUP BY store_id",
 )
 def e24(t: Tables) -> DataFrame:
     daily = curate.daily_sales_filled(t.sales)
-    return daily.groupBy("store_id").agg(F.percentile(F.unix_date("date"), 0.8).alias("day"))
-
-
-RECALL_SQL = SQL["j5_scenario_coverage"]
+    out = daily.groupBy("store_id").agg(F.percentile(F.unix_date("date"), 0.8).alias("day"))
+    return rounded(out, 4, "day")
 
 
 @query(
     "e25_scenario_recall",
-    """SELECT count(*) AS scenarios, count_if(n > 0) AS found, count_if(n > 0) * 100.0::DOUBLE / count(*) AS recall_pct
+    """SELECT count(*) AS scenarios, count(*) FILTER (n > 0) AS found, count(*) FILTER (n > 0) * 100.0::DOUBLE / count(*) AS recall_pct
 FROM (SELECT w.store_id, w.sku, w.type, count(a.date) AS n FROM truth w LEFT JOIN anomalies a
   ON a.store_id = w.store_id AND a.sku = w.sku AND a.anomaly_type = w.type
   AND a.date BETWEEN w.start_date AND w.end_date GROUP BY ALL)""",
@@ -1295,10 +1285,14 @@ def i8(t: Tables) -> DataFrame:
     """SELECT o_orderkey, CASE WHEN cents >= 10000000 THEN '₹' || printf('%.2f', cents / 10000000) || ' Cr'
   WHEN cents >= 100000 THEN '₹' || printf('%.2f', cents / 100000) || ' Lakhs'
   ELSE '₹' || format('{:,}', round_even(cents, 0)::BIGINT) END AS inr
-FROM (SELECT o_orderkey, floor(o_totalprice) * 100 AS cents FROM orders)""",
+FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN floor(o_totalprice) % 100000
+  ELSE floor(o_totalprice / 1000) * 100000 END AS cents FROM orders)""",
 )
 def i9(t: Tables) -> DataFrame:
-    amount = F.floor("o_totalprice").cast("double") * 100
+    total = F.col("o_totalprice")
+    amount = F.when(F.col("o_orderkey") % 3 == 0, F.floor(total) % 100000).otherwise(
+        F.floor(total / 1000) * 100000
+    ).cast("double")
     return t.table("orders").select("o_orderkey", money.format_inr(amount).alias("inr"))
 
 
@@ -1422,19 +1416,16 @@ def k4(t: Tables) -> DataFrame:
 
 @query(
     "k5_interval",
-    f"SELECT l_orderkey, l_linenumber, l_quantity, greatest({r('l_quantity - 1.28::DOUBLE * l_tax * 100', 1)}, 0.0) "
-    f"AS lower_ci, greatest({r('l_quantity + 1.28::DOUBLE * l_tax * 100', 1)}, 0.0) AS upper_ci FROM lineitem",
+    f"SELECT l_orderkey, l_linenumber, l_quantity, "
+    f"greatest({r('l_quantity - 1.28::DOUBLE * (l_tax * 100)', 1)}, 0.0) AS lower_ci, "
+    f"greatest({r('l_quantity + 1.28::DOUBLE * (l_tax * 100)', 1)}, 0.0) AS upper_ci FROM lineitem",
 )
 def k5(t: Tables) -> DataFrame:
     # Any quantity with any deviation will do to check the interval rule.
-    lower, upper = interval_bounds(F.col("l_quantity"), F.col("l_tax"), 1.28)
-    del lower, upper
-    half = F.lit(1.28) * F.col("l_tax") * 100
+    lower, upper = interval_bounds(F.col("l_quantity"), F.col("l_tax") * 100)
     return t.table("lineitem").select(
-        "l_orderkey", "l_linenumber", "l_quantity",
-        F.greatest(round_even(F.col("l_quantity") - half, 1), F.lit(0.0)).alias("lower_ci"),
-        F.greatest(round_even(F.col("l_quantity") + half, 1), F.lit(0.0)).alias("upper_ci"),
-    )
+        "l_orderkey", "l_linenumber", "l_quantity", lower.alias("lower_ci"), upper.alias("upper_ci")
+    )
 
 
 def ks_sql() -> str:
@@ -1480,7 +1471,7 @@ def k6(t: Tables) -> DataFrame:
     "k7_drift_verdict",
     f"""SELECT n AS total_columns, d AS number_of_drifted_columns, d::DOUBLE / n AS share_of_drifted_columns,
   CASE WHEN d::DOUBLE / n > 0.5 THEN 'FAIL' WHEN d::DOUBLE / n > 0.2 THEN 'WARN' ELSE 'PASS' END AS verdict
-FROM (SELECT count(*) AS n, count_if({P_SQL} < 0.05) AS d FROM ({LAMBDA_SQL}))""",
+FROM (SELECT count(*) AS n, count(*) FILTER ({P_SQL} < 0.05) AS d FROM ({LAMBDA_SQL}))""",
 )
 def k7(t: Tables) -> DataFrame:
     return drift.drift_summary(drift.drift_report(t.curated, columns=DRIFTING)).drop("description")
@@ -1629,7 +1620,7 @@ def m1(t: Tables) -> DataFrame:
 
 @query(
     "m1_quality_verdict",
-    f"SELECT bool_and(passed) AS passed, count_if(NOT passed) AS failed_checks FROM ({gate_sql()})",
+    f"SELECT bool_and(passed) AS passed, count(*) FILTER (NOT passed) AS failed_checks FROM ({gate_sql()})",
 )
 def m1b(t: Tables) -> DataFrame:
     return quality.quality_verdict(quality.quality_report(t.curated)).drop("violations")
@@ -1825,8 +1816,8 @@ def o5b(t: Tables) -> DataFrame:
 
 @query(
     "o6_detection_precision",
-    """SELECT anomaly_type, count(*) AS detections, count_if(hit) AS true_detections,
-  count_if(hit) * 100.0::DOUBLE / count(*) AS precision_pct FROM (SELECT a.anomaly_type, EXISTS (SELECT 1 FROM truth w
+    """SELECT anomaly_type, count(*) AS detections, count(*) FILTER (hit) AS true_detections,
+  count(*) FILTER (hit) * 100.0::DOUBLE / count(*) AS precision_pct FROM (SELECT a.anomaly_type, EXISTS (SELECT 1 FROM truth w
     WHERE w.store_id = a.store_id AND w.sku = a.sku AND w.type = a.anomaly_type
     AND a.date BETWEEN w.start_date AND w.end_date) AS hit FROM anomalies a
   WHERE a.anomaly_type IN (SELECT type FROM truth)) GROUP BY ALL""",

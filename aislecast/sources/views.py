@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from aislecast.contracts import TRUTH
 from aislecast.functions.ids import sensor_id
+from aislecast.functions.numeric import round_even
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,7 +39,7 @@ def sale_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = F.col("l_orderkey") % 200
-    unit = F.round(F.col("l_extendedprice") / F.col("l_quantity"), 2)
+    unit = round_even(F.col("l_extendedprice") / F.col("l_quantity"), 2)
     return sale_lines(spark, sf_dir).select(
         "store_id",
         "sku",
