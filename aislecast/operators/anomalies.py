@@ -133,13 +133,22 @@ def _same_event(found: str = "a", known: str = "t") -> Column:
 
 
 def scenario_coverage(anomalies: DataFrame, truth: DataFrame) -> DataFrame:
-    """Detections per known scenario, scenarios without any included."""
-    columns = [f"t.{c}" for c in truth.columns]
+    """Detections per known scenario, scenarios without any included.
+
+    Hits are counted first: an inner join may broadcast the scenarios if they
+    are few, where an outer join from them would have to move all detections.
+    """
+    names = truth.columns
+    hits = (
+        anomalies.alias("a")
+        .join(truth.distinct().alias("t"), _same_event())
+        .groupBy(*[f"t.{c}" for c in names])
+        .agg(F.count(F.lit(1)).alias("_hits"))
+    )
     return (
-        truth.alias("t")
-        .join(anomalies.alias("a"), _same_event(), "left")
-        .groupBy(*columns)
-        .agg(F.count("a.date").alias("detections"))
+        truth.join(hits, names, "left")
+        .withColumn("detections", F.coalesce("_hits", F.lit(0)))
+        .drop("_hits")
         .withColumn("found", F.col("detections") > 0)
     )
 

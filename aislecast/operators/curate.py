@@ -9,7 +9,7 @@ from aislecast.functions.dates import with_event_date
 from aislecast.functions.ids import sensor_id
 from aislecast.functions.numeric import round_even
 from aislecast.operators.fill import DEFAULT_PRICE, missing_price_fills
-from aislecast.session import shuffle_partitions, stage
+from aislecast.session import shuffle_partitions, stage, stage_by
 
 SERIES = ["store_id", "sku"]
 KEYS = ["store_id", "sku", "date"]
@@ -132,7 +132,11 @@ def series_of(daily: DataFrame, pairs: str = "all") -> DataFrame:
     if pairs == "observed":
         return daily.select(*SERIES).distinct()
     stores = daily.agg(F.collect_set("store_id").alias("stores"))
-    return daily.select("sku").distinct().select(F.explode(stores.scalar()).alias("store_id"), "sku")
+    # A few distinct products would end up in one task; spread them before
+    # each becomes a row per store.
+    products = daily.select("sku").distinct()
+    spread = products.repartition(shuffle_partitions(daily.sparkSession), "sku")
+    return spread.select(F.explode(stores.scalar()).alias("store_id"), "sku")
 
 
 def opening_prices(
@@ -274,6 +278,11 @@ def curate(
     return densify(daily, shelf, sentiment, **rules)
 
 
+def stage_curated(curated: DataFrame, name: str = "curated") -> DataFrame:
+    """Store the dense table, or one made from it, bucketed by series."""
+    return stage_by(curated, name, SERIES, KEYS)
+
+
 def replay_sales(sales: DataFrame) -> DataFrame:
     """Sales rows as point-of-sale events, with the replay's defaults."""
     return sales.select(

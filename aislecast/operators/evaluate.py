@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aislecast.operators.baseline import smoothed_paths
-from aislecast.operators.curate import KEYS
+from aislecast.operators.curate import KEYS, stage_curated
 from aislecast.operators.features import (
     build_features,
     feature_columns,
@@ -101,7 +101,7 @@ def backtest(
     )
 
     columns = feature_columns(curated, graph)
-    features = stage(build_features(curated), "backtest-features")
+    features = stage_curated(build_features(curated), "backtest-features")
     complete = features.na.drop(subset=columns)
     split = train.agg(F.max("date").alias("d")).scalar()
     fit_rows, score_rows = (

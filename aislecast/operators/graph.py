@@ -132,10 +132,10 @@ def substitutes(product_nodes: DataFrame, tolerance: float = PRICE_TOLERANCE) ->
 
 
 def neighbours(edges: DataFrame) -> DataFrame:
-    """Edges in both directions, each once."""
-    there = edges.select("src", "dst")
-    back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-    return there.unionByName(back).distinct()
+    """Edges in both directions, each once, from one pass over the edges."""
+    there = F.struct(F.col("src"), F.col("dst"))
+    back = F.struct(F.col("dst").alias("src"), F.col("src").alias("dst"))
+    return edges.select(F.inline(F.array(there, back))).distinct()
 
 
 def graph_summary(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aislecast.operators.anomalies import detect_anomalies
-from aislecast.operators.curate import curate
+from aislecast.operators.curate import curate, stage_curated
 from aislecast.operators.evaluate import Backtest, backtest, error_metrics
 from aislecast.operators.features import build_features, feature_columns
 from aislecast.operators.forecast import (
@@ -44,7 +44,7 @@ def train_and_forecast(
 ) -> tuple[DataFrame, DataFrame]:
     """Forecasts, and the validation errors whose RMSE sets their interval."""
     columns = feature_columns(curated, graph)
-    features = stage(build_features(curated), "features")
+    features = stage_curated(build_features(curated), "features")
     train, valid = training_split(features, columns)
     model = train_demand_model(train, columns, trees, path=model_path)
     scored = predict(model, valid, columns)
@@ -71,7 +71,7 @@ def run_pipeline(
     A failed sync does not lose the run: its message is part of the result.
     """
     spark = sales.sparkSession
-    curated = stage(curate(sales, readings, sentiment), "curated")
+    curated = stage_curated(curate(sales, readings, sentiment))
     quality = quality_gate(curated, fail_on_error)
     forecasts, validation = train_and_forecast(curated, horizon, trees)
     forecasts = stage(forecasts, "forecasts")
@@ -115,7 +115,7 @@ def refresh(
         "iot_records_ingested": 0 if readings is None else readings.count(),
     }
     if transform:
-        curated = stage(curate(sales, readings, sentiment), "curated")
+        curated = stage_curated(curate(sales, readings, sentiment))
         synced = sync_warehouse(spark, {"curated_sales_daily": curated}, database)
         counts["curated_records"] = synced["curated_sales_daily"]
     return spark.range(1).select(

@@ -561,7 +561,7 @@ def p19(t: Tables) -> DataFrame:
 
 @query("p20_product_price", "SELECT sku, avg_price, price_band FROM products")
 def p20(t: Tables) -> DataFrame:
-    return t.products.select("sku", "avg_price", "price_band")
+    return graph.products(t.curated, "#").select("sku", "avg_price", "price_band")
 
 
 @query(
@@ -678,7 +678,7 @@ def j6b(t: Tables) -> DataFrame:
 
 @query("j7_neighbours", "SELECT src, dst FROM neighbours")
 def j7(t: Tables) -> DataFrame:
-    return t.neighbours
+    return graph.neighbours(t.substitutes)
 
 
 @query(
@@ -1524,7 +1524,7 @@ def k13(t: Tables) -> DataFrame:
 
 @query("l1_products", "SELECT * FROM products")
 def l1(t: Tables) -> DataFrame:
-    return t.products
+    return graph.products(t.curated, "#")
 
 
 @query("l2_stores", "SELECT * FROM stores")

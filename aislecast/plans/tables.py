@@ -58,7 +58,7 @@ class Tables:
 
     @cached_property
     def curated(self) -> DataFrame:
-        return stage(curate.curate(self.sales, self.iot, self.sentiment), "curated")
+        return curate.stage_curated(curate.curate(self.sales, self.iot, self.sentiment))
 
     @cached_property
     def anomalies(self) -> DataFrame:
@@ -70,11 +70,11 @@ class Tables:
 
     @cached_property
     def features(self) -> DataFrame:
-        return stage(features.build_features(self.curated), "features")
+        return curate.stage_curated(features.build_features(self.curated), "features")
 
-    @property
+    @cached_property
     def products(self) -> DataFrame:
-        return graph.products(self.curated, "#")
+        return stage(graph.products(self.curated, "#"), "products")
 
     @property
     def stores(self) -> DataFrame:
@@ -88,9 +88,9 @@ class Tables:
     def substitutes(self) -> DataFrame:
         return graph.substitutes(self.products)
 
-    @property
+    @cached_property
     def neighbours(self) -> DataFrame:
-        return graph.neighbours(self.substitutes)
+        return stage(graph.neighbours(self.substitutes), "neighbours")
 
     @property
     def categories(self) -> DataFrame:

@@ -59,5 +59,27 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_by(df: DataFrame, name: str, keys: list[str], order: list[str]) -> DataFrame:
+    """As :func:`stage`, hash-bucketed by the keys and sorted inside buckets.
+
+    Windows and aggregations by the keys then run on the stored partitioning,
+    without moving the rows again. There are as many buckets as shuffle
+    partitions, so rows that arrive partitioned by the keys give one file each.
+    """
+    spark = df.sparkSession
+    path = stage_path(spark, name)
+    database = "aislecast_stage"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{shared_dir(spark)}/{database}'")
+    table = f"{database}.{path.rsplit('/', 1)[1].replace('-', '_')}"
+    (
+        df.write.format("parquet")
+        .option("path", path)
+        .bucketBy(shuffle_partitions(spark), *keys)
+        .sortBy(*order)
+        .saveAsTable(table)
+    )
+    return spark.table(table)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -7,10 +7,10 @@ from __future__ import annotations
 
 import sys
 import time
-from collections import Counter
 from pathlib import Path
 
 import duckdb
+import pyarrow as pa
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
@@ -27,45 +27,45 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def plain(value):
-    if isinstance(value, float) and value == 0.0:
-        return 0.0
-    if hasattr(value, "item"):
-        return value.item()
-    return value
-
-
-def multiset(columns, rows) -> Counter:
-    order = sorted(range(len(columns)), key=lambda i: columns[i])
-    return Counter(tuple(repr(plain(row[i])) for i in order) for row in rows)
-
-
-def spark_rows(df):
-    table = df.toArrow()
-    return table.column_names, list(zip(*[c.to_pylist() for c in table.columns])) if table.num_columns else []
+def kind(field: pa.Field) -> str:
+    """Type class: values of one class print alike."""
+    t = field.type
+    tests = {
+        "int": pa.types.is_integer,
+        "float": pa.types.is_floating,
+        "decimal": pa.types.is_decimal,
+        "bool": pa.types.is_boolean,
+        "date": pa.types.is_date,
+        "time": pa.types.is_timestamp,
+    }
+    return next((name for name, test in tests.items() if test(t)), str(t).replace("large_", ""))
 
 
 def difference(df, con, sql: str) -> str | None:
     """None if equal, else a short description."""
-    names, rows = spark_rows(df)
-    cursor = con.execute(sql)
-    expected_names = [d[0] for d in cursor.description]
-    expected = cursor.to_arrow_table()
-    types = {f.name: str(f.type) for f in expected.schema}
-    wide = [n for n, kind in types.items() if "decimal" in kind]
-    expected_rows = list(zip(*[c.to_pylist() for c in expected.columns]))
-    if sorted(names) != sorted(expected_names):
-        return f"columns {sorted(names)} / {sorted(expected_names)}"
-    if len(rows) != len(expected_rows):
-        return f"rows {len(rows)} / {len(expected_rows)}"
-    a, b = multiset(names, rows), multiset(expected_names, expected_rows)
-    if a != b:
-        only_a, only_b = a - b, b - a
+    got = df.toArrow()
+    expected = con.execute(sql).to_arrow_table()
+    names = sorted(got.column_names)
+    if names != sorted(expected.column_names):
+        return f"columns {names} / {sorted(expected.column_names)}"
+    kinds = {f.name: kind(f) for f in got.schema}
+    wrong = [f.name for f in expected.schema if kind(f) != kinds[f.name]]
+    if wrong:
+        return f"types of {wrong}: {got.schema} / {expected.schema}"
+    if got.num_rows != expected.num_rows:
+        return f"rows {got.num_rows} / {expected.num_rows}"
+    con.register("_got", got.select(names))
+    con.register("_expected", expected.select(names))
+    only_got = con.sql("SELECT * FROM _got EXCEPT ALL SELECT * FROM _expected").fetchall()
+    only_expected = con.sql("SELECT * FROM _expected EXCEPT ALL SELECT * FROM _got").fetchall()
+    con.unregister("_got")
+    con.unregister("_expected")
+    if only_got or only_expected:
         return (
-            f"{sum(only_a.values())} of {len(rows)} rows differ {sorted(names)}: "
-            f"{str(next(iter(only_a)))[:300]} / {str(next(iter(only_b)))[:300]}"
+            f"{len(only_got)} of {got.num_rows} rows differ {names}: "
+            f"{str(only_got[:2])[:400]} / {str(only_expected[:2])[:400]}"
         )
-    return f"decimal columns {wide}" if wide else None
+    return None
 
 
 def main() -> int:
