@@ -18,9 +18,13 @@ def suffix_number(ident: Column, delimiter: str = "_") -> Column:
 
 def name_by_suffix(ident: Column, names: Sequence[str], default: str, delimiter: str = "_") -> Column:
     """Pick a name by suffix modulo the list length, else the default."""
-    listed = F.array(*[F.lit(n) for n in names])
-    slot = F.pmod(suffix_number(ident, delimiter), F.lit(len(names))) + 1
-    return F.coalesce(F.element_at(listed, slot.cast("int")), F.lit(default))
+    slot = F.pmod(suffix_number(ident, delimiter), F.lit(len(names)))
+    # A chain of equalities, because element_at with a missing index does not
+    # reliably give a missing value for constant arrays.
+    picked = F.when(slot.isNull(), F.lit(default))
+    for i, name in enumerate(names):
+        picked = picked.when(slot == i, F.lit(name))
+    return picked
 
 
 def sensor_id(store: Column, sku: Column) -> Column:

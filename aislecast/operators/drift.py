@@ -53,6 +53,18 @@ def cut_points(df: DataFrame, columns: Sequence[str], cuts: int = CUTS) -> dict[
     return {c: sorted(set(row[c] or [])) for c in columns}
 
 
+def points_below(points: list[float], step: int = 16) -> Column:
+    """How many of the sorted points lie below the value: first among every
+    sixteenth point, then inside the step."""
+
+    def below(listed: Column) -> Column:
+        return F.size(F.filter(listed, lambda p: p < F.col("value")))
+
+    coarse = points[step - 1 :: step]
+    steps = below(F.lit(coarse)) if coarse else F.lit(0)
+    return steps * step + below(F.slice(F.lit(points), steps * step + 1, step))
+
+
 def largest_gap(counts: DataFrame, cuts: dict[str, list[float]]) -> DataFrame:
     """The largest distance of the two cumulative shares per feature.
 
@@ -63,8 +75,7 @@ def largest_gap(counts: DataFrame, cuts: dict[str, list[float]]) -> DataFrame:
     slot = F.lit(0)
     for feature, points in cuts.items():
         if points:
-            below = F.filter(F.lit(points), lambda p: p < F.col("value"))
-            slot = F.when(F.col("feature") == feature, F.size(below)).otherwise(slot)
+            slot = F.when(F.col("feature") == feature, points_below(points)).otherwise(slot)
     ranged = counts.withColumn("_range", slot)
     before = (
         Window.partitionBy("feature").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
