@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from aislecast.contracts import POS_EVENT, SHELF_EVENT
 from aislecast.functions.dates import event_day
 from aislecast.sources.readers import parse_events
+from aislecast.sources.writers import gather_days, write_by_date
 
 # Topics, and the raw-zone tables they land in.
 TOPICS = {"pos-events": "sales_events", "iot-stock-events": "iot_stock_events"}
@@ -112,7 +113,7 @@ class Landing:
         landed = landed_rows(spark, self.path(stream), schema, without=name)
         fresh = not_landed(rows, landed, [*keys, "date"])
         (
-            fresh.hint("rebalance", "date")
+            gather_days(fresh)
             .write.option("partitionOverwriteMode", "static")
             .partitionBy("date")
             .mode("overwrite")
@@ -175,11 +176,4 @@ def bounded_dedupe(events: DataFrame, ts: str, keys: Sequence[str], lateness: st
 
 def refresh_days(daily_rollup, raw: DataFrame, days: Sequence, path: str) -> None:
     """Recompute the daily roll-up of the given days and replace only those."""
-    changed = daily_rollup(raw.filter(F.col("date").isin(list(days))))
-    (
-        changed.hint("rebalance", "date")
-        .write.option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date")
-        .mode("overwrite")
-        .parquet(path)
-    )
+    write_by_date(daily_rollup(raw.filter(F.col("date").isin(list(days)))), path)
