@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from aislecast import contracts
 from aislecast.functions import dates, ids, money
-from aislecast.functions.numeric import interval_bounds, round_even
+from aislecast.functions.numeric import at_least_zero, interval_bounds, round_even, unit_interval
 from aislecast.functions.text import lexicon_score, tokens, truncate
 from aislecast.operators import (
     anomalies as an,
@@ -564,6 +564,23 @@ def p20(t: Tables) -> DataFrame:
     return graph.products(t.curated, "#").select("sku", "avg_price", "price_band")
 
 
+@query(
+    "p21_route_by_topic",
+    "SELECT event_type AS topic, count(*) AS rows, sum(event_id)::BIGINT AS ids FROM events "
+    "WHERE event_type IN ('purchase', 'view') GROUP BY event_type",
+)
+def p21(t: Tables) -> DataFrame:
+    messages = writers.keyed_json(t.table("events").select("event_id", "event_type"), "event_type")
+    routes = landing.route(messages.withColumnRenamed("key", "topic"), ["purchase", "view"])
+    out = None
+    for topic, mine in routes.items():
+        event_id = F.get_json_object("value", "$.event_id").cast("long")
+        part = mine.agg(F.count(F.lit(1)).alias("rows"), F.sum(event_id).alias("ids"))
+        part = part.select(F.lit(topic).alias("topic"), "rows", "ids")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query(
     "p22_event_day",
     "SELECT event_id, strftime(ts, '%Y-%m-%d') AS day FROM events",
@@ -728,6 +745,19 @@ def j12(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "j13_constant_fallback",
+    "SELECT store_id, sku, date, qty_sold, 10.0::DOUBLE AS baseline_pred, 10.0::DOUBLE AS champion_pred FROM naive",
+)
+def j13(t: Tables) -> DataFrame:
+    # Predictions moved out of the test window match no day at all.
+    test = t.naive.select(*KEYS, "qty_sold")
+    moved = t.naive.withColumn("date", F.date_add("date", 1000))
+    return evaluate.match_or_default(
+        test, moved.select(*KEYS, "baseline_pred"), moved.select(*KEYS, "champion_pred")
+    )
+
+
 @query(
     "j14_category_codes",
     "SELECT sku, dense_rank() OVER (ORDER BY sku) - 1 AS sku_encoded, rows FROM "
@@ -971,6 +1001,20 @@ def e18(t: Tables) -> DataFrame:
     return rounded(rounded(rounded(out, 2, "total_revenue"), 1, "projected_demand"), 6, "wape_accuracy")
 
 
+@query(
+    "e19_fill_value",
+    f"SELECT sku, {r('rolling_mean', 6)} AS fill, count(*) AS rows FROM demand "
+    "WHERE date < (SELECT min(date) + 3 FROM curated) GROUP BY ALL",
+)
+def e19(t: Tables) -> DataFrame:
+    """Days without enough past take the mean of all days."""
+    first = t.curated.agg(F.date_add(F.min("date"), 3).alias("d")).scalar()
+    early = an.with_demand_scores(t.curated).filter(F.col("date") < first)
+    return early.groupBy("sku", round_even(F.col("rolling_mean"), 6).alias("fill")).agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+
+
 @query(
     "e20_residual_sigma",
     f"SELECT store_id, sku, {r('stddev_pop(qty_sold - champion_pred)', 4)} AS sigma FROM naive GROUP BY ALL",
@@ -1072,22 +1116,41 @@ def f3(t: Tables) -> DataFrame:
     return features.with_lags(t.curated.select(*KEYS, "qty_sold")).drop("qty_sold")
 
 
-@query("f4_rolling", f"SELECT store_id, sku, date, {ROLL_SQL} FROM (SELECT *, {ROLLED} FROM curated)")
+def rolling_sql(stat: str) -> str:
+    names = ", ".join(f"rolling_{stat}_{w}" for w in features.WINDOWS)
+    return f"SELECT store_id, sku, date, {names} FROM (SELECT store_id, sku, date, {ROLL_SQL} FROM (SELECT *, {ROLLED} FROM curated))"
+
+
+def rolling(t: Tables, stat: str) -> DataFrame:
+    names = [f"rolling_{stat}_{w}" for w in features.WINDOWS]
+    out = features.with_rolling(t.curated.select(*KEYS, "qty_sold"))
+    return rounded(out.select(*KEYS, *names), 4, *names)
+
+
+@query("f4_rolling_mean", rolling_sql("mean"))
 def f4(t: Tables) -> DataFrame:
-    out = features.with_rolling(t.curated.select(*KEYS, "qty_sold")).drop("qty_sold")
-    return rounded(out, 4, *ROLLING_NAMES)
+    return rolling(t, "mean")
 
 
-DEMAND = f"""store_id, sku, date, {r('rolling_mean', 4)} AS rolling_mean, {r('rolling_std', 4)} AS rolling_std,
-  {r('z_score', 4)} AS z_score"""
+@query("f5_rolling_std", rolling_sql("std"))
+def f5(t: Tables) -> DataFrame:
+    return rolling(t, "std")
 
 
-@query("f6_demand_scores", f"SELECT {DEMAND} FROM demand")
+@query(
+    "f6_demand_window",
+    f"SELECT store_id, sku, date, {r('rolling_mean', 4)} AS rolling_mean, {r('rolling_std', 4)} AS rolling_std FROM demand",
+)
 def f6(t: Tables) -> DataFrame:
-    names = ["rolling_mean", "rolling_std", "z_score"]
+    names = ["rolling_mean", "rolling_std"]
     return rounded(an.with_demand_scores(t.curated).select(*KEYS, *names), 4, *names)
 
 
+@query("f7_z_score", f"SELECT store_id, sku, date, {r('z_score', 4)} AS z_score FROM demand")
+def f7(t: Tables) -> DataFrame:
+    return rounded(an.with_demand_scores(t.curated).select(*KEYS, "z_score"), 4, "z_score")
+
+
 @query("f8_previous_shelf", "SELECT store_id, sku, date, prev AS prev_day_shelf FROM prev_shelf")
 def f8(t: Tables) -> DataFrame:
     return graph.with_previous_shelf(t.curated).select(*KEYS, "prev_day_shelf")
@@ -1246,6 +1309,18 @@ def i3(t: Tables) -> DataFrame:
     return t.table("documents").select("doc_id", round_even(score, 6).alias("score"))
 
 
+@query(
+    "i4_date_prefix",
+    "SELECT o_orderkey, substr(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), 1, 10) AS day, "
+    "split_part(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), ' ', 1) AS first FROM orders",
+)
+def i4(t: Tables) -> DataFrame:
+    ts = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+    return t.table("orders").select(
+        "o_orderkey", dates.event_day(ts).alias("day"), F.substring_index(ts, " ", 1).alias("first")
+    )
+
+
 @query(
     "i5_id_suffix",
     "SELECT c_custkey, TRY_CAST(list_extract(string_split(c_name, '#'), -1) AS INTEGER) AS suffix, "
@@ -1333,6 +1408,22 @@ def i12(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "i13_clamps",
+    "SELECT c_custkey, greatest(c_acctbal, 0.0) AS floored, least(greatest(c_acctbal / 1000, 0.0), 1.0) AS clipped, "
+    "sqrt(abs(c_acctbal)) AS root, ((c_custkey - 700) % 7 + 7) % 7 AS slot FROM customer",
+)
+def i13(t: Tables) -> DataFrame:
+    balance = F.col("c_acctbal")
+    return t.table("customer").select(
+        "c_custkey",
+        at_least_zero(balance).alias("floored"),
+        unit_interval(balance / 1000).alias("clipped"),
+        F.sqrt(F.abs(balance)).alias("root"),
+        F.pmod(F.col("c_custkey") - 700, F.lit(7)).alias("slot"),
+    )
+
+
 @query(
     "i14_round_even",
     ", ".join([f"SELECT l_orderkey, l_linenumber, {r('l_extendedprice / 8', 2)} AS a", r("l_discount * 5", 1) + " AS b"])
@@ -1355,6 +1446,20 @@ def i15(t: Tables) -> DataFrame:
     return t.table("events").select("event_id", parsed["k"].alias("k"))
 
 
+@query(
+    "i16_missing_cells",
+    "SELECT store_id, sku, ts, coalesce(qty_sold, 0)::INTEGER AS qty_sold, coalesce(price::DOUBLE, 10.0) AS price, "
+    "qty_sold IS NOT NULL AND price IS NOT NULL AS complete FROM sales_raw",
+)
+def i16(t: Tables) -> DataFrame:
+    return t.sales.select(
+        "store_id", "sku", "ts",
+        F.coalesce("qty_sold", F.lit(0)).alias("qty_sold"),
+        F.coalesce(F.col("price").cast("double"), F.lit(fill.DEFAULT_PRICE)).alias("price"),
+        (F.col("qty_sold").isNotNull() & F.col("price").isNotNull()).alias("complete"),
+    )
+
+
 HISTORY_SQL = """SELECT store_id, sku, list(qty_sold::DOUBLE ORDER BY date) AS h FROM (SELECT *,
   row_number() OVER (PARTITION BY store_id, sku ORDER BY date DESC) AS k FROM curated) WHERE k <= 28 GROUP BY ALL"""
 TAILS = [*[f"qty_lag_{k}" for k in features.LAGS], *ROLLING_NAMES]
@@ -1860,7 +1965,9 @@ def s1(t: Tables) -> DataFrame:
     land = landing.Landing(f"{folder}/zone", {"events": EVENTS})
     for _ in range(2):
         writers.write_buffer(events, f"{folder}/buffer", "events")
-        source = readers.stream_buffer(t.spark, f"{folder}/buffer/events", "*.json", EVENTS, arrays=False)
+        source = readers.stream_buffer(
+            t.spark, f"{folder}/buffer/events", "*.json", EVENTS, arrays=False, max_files=1000
+        )
         landing.drain(source, land.one("events"), f"{folder}/checkpoint")
     return land.read(t.spark, "events")
 
@@ -1886,6 +1993,71 @@ def s2(t: Tables) -> DataFrame:
     return quality.landing_counts({s: land.read(t.spark, s) for s in landing.SCHEMAS})
 
 
+def event_rows(t: Tables) -> DataFrame:
+    return t.table("events").select(
+        "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "event_type", "value"
+    )
+
+
+@query(
+    "s3_late_events",
+    "SELECT ts::DATE AS date, count(*) AS rows, sum(event_id)::BIGINT AS ids FROM events GROUP BY 1",
+)
+def s3(t: Tables) -> DataFrame:
+    """Even ids land first, all ids after them: each day takes its late rows."""
+    land = landing.Landing(stage_path(t.spark, "late"), {"events": EVENTS})
+    events = event_rows(t)
+    land.land(events.filter("event_id % 2 = 0"), "events", 0)
+    land.land(events, "events", 1)
+    return land.read(t.spark, "events").groupBy("date").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("event_id").alias("ids")
+    )
+
+
+@query(
+    "s4_repeated_batch",
+    "SELECT event_type, count(*) AS rows, sum(event_id)::BIGINT AS ids FROM events GROUP BY 1",
+)
+def s4(t: Tables) -> DataFrame:
+    """A batch that runs again, as after a lost driver, lands the same rows."""
+    land = landing.Landing(stage_path(t.spark, "repeated"), {"events": EVENTS})
+    for _ in range(2):
+        land.land(event_rows(t), "events", 0)
+    return land.read(t.spark, "events").groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("event_id").alias("ids")
+    )
+
+
+@query(
+    "s6_replay",
+    "SELECT store_id AS key, count(*) AS pos_sent, count(*) AS iot_sent FROM sales_raw GROUP BY store_id",
+)
+def s6(t: Tables) -> DataFrame:
+    """Both event kinds of every sale, keyed by store."""
+    def sent(events: DataFrame, name: str) -> DataFrame:
+        return writers.keyed_json(events).groupBy("key").agg(F.count("value").alias(name))
+
+    return sent(curate.replay_sales(t.sales), "pos_sent").join(
+        sent(curate.replay_shelf(t.sales), "iot_sent"), "key"
+    )
+
+
+@query(
+    "s7_event_contract",
+    "SELECT event_id % 10 = 0 AS corrupt, count(*) AS rows FROM events GROUP BY 1",
+)
+def s7(t: Tables) -> DataFrame:
+    """Every tenth message has a text where a number belongs."""
+    bad = F.col("event_id") % 10 == 0
+    value = F.when(bad, F.lit('{"event_id": "ten"}')).otherwise(
+        F.to_json(F.struct("event_id", "event_type", "value"))
+    )
+    parsed = readers.parse_events(t.table("events").select(value.alias("value")), EVENTS)
+    return parsed.groupBy(F.col("_corrupt_record").isNotNull().alias("corrupt")).agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+
+
 @query(
     "s8_refresh_days",
     f"SELECT store_id, sku, date, qty_sold, {r('revenue', 2)} AS revenue FROM daily WHERE month(date) = 6",

@@ -11,7 +11,7 @@ queries apart.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,6 +56,11 @@ def landed_rows(
     return rows.drop("batch")
 
 
+def route(messages: DataFrame, topics: Iterable[str]) -> dict[str, DataFrame]:
+    """The messages of each topic; other topics are left out."""
+    return {topic: messages.filter(F.col("topic") == topic) for topic in topics}
+
+
 def not_landed(new: DataFrame, landed: DataFrame | None, keys: Sequence[str]) -> DataFrame:
     """Distinct new rows that are not there yet. Missing values are equal."""
     fresh = new.dropDuplicates(list(keys))
@@ -138,8 +143,8 @@ class Landing:
         def run(messages: DataFrame, batch: int) -> None:
             messages.persist()
             try:
-                for topic, stream in topics.items():
-                    mine = messages.filter(F.col("topic") == topic)
+                for topic, mine in route(messages, topics).items():
+                    stream = topics[topic]
                     self.land(parse_events(mine, self.schemas[stream]), stream, batch)
             finally:
                 messages.unpersist()

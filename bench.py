@@ -43,7 +43,7 @@ def main() -> None:
         "k12_review_scores",
         "e11_sentiment_by_sku",
         "k1_features",
-        "f6_demand_scores",
+        "f7_z_score",
         "k10_anomalies",
         "j8_category_peers",
         "j9_substitute_available",
