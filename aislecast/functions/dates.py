@@ -37,3 +37,11 @@ def with_event_date(df: DataFrame, ts: str = "ts", out: str = "date") -> DataFra
     if isinstance(df.schema[ts].dataType, T.StringType):
         col = lenient_timestamp(col)
     return df.withColumn(out, F.to_date(col))
+
+
+def present(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows with all the columns present. Plain null tests, unlike ``na.drop``,
+    reach the parquet scan and are known to joins above."""
+    for c in columns:
+        df = df.filter(F.col(c).isNotNull())
+    return df

@@ -10,6 +10,7 @@ from aislecast.functions.numeric import round_even
 from aislecast.operators.curate import KEYS, SERIES
 from aislecast.operators.features import rolling_mean, rolling_moments, rolling_std
 from aislecast.operators.ordering import global_position
+from aislecast.session import stage
 
 WINDOW = 14
 MIN_ROWS = 3
@@ -105,8 +106,13 @@ def flag_anomalies(curated: DataFrame, **limits) -> DataFrame:
 
 
 def detect_anomalies(curated: DataFrame, **limits) -> DataFrame:
-    """Flagged days with ids that count on in (store, product, day) order."""
-    placed = global_position(flag_anomalies(curated, **limits), out="_position")
+    """Flagged days with ids that count on in (store, product, day) order.
+
+    Numbering reads the flagged days several times, so they are stored first;
+    the dense table is scored once.
+    """
+    flagged = stage(flag_anomalies(curated, **limits), "flagged-days")
+    placed = global_position(flagged, out="_position")
     return placed.select(anomaly_id(F.col("_position")).alias("id"), *placed.columns[:-1])
 
 

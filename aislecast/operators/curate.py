@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aislecast.functions.dates import with_event_date
+from aislecast.functions.dates import present, with_event_date
 from aislecast.functions.ids import sensor_id
 from aislecast.functions.numeric import round_even
 from aislecast.operators.fill import DEFAULT_PRICE, missing_price_fills
@@ -18,13 +18,18 @@ DEFAULT_SHELF = 20.0
 
 def drop_unsold(sales: DataFrame) -> DataFrame:
     """A sale without a quantity cannot be inferred: the row goes."""
-    return sales.na.drop(subset=["qty_sold"])
+    return present(sales, "qty_sold")
 
 
 def with_line_revenue(sales: DataFrame) -> DataFrame:
     return sales.withColumn("revenue_line", F.col("qty_sold") * F.col("price"))
 
 
+def by_day(rows: DataFrame) -> DataFrame:
+    """Add the day; rows without store, product or day belong to no group."""
+    return with_event_date(present(rows, *SERIES, "ts")).filter(F.col("date").isNotNull())
+
+
 def daily_sales(sales: DataFrame) -> DataFrame:
     """Units, revenue and mean price per store, product and day.
 
@@ -32,7 +37,7 @@ def daily_sales(sales: DataFrame) -> DataFrame:
     product day costs one row per task.
     """
     return (
-        with_line_revenue(with_event_date(sales))
+        with_line_revenue(by_day(sales))
         .groupBy(*KEYS)
         .agg(
             F.sum("qty_sold").cast("long").alias("qty_sold"),
@@ -49,35 +54,35 @@ def daily_sales_filled(
 
     A fill depends on product and time alone, so rows without a price are
     reduced to (store, product, time) before they meet their fills, and priced
-    rows go to days directly. No raw row is shuffled or ordered.
+    rows go to days directly. No raw row is shuffled or ordered. Decimal
+    prices stay decimal up to the last sum, so sums are exact.
     """
-    sold = with_event_date(drop_unsold(sales))
-    fills = missing_price_fills(sold, chunk, default).withColumnRenamed("ts", "_missing_ts")
-    parts = (
-        with_line_revenue(sold)
-        .withColumn("_missing_ts", F.when(F.col("price").isNull(), F.col("ts")))
-        .groupBy(*KEYS, "_missing_ts")
+    sold = by_day(drop_unsold(sales))
+    priced = (
+        with_line_revenue(sold.filter(F.col("price").isNotNull()))
+        .groupBy(*KEYS)
         .agg(
             F.sum("qty_sold").alias("_qty"),
             F.sum("revenue_line").alias("_revenue"),
             F.sum("price").alias("_prices"),
             F.count(F.lit(1)).alias("_lines"),
-            F.count("price").alias("_priced"),
         )
     )
-    priced = parts.filter("_priced > 0")
-    # Decimal prices stay decimal up to the last sum, so sums are exact.
-    fill = F.col("fill_price")
-    missing = (
-        parts.filter("_priced = 0")
-        .join(fills, ["sku", "_missing_ts"])
-        .withColumn("_revenue", F.coalesce("_revenue", F.col("_qty") * fill))
-        .withColumn("_prices", F.coalesce("_prices", F.col("_lines") * fill))
+    unpriced = (
+        sold.filter(F.col("price").isNull())
+        .groupBy(*KEYS, "ts")
+        .agg(F.sum("qty_sold").alias("_qty"), F.count(F.lit(1)).alias("_lines"))
+        .join(missing_price_fills(sold, chunk, default), ["sku", "ts"])
+        .select(
+            *KEYS,
+            "_qty",
+            (F.col("_qty") * F.col("fill_price")).alias("_revenue"),
+            (F.col("_lines") * F.col("fill_price")).alias("_prices"),
+            "_lines",
+        )
     )
-    columns = [*KEYS, "_qty", "_revenue", "_prices", "_lines"]
     return (
-        priced.select(*columns)
-        .unionByName(missing.select(*columns))
+        priced.unionByName(unpriced)
         .groupBy(*KEYS)
         .agg(
             F.sum("_qty").cast("long").alias("qty_sold"),
@@ -90,7 +95,7 @@ def daily_sales_filled(
 def daily_shelf(readings: DataFrame) -> DataFrame:
     """Mean shelf reading per store, product and day."""
     return (
-        with_event_date(readings)
+        by_day(readings)
         .groupBy(*KEYS)
         .agg(round_even(F.avg("shelf_qty"), 2).alias("avg_shelf_qty"))
     )

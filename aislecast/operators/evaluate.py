@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aislecast.functions.dates import present
 from aislecast.operators.baseline import smoothed_paths
 from aislecast.operators.curate import KEYS, stage_curated
 from aislecast.operators.features import (
@@ -102,7 +103,7 @@ def backtest(
 
     columns = feature_columns(curated, graph)
     features = stage_curated(build_features(curated), "backtest-features")
-    complete = features.na.drop(subset=columns)
+    complete = present(features, *columns)
     split = train.agg(F.max("date").alias("d")).scalar()
     fit_rows, score_rows = (
         complete.filter(F.col("date") <= split),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aislecast.functions.dates import is_weekend, weekday
+from aislecast.functions.dates import is_weekend, present, weekday
 from aislecast.operators.curate import SERIES
 from aislecast.operators.ordering import dense_index, global_position
 
@@ -116,7 +116,7 @@ def feature_columns(df: DataFrame, graph: bool = False) -> list[str]:
 
 def complete_rows(features: DataFrame, columns: Sequence[str], min_rows: int = 0) -> DataFrame:
     """Rows with every feature; raises if fewer than ``min_rows`` remain."""
-    rows = features.na.drop(subset=list(columns))
+    rows = present(features, *columns)
     if min_rows and rows.limit(min_rows).count() < min_rows:
         raise ValueError(f"fewer than {min_rows} complete rows to train on")
     return rows

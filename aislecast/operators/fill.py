@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aislecast.functions.dates import present
+
 DEFAULT_PRICE = 10.0
 COPY_BATCH = 1_000_000
 
@@ -27,8 +29,13 @@ def missing_price_fills(
 ) -> DataFrame:
     """(sku, ts, fill_price) for each time at which a product misses a price."""
     price_type = sales.schema["price"].dataType
+    # Both uses of the reduced times look alike to the optimizer, keys being
+    # present in either, so it computes them once.
     times = (
-        sales.withColumn("_chunk", F.date_trunc(chunk, "ts").cast("timestamp_ntz"))
+        present(
+            sales.withColumn("_chunk", F.date_trunc(chunk, "ts").cast("timestamp_ntz")),
+            "sku", "ts", "_chunk",
+        )
         .groupBy("sku", "_chunk", "ts")
         .agg(
             F.min("price").alias("_low"),
@@ -74,6 +81,7 @@ def fill_prices(
     neither many copies of a row nor one hot product time lands in one task.
     """
     columns = sales.columns
+    price_type = sales.schema["price"].dataType
     fills = missing_price_fills(sales, chunk, default).withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
@@ -83,8 +91,8 @@ def fill_prices(
         .groupBy(*rest)
         .agg(F.count(F.lit(1)).alias("_copies"))
         .withColumn("_salt", F.pmod(F.xxhash64(*rest), F.lit(salts)).cast("int"))
-        .join(fills, ["sku", "ts", "_salt"])
-        .withColumnRenamed("fill_price", "price")
+        .join(fills, ["sku", "ts", "_salt"], "left")
+        .withColumn("price", F.coalesce("fill_price", F.lit(default).cast(price_type)))
     )
     # Give the copies back in batches, so many copies are written by many tasks.
     last_batch = F.floor((F.col("_copies") - 1) / COPY_BATCH)

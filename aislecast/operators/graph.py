@@ -15,6 +15,7 @@ from aislecast.functions.ids import name_by_suffix
 from aislecast.functions.numeric import round_even, unit_interval
 from aislecast.operators.curate import SERIES
 from aislecast.operators.ordering import dense_index
+from aislecast.session import stage
 
 # Names assigned by id suffix, and the supplier dimension.
 CATEGORIES = ("Beverages", "Snacks", "Dairy", "Bakery", "Household")
@@ -179,7 +180,7 @@ def co_stock_frequency(curated: DataFrame, neighbour_edges: DataFrame, cutoff=No
     A neighbour that never sold there counts as zero days, so it is enough to
     add up those that did and divide by the number of neighbours.
     """
-    active = active_days(curated, cutoff)
+    active = stage(active_days(curated, cutoff), "active-days")
     degree = neighbour_edges.groupBy("src").agg(F.count(F.lit(1)).alias("_degree"))
     sums = (
         active.join(neighbour_edges, F.col("sku") == F.col("dst"))
@@ -204,7 +205,7 @@ def co_stock_frequency_by_group(
     Group totals less the own part replace the pairs. ``groups`` has one row
     (sku, category) per product.
     """
-    active = active_days(curated, cutoff)
+    active = stage(active_days(curated, cutoff), "active-days")
     sizes = groups.groupBy("category").agg((F.count(F.lit(1)) - 1).alias("_others"))
     member = active.join(groups, "sku")
     totals = member.groupBy("store_id", "category").agg(F.sum("active_days").alias("_days"))

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aislecast.functions.dates import lenient_number, lenient_timestamp
+from aislecast.functions.dates import lenient_number, lenient_timestamp, present
 
 
 @dataclass(frozen=True)
@@ -87,7 +87,7 @@ def normalize_export(raw: DataFrame, roles: dict[str, str | None] | None = None)
         else F.lit(NO_PRICE)
     )
     stated = lenient_number(column("revenue")) if role["revenue"] else F.lit(None).cast("double")
-    return (
+    shaped = (
         raw.select(
             F.to_date(ts).alias("date"),
             ts.alias("ts"),
@@ -98,10 +98,10 @@ def normalize_export(raw: DataFrame, roles: dict[str, str | None] | None = None)
             (column("store").cast("string") if role["store"] else F.lit(NO_STORE)).alias("store_id"),
             F.lit(CHANNEL).alias("channel"),
         )
-        .na.drop(subset=["date", "sku"])
         .withColumn("revenue", F.coalesce("_stated", F.col("qty_sold") * F.col("price")))
         .drop("_stated")
     )
+    return present(shaped, "date", "sku")
 
 
 def dataset_profile(df: DataFrame) -> DataFrame:

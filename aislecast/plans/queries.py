@@ -32,7 +32,7 @@ from aislecast.operators import (
 )
 from aislecast.plans import oracle
 from aislecast.plans.oracle import r
-from aislecast.plans.tables import TREES, Tables, test_scorer
+from aislecast.plans.tables import TREES, Tables, sample_scorer
 from aislecast.session import stage, stage_path
 from aislecast.sources import readers, writers
 from aislecast.streaming import landing
@@ -310,8 +310,8 @@ def b12(t: Tables) -> DataFrame:
 @query("b15_stored_sentiment", "SELECT sku, sentiment_score FROM sentiment")
 def b15(t: Tables) -> DataFrame:
     folder = stage_path(t.spark, "sentiment")
-    sentiment.stored_sentiment(t.reviews, folder, test_scorer, "test")
-    return sentiment.stored_sentiment(t.reviews, folder, test_scorer, "test")
+    sentiment.stored_sentiment(t.reviews, folder, sample_scorer, "test")
+    return sentiment.stored_sentiment(t.reviews, folder, sample_scorer, "test")
 
 
 @query(
@@ -1607,7 +1607,7 @@ def k11(t: Tables) -> DataFrame:
 
 @query("k12_review_scores", f"SELECT sku, review_text, {r('score', 6)} AS score FROM review_scores")
 def k12(t: Tables) -> DataFrame:
-    return rounded(sentiment.score_reviews(t.reviews, test_scorer), 6, "score")
+    return rounded(sentiment.score_reviews(t.reviews, sample_scorer), 6, "score")
 
 
 STOCKOUT_SQL = """SELECT 'STOCKOUT_' || store_id || '_' || sku || '_' || strftime(date, '%Y-%m-%d') AS id,

@@ -13,7 +13,7 @@ from aislecast.session import stage
 from aislecast.sources import views
 
 
-def test_scorer(text: Column) -> Column:
+def sample_scorer(text: Column) -> Column:
     return lexicon_score(text, views.TEST_POSITIVE, views.TEST_NEGATIVE)
 
 
@@ -54,7 +54,7 @@ class Tables:
 
     @property
     def sentiment(self) -> DataFrame:
-        return sentiment.sentiment_by_sku(self.reviews, test_scorer)
+        return sentiment.sentiment_by_sku(self.reviews, sample_scorer)
 
     @cached_property
     def curated(self) -> DataFrame:

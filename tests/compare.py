@@ -44,7 +44,7 @@ def kind(field: pa.Field) -> str:
 def difference(df, con, sql: str) -> str | None:
     """None if equal, else a short description."""
     got = df.toArrow()
-    expected = con.execute(sql).to_arrow_table()
+    expected = con.sql(sql).to_arrow_table()
     names = sorted(got.column_names)
     if names != sorted(expected.column_names):
         return f"columns {names} / {sorted(expected.column_names)}"

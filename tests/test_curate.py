@@ -119,3 +119,21 @@ def test_replay_events(spark):
     }
     iot = curate.replay_shelf(sales).collect()
     assert [r["shelf_qty"] for r in iot] == [25, 0] and iot[0]["sensor_id"] == "SNSR_S_K"
+
+
+def test_rows_without_keys_are_kept_by_the_fill_and_left_out_of_days(spark):
+    at = dt.datetime(2025, 1, 1)
+    df = spark.createDataFrame(
+        [("S", None, at, 1, None, "online"), ("S", "K", None, 1, None, "online"), ("S", "K", at, 2, 3.0, "online")],
+        frames.SALES_DDL,
+    )
+    assert sorted(r["price"] for r in fill.fill_prices(df).collect()) == [3.0, 10.0, 10.0]
+    assert [r["qty_sold"] for r in curate.daily_sales_filled(df).collect()] == [2]
+
+
+def test_fill_reads_the_reduced_times_once(spark, tmp_path):
+    frames.to_spark(spark, frames.random_sales(1), frames.SALES_DDL).write.parquet(str(tmp_path / "s"))
+    df = fill.missing_price_fills(curate.by_day(spark.read.parquet(str(tmp_path / "s"))))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan") == 1 and "IsNotNull(sku)" in plan
