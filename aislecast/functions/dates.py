@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,9 +18,25 @@ def is_weekend(date: Column) -> Column:
     return F.weekday(date).isin(5, 6).cast("int")
 
 
-def lenient_timestamp(col: Column) -> Column:
-    """Parse, or NULL: never an error on bad text."""
-    return col.try_cast("timestamp_ntz")
+# Date layouts tried after ISO; month first where a date can be read both ways.
+DATE_FORMATS = (
+    "M/d/yyyy[ H:mm[:ss]]",
+    "d/M/yyyy[ H:mm[:ss]]",
+    "yyyy/M/d[ H:mm[:ss]]",
+    "M-d-yyyy",
+    "d-M-yyyy",
+    "d MMM yyyy",
+    "d-MMM-yyyy",
+    "MMM d, yyyy",
+    "yyyyMMdd",
+)
+
+
+def lenient_timestamp(col: Column, formats: Sequence[str] = ()) -> Column:
+    """Parse, or NULL: never an error on bad text. ISO comes first."""
+    text = F.trim(col.cast("string"))
+    others = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
+    return F.coalesce(col.try_cast("timestamp_ntz"), *others)
 
 
 def lenient_number(col: Column) -> Column:

@@ -15,6 +15,7 @@ from aislecast.operators.ordering import dense_index, global_position
 LAGS = (1, 2, 7, 14, 21, 28)
 WINDOWS = (7, 14, 28)
 
+# The model's inputs.
 FEATURES = [
     "store_encoded", "sku_encoded", "dayofweek", "is_weekend", "month", "day",
     "avg_shelf_qty", "sentiment_score",

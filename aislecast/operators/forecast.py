@@ -165,17 +165,25 @@ def recursive_forecast(
     )
 
 
+class UnknownSeries(LookupError):
+    """No forecast exists for a store and product."""
+
+
 def serve_forecast(
-    forecasts: DataFrame, store_id: str, sku: str, horizon: int = 14
+    forecasts: DataFrame, store_id: str, sku: str, horizon: int = 14, must_exist: bool = False
 ) -> DataFrame:
-    """The first days of one series. Shorter forecasts return what exists."""
+    """The first days of one series. Shorter forecasts return what exists;
+    none at all is an error on request."""
     if not 1 <= horizon <= 30:
         raise ValueError("horizon must lie in 1..30")
-    return (
+    days = (
         forecasts.filter((F.col("store_id") == store_id) & (F.col("sku") == sku))
         .orderBy("date")
         .limit(horizon)
     )
+    if must_exist and days.isEmpty():
+        raise UnknownSeries(f"{store_id} / {sku}")
+    return days
 
 
 def first_available(*tables: DataFrame | None) -> DataFrame:

@@ -8,7 +8,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aislecast.functions.dates import lenient_number, lenient_timestamp, present
+from aislecast.functions.dates import (
+    DATE_FORMATS,
+    lenient_number,
+    lenient_timestamp,
+    present,
+)
 
 
 @dataclass(frozen=True)
@@ -72,14 +77,18 @@ def infer_roles(columns: Sequence[str]) -> dict[str, str | None]:
     return found
 
 
-def normalize_export(raw: DataFrame, roles: dict[str, str | None] | None = None) -> DataFrame:
+def normalize_export(
+    raw: DataFrame,
+    roles: dict[str, str | None] | None = None,
+    date_formats: Sequence[str] = DATE_FORMATS,
+) -> DataFrame:
     """Coerce an export: bad quantities are 0, bad prices a default, bad dates go."""
     role = roles or infer_roles(raw.columns)
 
     def column(name: str):
         return F.col(f"`{role[name]}`")
 
-    ts = lenient_timestamp(column("date"))
+    ts = lenient_timestamp(column("date"), date_formats)
     qty = F.coalesce(lenient_number(column("qty")), F.lit(0.0)).cast("int")
     price = (
         F.coalesce(lenient_number(column("price")), F.lit(BAD_PRICE))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aislecast.functions.dates import present
 from aislecast.functions.numeric import round_even
 from aislecast.functions.text import is_blank, lexicon_score
 
@@ -23,7 +24,7 @@ def score_reviews(reviews: DataFrame, scorer: Scorer = lexicon_score) -> DataFra
 def sentiment_by_sku(reviews: DataFrame, scorer: Scorer = lexicon_score) -> DataFrame:
     """Mean score per product; neutral when all its reviews are blank."""
     return (
-        score_reviews(reviews, scorer)
+        score_reviews(present(reviews, "sku"), scorer)
         .groupBy("sku")
         .agg(F.coalesce(round_even(F.avg("score"), 4), F.lit(0.0)).alias("sentiment_score"))
     )

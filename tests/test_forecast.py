@@ -145,6 +145,8 @@ def test_train_and_serve(curated):
     assert len(served) == 5 and [r["date"] for r in served] == sorted(r["date"] for r in served)
     with pytest.raises(ValueError):
         forecast.serve_forecast(forecasts, "STORE_001", "SKU_001", 31)
+    with pytest.raises(forecast.UnknownSeries):
+        forecast.serve_forecast(forecasts, "STORE_001", "none", must_exist=True)
     assert forecast.latest_forecast(forecasts).count() == 6
     with pytest.raises(LookupError):
         forecast.first_available(None, None)

@@ -82,6 +82,13 @@ def test_lenient_parsing(spark):
     assert got == [dt.datetime(2025, 1, 2, 3, 4, 5), None]
 
 
+def test_other_date_layouts(spark):
+    texts = ["2025-01-31", "1/31/2025", "31/1/2025", "1/31/2025 5:06", "2025/01/31", "31-Jan-2025", "20250131", "x"]
+    got = column(spark, texts, "string", lambda c: dates.lenient_timestamp(c, dates.DATE_FORMATS))
+    day = dt.datetime(2025, 1, 31)
+    assert got == [day, day, day, day.replace(hour=5, minute=6), day, day, day, None]
+
+
 def test_event_day_of_missing_time_is_today(spark):
     now = F.lit("2025-05-05 01:02:03").cast("timestamp")
     got = column(spark, ["2025-06-01 12:00:00", None], "string", lambda c: dates.event_day(c, now))

@@ -174,7 +174,7 @@ def test_warehouse_sync_is_idempotent_and_comments_columns(spark, tmp_path):
 
 
 def test_stored_scores_follow_their_reviews(spark, tmp_path):
-    df = spark.createDataFrame([("K", "good"), ("L", "  ")], "sku string, review_text string")
+    df = spark.createDataFrame([("K", "good"), ("L", "  "), (None, "good")], "sku string, review_text string")
     first = sentiment.stored_sentiment(df, str(tmp_path))
     assert rows(first) == [("K", 1.0), ("L", 0.0)]
     more = df.union(spark.createDataFrame([("K", "bad")], df.schema))
