@@ -36,21 +36,25 @@ def lexicon_score(
     positive: Iterable[str] = POSITIVE_WORDS,
     negative: Iterable[str] = NEGATIVE_WORDS,
 ) -> Column:
-    """(pos - neg) / (pos + neg) over distinct list words in the whole text."""
+    """(pos - neg) / (pos + neg) over distinct list words in the whole text.
 
-    def hits(words: Iterable[str]) -> Column:
-        listed = F.array(*[F.lit(w) for w in sorted(set(words))])
-        return F.size(F.array_intersect(tokens(text), listed))
-
-    # One pass over the words: intersect once with both lists, then split.
+    The text is split once; the fold runs over the few list words found.
+    """
     pos, neg = sorted(set(positive)), sorted(set(negative))
-    if set(pos) & set(neg):
-        p, n = hits(pos), hits(neg)
-        return F.coalesce(F.try_divide(p - n, p + n), F.lit(0.0))
-    found = F.array_intersect(tokens(text), F.array(*[F.lit(w) for w in pos + neg]))
-    p = F.size(F.array_intersect(found, F.array(*[F.lit(w) for w in pos])))
-    total = F.size(found)
-    return F.coalesce(F.try_divide(F.lit(2) * p - total, total), F.lit(0.0))
+    listed = F.array(*[F.lit(w) for w in sorted({*pos, *neg})])
+
+    def count(acc: Column, word: Column) -> Column:
+        good, bad = word.isin(pos).cast("int"), word.isin(neg).cast("int")
+        return F.struct(
+            (acc["net"] + good - bad).alias("net"), (acc["hits"] + good + bad).alias("hits")
+        )
+
+    return F.aggregate(
+        F.array_intersect(tokens(text), listed),
+        F.struct(F.lit(0).alias("net"), F.lit(0).alias("hits")),
+        count,
+        lambda acc: F.coalesce(F.try_divide(acc["net"], acc["hits"]), F.lit(0.0)),
+    )
 
 
 def truncate(text: Column, limit: int = 512) -> Column:
