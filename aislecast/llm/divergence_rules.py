@@ -33,8 +33,8 @@ class Rules:
     max_repeat_percent: int = 50
     divergence_words: int = 50  # fewer words: no divergence test
     common_words: int = 20  # fewer common words found: no word test
-    max_class_distance: float = 0.25
-    max_word_distance: float = 0.65
+    max_class_distance: float = 0.3
+    max_word_distance: float = 0.7
     common: int = 30  # common words of a language's reference
     languages: int = 100  # references at most, the largest languages
 
