@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aislecast.llm import curriculum, divergence_rules
+from aislecast.llm import chosen_path, curriculum, divergence_rules
 from aislecast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +32,9 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@query
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    params = chosen_path.ChosenPath(shingle=3, percent=85)
+    return chosen_path.near_duplicates(table(spark, sf_dir, "documents"), params)
