@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aislecast.llm import chosen_path, curriculum, divergence_rules
+from aislecast.llm import chosen_path, curriculum, divergence_rules, suffix_dedup
 from aislecast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +38,8 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     params = chosen_path.ChosenPath(shingle=3, percent=85)
     return chosen_path.near_duplicates(table(spark, sf_dir, "documents"), params)
+
+
+@query
+def op3_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_passages(table(spark, sf_dir, "documents"))

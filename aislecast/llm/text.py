@@ -41,7 +41,7 @@ def _powers(size: int, base: int) -> np.ndarray:
 
 def powers(n: int, base: int) -> np.ndarray:
     """base ** i for i < n, modulo 2 ** 64; kept by sizes that double."""
-    return _powers(max(1 << 12, 1 << (n - 1).bit_length()), base)[:n]
+    return _powers(max(1 << 12, 1 << max(0, n - 1).bit_length()), base)[:n]
 
 
 def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -76,11 +76,21 @@ def words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return starts, ends, np.searchsorted(starts, at)
 
 
-def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
-    """A 64-bit hash of every span of bytes, with A-Z lower-cased first."""
+def prefix_sums(data: np.ndarray) -> np.ndarray:
+    """From these, span_hashes gives the hash of any span."""
     total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[_LOWER[data] if lower else data] * powers(len(data), _BASE), out=total[1:])
-    return mix((total[ends] - total[starts]) * powers(len(data) + 1, _INVERSE)[starts])
+    np.cumsum(_BYTE[data] * powers(len(data), _BASE), out=total[1:])
+    return total
+
+
+def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of every span of bytes; it depends on the bytes alone."""
+    return mix((sums[ends] - sums[starts]) * powers(len(sums), _INVERSE)[starts])
+
+
+def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
+    """The same, with A-Z lower-cased first."""
+    return span_hashes(prefix_sums(_LOWER[data] if lower else data), starts, ends)
 
 
 def shingles(hashed: np.ndarray, size: int) -> np.ndarray:
