@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aislecast.llm.common import shuffle_partitions
+from aislecast.llm.text import CHUNK_BYTES
 from aislecast.session import stage_by
 
 NO_ID = np.iinfo(np.int64).max  # stands for a null id: larger than any other
@@ -62,7 +62,8 @@ def pack(
     """The rows as a table of blocks, stored by block number; and all bytes of text.
 
     The table is bucketed by block, so that answers are joined to it without
-    moving the texts again. With carry, blocks keep the rows' other columns.
+    moving the texts; a file holds at least one block. With carry, blocks keep
+    the rows' other columns.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -108,7 +109,7 @@ def pack(
             yield flush()
 
     packed = wanted.mapInArrow(run, "block long, ids binary, at binary, data binary, rest binary")
-    table = stage_by(packed.repartition(shuffle_partitions(spark), "block"), name, ["block"], ["block"])
+    table = stage_by(packed, name, ["block"], ["block"])
     return table, table.agg(F.coalesce(F.sum(F.octet_length("data")), F.lit(0))).first()[0]
 
 
@@ -127,17 +128,25 @@ def per_block(
                 yield from run(number, Block.of(fields), known)
 
     if answers is not None:
-        grouped = answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "payload")).alias("answers"))
+        grouped = answers.filter("block >= 0").groupBy("block").agg(F.collect_list(F.struct("bucket", "payload")).alias("answers"))
         blocks = blocks.join(grouped, "block", "left")
     return blocks.mapInArrow(each, schema)
 
 
-def per_bucket(asked: DataFrame, run: Callable[[list[bytes]], list[bytes]]) -> DataFrame:
-    """Answer each bucket's questions together: rows (block, bucket, payload) to rows of the same shape."""
+def per_bucket(asked: DataFrame, run: Callable[[list], tuple[list[bytes], bytes | None]]) -> DataFrame:
+    """Answer each bucket's questions together: rows (block, bucket, payload) to rows of the same shape.
+
+    Besides the answers, a bucket may have a summary; it comes as block -1.
+    """
 
     def each(table: pa.Table) -> pa.Table:
-        answers = run([p.as_buffer() for p in table.column("payload").combine_chunks()] if table.num_rows else [])
-        return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "payload": pa.array(answers, pa.binary())})
+        answers, summary = run([memoryview(p.as_buffer()) for p in table.column("payload")])
+        block, bucket = (table.column(c).to_pylist() for c in ("block", "bucket"))
+        if summary is not None:
+            block, bucket, answers = [*block, -1], [*bucket, bucket[0]], [*answers, summary]
+        return pa.table(
+            {"block": pa.array(block, pa.int64()), "bucket": pa.array(bucket, pa.int32()), "payload": pa.array(answers, pa.binary())}
+        )
 
     return asked.groupBy("bucket").applyInArrow(each, "block long, bucket int, payload binary")
 
@@ -149,6 +158,11 @@ def message(block: int, bucket: int, payload: bytes) -> pa.RecordBatch:
     )
 
 
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each 64-bit key; sorted keys have sorted buckets."""
+    return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
 def split_by_bucket(bucket: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
     """Slices of equal bucket in an array sorted by bucket."""
     bounds = np.searchsorted(bucket, np.arange(buckets + 1))
@@ -156,6 +170,49 @@ def split_by_bucket(bucket: np.ndarray, buckets: int) -> Iterator[tuple[int, sli
         yield int(b), slice(int(bounds[b]), int(bounds[b + 1]))
 
 
-def messages(block: int, found: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
-    for bucket, payload in found:
-        yield message(block, bucket, payload)
+def sub_blocks(block: Block, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Rows first .. end of a block of about so many bytes, with their bytes and offsets."""
+    i, n, at = 0, len(block.ids), block.at
+    while i < n:
+        j = max(i + 1, int(np.searchsorted(at, at[i] + size, side="right")) - 1)
+        yield i, j, block.data[at[i] : at[j]], at[i : j + 1] - at[i]
+        i = j
+
+
+def write_arrays(*arrays: np.ndarray) -> bytes:
+    """Arrays of 64-bit numbers, with their lengths in front."""
+    head = np.array([len(arrays), *map(len, arrays)], np.int64).tobytes()
+    return head + b"".join(np.ascontiguousarray(a).view(np.int64).tobytes() for a in arrays)
+
+
+def read_arrays(payload: bytes) -> tuple[list[np.ndarray], int]:
+    """Those arrays, and where the bytes behind them begin."""
+    n = int(np.frombuffer(payload, np.int64, 1)[0])
+    sizes = np.frombuffer(payload, np.int64, n, 8)
+    out, start = [], 8 * (n + 1)
+    for size in sizes:
+        out.append(np.frombuffer(payload, np.int64, int(size), start))
+        start += 8 * int(size)
+    return out, start
+
+
+def write_keys(keys: np.ndarray) -> bytes:
+    """Sorted 64-bit keys as differences, in six bytes each if they fit."""
+    if not len(keys):
+        return b"\x06"
+    steps = np.diff(keys, prepend=keys[:1])
+    head = keys[:1].tobytes()
+    if int(steps.max()) >> 48:
+        return b"\x08" + head + steps.tobytes()
+    return b"\x06" + head + np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+
+def read_keys(payload: bytes) -> np.ndarray:
+    if len(payload) == 1:
+        return np.empty(0, np.uint64)
+    width = payload[0]
+    raw = np.frombuffer(payload, np.uint8, offset=9).reshape(-1, width)
+    steps = np.zeros((len(raw), 8), dtype=np.uint8)
+    steps[:, :width] = raw
+    out = np.cumsum(steps.view(np.uint64)[:, 0], dtype=np.uint64)
+    return out + np.frombuffer(payload[1:9], np.uint64)[0]

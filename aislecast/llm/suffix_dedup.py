@@ -32,7 +32,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
 from aislecast.llm import text
-from aislecast.llm.blocks import Block, from_ipc, message, pack, per_block, per_bucket, split_by_bucket
+from aislecast.llm.blocks import (
+    Block,
+    bucket_of,
+    from_ipc,
+    message,
+    pack,
+    per_block,
+    per_bucket,
+    read_arrays,
+    read_keys,
+    split_by_bucket,
+    sub_blocks,
+    write_arrays,
+    write_keys,
+)
 from aislecast.session import stage
 
 # A perfect difference cover: the differences of its members are all residues.
@@ -190,19 +204,10 @@ def _runs(pos: np.ndarray, name: np.ndarray, at: np.ndarray, single: np.ndarray)
     return heads, np.diff(np.append(heads, len(pos)))
 
 
-def _sub_blocks(block: Block, size: int = text.CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Rows first .. end of a block of about so many bytes."""
-    i, n, at = 0, len(block.ids), block.at
-    while i < n:
-        j = max(i + 1, int(np.searchsorted(at, at[i] + size, side="right")) - 1)
-        yield i, j, block.data[at[i] : at[j]], at[i : j + 1] - at[i]
-        i = j
-
-
 def _census(block: Block, p: Passages) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct names of a block, their numbers of different runs, and if rows of two ids have them."""
     parts = []
-    for i, _, data, at in _sub_blocks(block):
+    for i, _, data, at in sub_blocks(block):
         pos, name, sums = _names(data, at, p)
         if not len(pos):
             continue
@@ -223,29 +228,30 @@ def _census(block: Block, p: Passages) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return name[heads], different.astype(np.uint32), shared
 
 
-_NAME = np.dtype([("runs", "<u4"), ("shared", "u1"), ("name", "<u8")])
-
-
 def _ask(p: Passages, buckets: int):
     def run(number: int, block: Block, _: dict) -> Iterator[pa.RecordBatch]:
         name, runs, shared = _census(block, p)
-        order = np.argsort(name % np.uint64(buckets), kind="stable")
-        rows = np.empty(len(name), dtype=_NAME)
-        rows["name"], rows["runs"], rows["shared"] = name[order], runs[order], shared[order]
-        for bucket, part in split_by_bucket((name[order] % np.uint64(buckets)).astype(np.int64), buckets):
-            yield message(number, bucket, b"".join(np.ascontiguousarray(rows[part][f]).tobytes() for f in ("name", "runs", "shared")))
+        for bucket, part in split_by_bucket(bucket_of(name, buckets), buckets):
+            n = part.stop - part.start
+            head = n.to_bytes(8, "little") + runs[part].tobytes() + shared[part].tobytes()
+            yield message(number, bucket, head + write_keys(name[part]))
 
     return run
 
 
+def _census_of(payload: memoryview) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = int.from_bytes(payload[:8], "little")
+    runs, shared = np.frombuffer(payload, np.uint32, n, 8), np.frombuffer(payload, np.uint8, n, 8 + 4 * n)
+    return read_keys(payload[8 + 5 * n :]), runs, shared
+
+
 def _answer(p: Passages):
     """The names of each message that are shared, and those with too many runs."""
 
-    def run(payloads: list) -> list[bytes]:
-        sizes = [len(x) // 13 for x in payloads]
-        name = np.concatenate([np.frombuffer(x, np.uint64, n) for x, n in zip(payloads, sizes, strict=True)])
-        runs = np.concatenate([np.frombuffer(x, np.uint32, n, 8 * n) for x, n in zip(payloads, sizes, strict=True)])
-        shared = np.concatenate([np.frombuffer(x, np.uint8, n, 12 * n) for x, n in zip(payloads, sizes, strict=True)])
+    def run(payloads: list) -> tuple[list[bytes], None]:
+        read = [_census_of(x) for x in payloads]
+        sizes = [len(x[0]) for x in read]
+        name, runs, shared = (np.concatenate(x) for x in zip(*read, strict=True))
         order = np.argsort(name, kind="stable")
         heads = np.flatnonzero(_changes([name[order]]))
         holders = np.diff(np.append(heads, len(name)))
@@ -258,7 +264,7 @@ def _answer(p: Passages):
             mine, names = code[start : start + n], name[start : start + n]
             out.append(names[mine == 1].tobytes() + names[mine == 2].tobytes() + np.array([np.count_nonzero(mine == 2)], np.int64).tobytes())
             start += n
-        return out
+        return out, None
 
     return run
 
@@ -284,7 +290,7 @@ def _send(p: Passages, bins: int):
     def run(number: int, block: Block, answers: dict[int, bytes]) -> Iterator[pa.RecordBatch]:
         names, hot = _known(answers)
         parts = []
-        for i, _, data, at in _sub_blocks(block):
+        for i, _, data, at in sub_blocks(block):
             pos, name, sums = _names(data, at, p)
             if not len(pos) or not len(names):
                 continue
@@ -311,28 +317,11 @@ def _send(p: Passages, bins: int):
             lengths = sizes[heads] + p.length - 1
             pieces = b"".join(block.data[s : s + n].tobytes() for s, n in zip(starts[heads], lengths, strict=True))
             copies = np.diff(np.append(heads, part.stop))
-            yield message(number, b, ipc_arrays(sizes[heads], copies, starts[part], owner[part]) + pieces)
+            yield message(number, b, write_arrays(sizes[heads], copies, starts[part], owner[part]) + pieces)
 
     return run
 
 
-def ipc_arrays(*arrays: np.ndarray) -> bytes:
-    """Arrays of whole numbers, with their lengths in front."""
-    head = np.array([len(arrays), *map(len, arrays)], np.int64).tobytes()
-    return head + b"".join(a.astype(np.int64).tobytes() for a in arrays)
-
-
-def read_arrays(payload: bytes) -> tuple[list[np.ndarray], int]:
-    """Those arrays, and where the bytes behind them begin."""
-    n = int(np.frombuffer(payload, np.int64, 1)[0])
-    sizes = np.frombuffer(payload, np.int64, n, 8)
-    out, start = [], 8 * (n + 1)
-    for size in sizes:
-        out.append(np.frombuffer(payload, np.int64, int(size), start))
-        start += 8 * int(size)
-    return out, start
-
-
 def _ramp(counts: np.ndarray) -> np.ndarray:
     """0 .. n - 1 for every n, in a row."""
     total = np.cumsum(counts)
@@ -342,7 +331,7 @@ def _ramp(counts: np.ndarray) -> np.ndarray:
 def _sort_bin(p: Passages):
     """For every message, the ranges of its block that a smaller id has too."""
 
-    def run(payloads: list) -> list[bytes]:
+    def run(payloads: list) -> tuple[list[bytes], None]:
         read = [read_arrays(x) for x in payloads]
         data = np.concatenate([np.frombuffer(x, np.uint8, offset=start) for x, (_, start) in zip(payloads, read, strict=True)])
         sizes = np.concatenate([a[0] for a, _ in read])
@@ -378,7 +367,7 @@ def _sort_bin(p: Passages):
 
         of = np.repeat(np.arange(len(payloads)), [len(a[2]) for a, _ in read])[copy[heads]]
         bounds = np.searchsorted(of, np.arange(len(payloads) + 1))
-        return [ipc_arrays(low[a:b], high[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        return [write_arrays(low[a:b], high[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)], None
 
     return run
 
