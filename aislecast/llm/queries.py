@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aislecast.llm import chosen_path, curriculum, divergence_rules, interpolation, suffix_dedup
+from aislecast.llm import chosen_path, curriculum, divergence_rules, interpolation, nbest, suffix_dedup
 from aislecast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,8 @@ def op3_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interpolation.lm_scores(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_segment_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nbest.encode_nbest(table(spark, sf_dir, "documents"), with_ids=False)
