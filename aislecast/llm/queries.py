@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aislecast.llm import chosen_path, curriculum, divergence_rules, interpolation, nbest, suffix_dedup
+from aislecast.llm import (
+    chosen_path,
+    curriculum,
+    divergence_rules,
+    interpolation,
+    nbest,
+    suffix_dedup,
+    training_order,
+)
 from aislecast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +61,8 @@ def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_segment_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nbest.encode_nbest(table(spark, sf_dir, "documents"), with_ids=False)
+
+
+@query
+def op8_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_order.training_order(table(spark, sf_dir, "documents"))
