@@ -12,7 +12,9 @@ from aislecast.llm import (
     divergence_rules,
     interpolation,
     nbest,
+    pu_quality,
     suffix_dedup,
+    toxicity,
     training_order,
 )
 from aislecast.llm.common import table
@@ -66,3 +68,13 @@ def op10_segment_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training_order.training_order(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pu_quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
