@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from aislecast.llm import (
     chosen_path,
     curriculum,
     divergence_rules,
     interpolation,
+    multi_index,
     nbest,
     pu_quality,
     suffix_dedup,
@@ -78,3 +80,8 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)

@@ -6,7 +6,8 @@ Documents and examples are TF-IDF vectors over it, with document frequencies of
 the whole corpus. The examples stand in an inverted index whose postings are
 cut into blocks of examples; the largest weight of a term in a block bounds
 what the block can add, so blocks are visited from the largest bound down and
-the search ends, exactly, when no block can beat the nearest found. Neighbours
+the search ends, exactly, when no block can beat the nearest found. All other
+words are one more term, so that closeness also tells how dense the terms are. Neighbours
 vote by closeness, and votes become probabilities by an isotonic fit on the
 examples, each without itself.
 """
@@ -38,7 +39,7 @@ class Neighbours:
     negatives: int = 8_000
     terms: int = 512  # of the vocabulary, at most
     prefixes: tuple[int, ...] = (4, 6)  # lengths; a term's prefix is marked by ^
-    doubt: float = 0.01  # expected number of chance terms
+    doubt: float = 0.1  # expected number of chance terms
     nearest: int = 15
     block: int = 64  # examples of an index block
     weight: float = 1.0  # of the base rate among the votes
@@ -101,14 +102,18 @@ def learn_vocabulary(sample: DataFrame, p: Neighbours) -> list[str]:
 
 
 def _vectors(rows: DataFrame, vocabulary: list[str], p: Neighbours, more: list[str]) -> DataFrame:
-    """The rows' counts of vocabulary terms: place and n, two arrays, beside other columns."""
+    """The rows' counts of vocabulary terms, then of all other words: place and n, beside other columns."""
     places = {t: k for k, t in enumerate(vocabulary)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found, counts = [], []
             for value in batch.column(0).to_pylist():
-                own = sorted((places[t], n) for t, n in count_terms(value, p.prefixes).items() if t in places)
+                terms = count_terms(value, p.prefixes)
+                own = sorted((places[t], n) for t, n in terms.items() if t in places)
+                rest = sum(n for t, n in terms.items() if t not in places and t[0] != "^")
+                if rest:
+                    own.append((len(places), rest))
                 found.append([k for k, _ in own])
                 counts.append([n for _, n in own])
             yield pa.RecordBatch.from_arrays(
@@ -151,7 +156,7 @@ class Index:
         bounds = query @ self.top[place]
         best: list[tuple[float, int]] = []
         for b in np.argsort(-bounds, kind="stable"):
-            if bounds[b] <= 0 or (len(best) == self.p.nearest and bounds[b] < -best[-1][0] - 1e-12):
+            if bounds[b] <= 0 or (len(best) == self.p.nearest and bounds[b] <= -best[-1][0]):
                 break
             sums = np.zeros(self.p.block)
             for t, q in zip(place.tolist(), query.tolist(), strict=True):
@@ -180,14 +185,15 @@ class Index:
         hits = np.bincount(which, self.weights * self.labels)
         pools: list[list[float]] = []
         for v, h, m in zip(values.tolist(), hits.tolist(), mass.tolist(), strict=True):
-            pools.append([v, h, m])
-            while len(pools) > 1 and pools[-2][1] / pools[-2][2] >= pools[-1][1] / pools[-1][2]:
-                v2, h2, m2 = pools.pop()
-                pools[-1] = [pools[-1][0], pools[-1][1] + h2, pools[-1][2] + m2]
+            pools.append([v, v, h, m])
+            while len(pools) > 1 and pools[-2][2] / pools[-2][3] >= pools[-1][2] / pools[-1][3]:
+                _, last, h2, m2 = pools.pop()
+                pools[-1] = [pools[-1][0], last, pools[-1][2] + h2, pools[-1][3] + m2]
         if pools:
             # half a count of doubt on either side keeps scores inside 0 and 1
             unit = float(self.weights.mean())
-            self.steps = (np.array([v for v, _, _ in pools]), np.array([(h + 0.5 * unit * self.rate) / (m + 0.5 * unit) for _, h, m in pools]))
+            edges = np.array([(first, last) for first, last, _, _ in pools]).ravel()
+            self.steps = (edges, np.repeat([(h + 0.5 * unit * self.rate) / (m + 0.5 * unit) for _, _, h, m in pools], 2))
 
     def score(self, place: np.ndarray, n: np.ndarray) -> tuple[float, list[int]]:
         near, cosine = np.empty(0, np.int64), np.empty(0)
@@ -210,8 +216,8 @@ def score_toxicity(
 
     Only labels of rows whose crc32 of the id's text has another remainder than
     held_out are used, and of these a bounded sample; scores depend on the text
-    alone. Text without a term of the vocabulary, also null and empty, gets the
-    score of such examples. Without labels of both classes all scores are the
+    alone. Text without words, also null and empty, gets the score of no
+    neighbours. Without labels of both classes all scores are the
     base rate. A label other than 0 and 1, or of no row, is ignored; of
     contradicting labels 1 holds. Repeated rows count as often as they occur in
     the document frequencies and get equal scores. No rows give no rows. Other
@@ -226,7 +232,7 @@ def score_toxicity(
     vectors = stage(_vectors(rows, vocabulary, p, ["doc_id"]), "toxic-vectors")
     size = vectors.count()
     held = {r["k"]: r["count"] for r in vectors.select(F.explode("place").alias("k")).groupBy("k").count().collect()}
-    idf = np.array([np.log((1 + size) / (1 + held.get(k, 0))) for k in range(len(vocabulary))])
+    idf = np.array([1 + np.log((1 + size) / (1 + held.get(k, 0))) for k in range(len(vocabulary))] + [1.0])
     examples = _vectors(sample, vocabulary, p, ["doc_id", "label"]).orderBy("doc_id").toPandas()
     own = examples["label"].to_numpy(dtype=np.float64)
     weights = np.array([1 / rates[int(x)] for x in own])
