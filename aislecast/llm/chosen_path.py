@@ -8,8 +8,14 @@ branch again. Pairs found are confirmed on the full sets.
 
 A pair of similarity s agrees at a position with probability s, so with b
 picks and depth d it meets in a tree with probability p(d), p(0) = 1,
-p(d) = 1 - (1 - s p(d - 1)) ** b. At s = 0.8, b = 2, d = 4 that is 0.91, and
-eight trees miss a pair with probability below 1e-8.
+p(d) = 1 - (1 - s p(d - 1)) ** b. At s = 0.8, b = 2, d = 3 that is 0.92, and
+six trees miss a pair with probability below 1e-6. Below that depth, reached
+only among many documents that are alike, nodes pick 1 / s positions on
+average: pairs of that similarity are kept, less similar crowds thin out.
+
+Groups of near copies would branch for ever. So the pairs of the first level,
+and every member of a large node with one hub, are confirmed at once, and nodes
+whose documents are by then in one component branch no more.
 """
 
 from __future__ import annotations
@@ -17,6 +23,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aislecast.llm import text
+from aislecast.llm.blocks import bounded_batches
 from aislecast.llm.components import connected_components
 from aislecast.session import stage
 
@@ -33,9 +41,10 @@ class ChosenPath:
     shingle: int = 5
     percent: int = 80  # of the union that must be shared
     tokens: int = 128  # length of the embedding
-    trees: int = 8
-    picks: int = 2  # children of a document at a node
-    depth: int = 4
+    trees: int = 6
+    picks: int = 2  # children of a document at a node of the first levels
+    wide: int = 3  # these levels
+    depth: int = 16
     leaf: int = 16  # nodes up to this size are compared exhaustively
 
     @property
@@ -53,6 +62,11 @@ def _sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
             yield text.shingles(hashed[bounds[i] : bounds[i + 1]], size)
 
 
+def _short(tokens: np.ndarray) -> bytes:
+    """Sixteen bits of every token: enough to tell documents of one node apart."""
+    return tokens.astype(np.uint16).tobytes()
+
+
 def _embed(one: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
     """The smallest image of the set under every multiplier."""
     low = np.full(len(multipliers), np.iinfo(np.uint64).max, dtype=np.uint64)
@@ -62,71 +76,95 @@ def _embed(one: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
 
 
 def embed(docs: DataFrame, params: ChosenPath, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, n_shingles, print (digest of the set, null if empty) and tokens of every row."""
+    """doc_id, n_shingles, print (digest of the set, null if empty), tokens and short tokens of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         multipliers = text.constants(1, params.tokens)
         for batch in batches:
-            counts, prints, tokens = [], [], []
+            counts, prints, tokens, short = [], [], [], []
             for one in _sets(batch.column(1), params.shingle):
                 counts.append(len(one))
                 prints.append(hashlib.blake2b(one.tobytes(), digest_size=16).digest() if len(one) else None)
-                tokens.append(_embed(one, multipliers).tobytes() if len(one) else None)
+                picked = _embed(one, multipliers) if len(one) else None
+                tokens.append(None if picked is None else picked.tobytes())
+                short.append(None if picked is None else _short(picked))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(prints, pa.binary()), pa.array(tokens, pa.binary())],
-                ["doc_id", "n_shingles", "print", "tokens"],
+                [batch.column(0), pa.array(counts, pa.int64()), *(pa.array(x, pa.binary()) for x in (prints, tokens, short))],
+                ["doc_id", "n_shingles", "print", "tokens", "short"],
             )
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, n_shingles long, print binary, tokens binary"
+        run, "doc_id long, n_shingles long, print binary, tokens binary, short binary"
     )
 
 
-def _branch(nodes: DataFrame, params: ChosenPath, first: bool) -> DataFrame:
-    """The children of every (node, rep, tokens); at first, every tree's root is a node."""
+def _branch(nodes: DataFrame, params: ChosenPath, depth: int) -> DataFrame:
+    """The children (node, rep) of every (node, rep, short); at depth 0 of every (rep, tokens) in every tree."""
+    column = "short" if depth else "tokens"
+    picks = params.picks if depth < params.wide else 2
+    # of the second pick below the wide levels: so many nodes in 1024 make it
+    often = 1024 if depth < params.wide else int(1024 * (100 / params.percent - 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        width = np.uint64(params.tokens)
         for whole in batches:
             for k in range(0, len(whole), 4096):
                 batch = whole.slice(k, 4096)
                 n = len(batch)
                 reps = batch.column("rep").to_numpy()
-                tokens = np.frombuffer(b"".join(batch.column("tokens").to_pylist()), np.uint32).reshape(n, -1)
-                if first:
-                    roots = text.mix(np.arange(1, params.trees + 1, dtype=np.uint64))
-                    paths = np.tile(roots, n)
-                    rows = np.repeat(np.arange(n), params.trees)
-                else:
+                kind = np.uint16 if depth else np.uint32
+                tokens = np.frombuffer(b"".join(batch.column(column).to_pylist()), kind).reshape(n, -1)
+                rows = np.arange(n)
+                if depth:
                     paths = batch.column("node").to_numpy().view(np.uint64)
-                    rows = np.arange(n)
-                width = np.uint64(params.tokens)
-                place, out = text.mix(paths) % width, []
-                for pick in range(params.picks):
+                else:
+                    paths = np.tile(text.mix(np.arange(1, params.trees + 1, dtype=np.uint64)), n)
+                    rows = np.repeat(rows, params.trees)
+                place, nodes_, owners = text.mix(paths) % width, [], []
+                for pick in range(picks):
+                    made = np.ones(len(paths), bool) if pick == 0 else text.mix(paths + np.uint64(77)) % np.uint64(1024) < often
                     value = tokens[rows, place.astype(np.int64)].astype(np.uint64)
-                    out.append(text.mix(text.mix(paths + place) + value))
-                    # another position: a step of 1 .. width - 1 would cycle, so steps are kept small
-                    place = (place + np.uint64(1) + text.mix(paths ^ np.uint64(pick + 1)) % (width // np.uint64(params.picks))) % width
+                    nodes_.append(text.mix(text.mix(paths + place) + value)[made])
+                    owners.append(reps[rows][made])
+                    # the steps of all picks together are shorter than a round, so positions differ
+                    place = (place + np.uint64(1) + text.mix(paths ^ np.uint64(pick + 1)) % (width // np.uint64(picks))) % width
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(out).view(np.int64)), pa.array(np.tile(reps[rows], params.picks))],
-                    ["node", "rep"],
-                )
+                    [pa.array(np.concatenate(nodes_).view(np.int64)), pa.array(np.concatenate(owners))], ["node", "rep"]
+                )
+
+    wanted = ["node", "rep", "short"] if depth else ["rep", "tokens"]
+    return nodes.select(*wanted).mapInArrow(run, "node long, rep long")
 
-    wanted = ["rep", "tokens"] if first else ["node", "rep", "tokens"]
-    return nodes.select(*wanted).mapInArrow(run, "node long, rep long").distinct()
+
+def _members(children: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """node, rep, c, n, hub of the nodes that hold two documents not yet in one component."""
+    if labels is None:
+        named = children.withColumn("c", F.col("rep"))
+    else:
+        named = children.join(_label("rep", labels, "c"), "rep", "left").withColumn("c", F.coalesce("c", "rep"))
+    named = named.dropDuplicates(["node", "rep"])
+    sizes = named.groupBy("node").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min(F.struct(F.xxhash64("rep", "node"), "rep"))["rep"].alias("hub"),
+        F.min("c").alias("_low"),
+        F.max("c").alias("_high"),
+    )
+    return stage(named.join(sizes.filter("_low < _high").drop("_low", "_high"), "node"), "cp-members")
 
 
 def _leaf_pairs(leaves: DataFrame, params: ChosenPath) -> DataFrame:
-    """All pairs of each small node that agree in enough tokens."""
+    """All pairs of each small node that are in two components and agree in enough tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = [], []
             for members in batch.column("members").to_pylist():
                 reps = np.array([m["rep"] for m in members])
-                tokens = np.frombuffer(b"".join(m["tokens"] for m in members), np.uint32).reshape(len(reps), -1)
+                own = np.array([m["c"] for m in members])
+                tokens = np.frombuffer(b"".join(m["short"] for m in members), np.uint16).reshape(len(reps), -1)
                 for i in range(len(reps) - 1):
                     same = (tokens[i + 1 :] == tokens[i]).sum(axis=1) >= params.floor
-                    other = reps[i + 1 :][same]
+                    other = reps[i + 1 :][same & (own[i + 1 :] != own[i])]
                     left.append(np.minimum(other, reps[i]))
                     right.append(np.maximum(other, reps[i]))
             none = [np.empty(0, np.int64)]
@@ -134,8 +172,8 @@ def _leaf_pairs(leaves: DataFrame, params: ChosenPath) -> DataFrame:
                 [pa.array(np.concatenate(left or none)), pa.array(np.concatenate(right or none))], ["a", "b"]
             )
 
-    grouped = leaves.groupBy("node").agg(F.collect_list(F.struct("rep", "tokens")).alias("members"))
-    return grouped.select("members").mapInArrow(run, "a long, b long")
+    grouped = leaves.groupBy("node").agg(F.collect_list(F.struct("rep", "c", "short")).alias("members"))
+    return grouped.select("members").mapInArrow(run, "a long, b long").distinct()
 
 
 def _agree(pairs: DataFrame, tokens: DataFrame, params: ChosenPath) -> DataFrame:
@@ -144,13 +182,13 @@ def _agree(pairs: DataFrame, tokens: DataFrame, params: ChosenPath) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ta, tb = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(len(batch), -1)
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(len(batch), -1)
                 for c in ("ta", "tb")
             )
             keep = pa.array((ta == tb).sum(axis=1) >= params.floor)
             yield batch.select(["a", "b"]).filter(keep)
 
-    side = lambda c: tokens.select(F.col("rep").alias(c), F.col("tokens").alias(f"t{c}"))
+    side = lambda c: tokens.select(F.col("rep").alias(c), F.col("short").alias(f"t{c}"))
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
@@ -196,58 +234,59 @@ def near_duplicates(
     no rows. Other columns are ignored.
 
     Rows of equal sets are one class, of which only the smallest id goes on.
-    In a large node that no longer splits, every member is compared with one
-    hub; members that this leaves in other components than most of the node
-    are compared with all of it. So links inside one component need not be
-    listed, and none between components is lost there.
+    Links inside one component need not all be found; between components they
+    are, as above. In nodes still large at the last depth, the members outside
+    the hub's component are compared with all others.
     """
     params = params or ChosenPath()
-    spark = docs.sparkSession
+    bounded_batches(docs.sparkSession)
     rows = stage(embed(docs, params, id_col, text_col), "cp-rows")
     reps = stage(
         rows.filter(F.col("print").isNotNull() & F.col("doc_id").isNotNull())
         .groupBy("print")
-        .agg(F.min("doc_id").alias("rep"), F.first("tokens").alias("tokens")),
+        .agg(F.min("doc_id").alias("rep"), F.first("tokens").alias("tokens"), F.first("short").alias("short")),
         "cp-classes",
     )
-    tokens = reps.select("rep", "tokens")
-
-    none = spark.createDataFrame([], "a long, b long")
-    pairs, level, stuck = none, reps, None
-    for depth in range(params.depth):
-        children = stage(_branch(level, params, first=depth == 0), "cp-children")
-        sizes = children.groupBy("node").agg(
-            F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("rep", "node"), "rep"))["rep"].alias("hub")
-        )
-        level = stage(children.join(sizes.filter("n > 1"), "node").join(tokens, "rep"), "cp-level")
-        pairs = pairs.union(_leaf_pairs(level.filter(F.col("n") <= params.leaf), params))
-        level = level.filter(F.col("n") > params.leaf)
-        if level.isEmpty():
+    short = reps.select("rep", "short")
+    check = lambda pairs: stage(confirm(pairs, docs, params, id_col, text_col), "cp-links")
+    name = lambda links: stage(connected_components(links), "cp-labels")
+
+    # The first level. The smallest partner first: most other pairs then lie inside a component.
+    members = _members(_branch(reps, params, 0), None)
+    large = members.filter(F.col("n") > params.leaf)
+    stars = large.filter("rep <> hub").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b"))
+    pairs = stage(
+        _leaf_pairs(members.filter(F.col("n") <= params.leaf).join(short, "rep"), params)
+        .union(_agree(stars.distinct(), short, params))
+        .distinct(),
+        "cp-pairs",
+    )
+    links = check(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    labels = name(links)
+    links = links.union(check(_apart(pairs, labels)))
+    labels = name(links)
+
+    found = []
+    large = _members(large.select("node", "rep"), labels)
+    for depth in range(1, params.depth):
+        if large.isEmpty():
             break
-    else:
-        stuck = level
-        stars = level.filter("rep <> hub").select(
-            F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")
-        )
-        pairs = pairs.union(_agree(stars.distinct(), tokens, params))
-
-    pairs = stage(pairs.distinct(), "cp-pairs")
-    # The smallest partner first: most other pairs then lie inside a component.
-    first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = stage(confirm(first, docs, params, id_col, text_col), "cp-links")
-    labels = stage(connected_components(links), "cp-labels")
-    more = stage(confirm(_apart(pairs, labels), docs, params, id_col, text_col), "cp-links")
-    links = links.union(more)
-    labels = stage(connected_components(links), "cp-labels")
-    if stuck is not None:
-        rest = stage(_agree(_left_over(stuck, labels), tokens, params), "cp-pairs")
-        links = links.union(stage(confirm(rest, docs, params, id_col, text_col), "cp-links"))
-        labels = stage(connected_components(links), "cp-labels")
+        children = stage(_branch(large.join(short, "rep"), params, depth), "cp-children")
+        members = _members(children, labels)
+        found.append(stage(_leaf_pairs(members.filter(F.col("n") <= params.leaf).join(short, "rep"), params), "cp-pairs"))
+        large = members.filter(F.col("n") > params.leaf)
+    if found:
+        links = links.union(check(reduce(DataFrame.union, found).distinct()))
+        labels = name(links)
+    if not large.isEmpty():
+        rest = stage(_agree(_left_over(large, labels), short, params), "cp-pairs")
+        links = links.union(check(rest))
+        labels = name(links)
 
     classes = reps.select("print", F.col("rep").alias("node")).join(labels, "node", "left")
     classes = classes.select("print", F.coalesce("component", "node").alias("component_id"))
     component = F.coalesce("component_id", "doc_id")
-    return rows.drop("tokens").join(classes, "print", "left").select(
+    return rows.drop("tokens", "short").join(classes, "print", "left").select(
         "doc_id",
         "n_shingles",
         component.alias("component_id"),

@@ -86,6 +86,7 @@ def plan_mix(
     share: float = SHARE,
     cap: float = CAP,
     whole: bool = False,
+    keep: Sequence[str] = (),
     schedules: Sequence[tuple[float, float]] = SCHEDULES,
 ) -> DataFrame:
     """What the mix takes of every row: one output row per input row.
@@ -97,7 +98,8 @@ def plan_mix(
     A source gives as many whole epochs as fit into its target; the rest is
     taken from the front of its order, which is by md5 of the id. The row on
     the border gives only the words missing to the target; with whole=True it
-    is taken in full or not at all, whichever is nearer.
+    is taken in full or not at all, whichever is nearer. Columns named in keep
+    go along.
 
     Null or wordless text has size 0 and is never taken. A null source is one
     source of its own, last in order. Rows of equal id, also null ones, stay
@@ -110,6 +112,7 @@ def plan_mix(
             F.col(id_col).alias("doc_id"),
             F.col(source_col).alias("source"),
             F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long").alias("size"),
+            *keep,
         ),
         "mix-sizes",
     )
@@ -123,17 +126,21 @@ def plan_mix(
         .withColumn("_bucket", F.substring("_key", 1, 4))
     )
     before = (Window.unboundedPreceding, -1)
+
+    def earlier(rows: DataFrame, within: list[str], by: str, out: str) -> DataFrame:
+        """Words of a source in earlier buckets of the same group."""
+        inside = Window.partitionBy(*within).orderBy(by).rowsBetween(*before)
+        return rows.withColumn(out, F.coalesce(F.sum("_words").over(inside), F.lit(0)))
+
+    # 256 groups of 256 buckets each, so that no window has more rows than that
+    fine = keyed.groupBy("sid", "_bucket").agg(F.sum("size").alias("_words"))
+    fine = fine.withColumn("_group", F.substring("_bucket", 1, 2))
+    coarse = fine.groupBy("sid", "_group").agg(F.sum("_words").alias("_words"))
+    coarse = earlier(coarse, ["sid"], "_group", "_groups").drop("_words")
     buckets = (
-        keyed.groupBy("sid", "_bucket")
-        .agg(F.sum("size").alias("_words"))
-        .select(
-            "sid",
-            "_bucket",
-            F.coalesce(
-                F.sum("_words").over(Window.partitionBy("sid").orderBy("_bucket").rowsBetween(*before)),
-                F.lit(0),
-            ).alias("_before"),
-        )
+        earlier(fine, ["sid", "_group"], "_bucket", "_own")
+        .join(coarse, ["sid", "_group"])
+        .select("sid", "_bucket", (F.col("_groups") + F.col("_own")).alias("_before"))
     )
     inside = Window.partitionBy("sid", "_bucket").orderBy("_key", "doc_id", "size").rowsBetween(*before)
     start = F.col("_before") + F.coalesce(F.sum("size").over(inside), F.lit(0))
@@ -155,16 +162,16 @@ def plan_mix(
     )
     return planned.select(
         "doc_id", "source", "size", "source_size", "target", "epochs", "part", "taken", "start", "sid",
-        position.alias("position"),
+        position.alias("position"), *keep,
     )
 
 
 def training_order(
-    plan: DataFrame, schedules: Sequence[tuple[float, float]] = SCHEDULES
+    plan: DataFrame, schedules: Sequence[tuple[float, float]] = SCHEDULES, keep: Sequence[str] = ()
 ) -> DataFrame:
     """The mix as it is read: one row per take, range-sorted by position.
 
-    Columns: position, doc_id, epoch (0-based) and words. Takes due at the same
+    Columns: position, doc_id, epoch (0-based), words and those in keep. Takes due at the same
     time stand in the order of source and offset, so reruns agree.
     """
     takes = F.col("epochs") + F.when(F.col("part") > 0, 1).otherwise(0)
@@ -175,5 +182,19 @@ def training_order(
         .withColumn("position", _due(offset, F.col("target"), schedules, F.col("sid")))
         .withColumn("words", F.when(F.col("epoch") < F.col("epochs"), F.col("size")).otherwise(F.col("part")))
         .orderBy("position", "sid", "epoch", "start", "doc_id")
-        .select("position", "doc_id", "epoch", "words")
+        .select("position", "doc_id", "epoch", "words", *keep)
     )
+
+
+def mix_documents(docs: DataFrame) -> DataFrame:
+    """The rows of the mix in training order, one per take, with the columns they came with.
+
+    Rows are taken whole. Rows of equal id and text are one row taken as often
+    as all of them are.
+    """
+    marked = docs.withColumn("_print", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    takes = training_order(plan_mix(marked, whole=True, keep=["_print"]), keep=["_print"])
+    takes = takes.select(F.col("doc_id").alias("_id"), F.col("_print").alias("_text"), "position", "epoch")
+    rows = marked.dropDuplicates(["doc_id", "_print"])
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_print") == F.col("_text"))
+    return rows.join(takes, same).orderBy("position", "_id", "epoch").select(*docs.columns)

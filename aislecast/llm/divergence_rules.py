@@ -15,10 +15,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aislecast.llm.common import WORD, text_of
+from aislecast.session import stage
 
-# ASCII character classes; what is in none of them is "other".
+OWN = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+OWN += ["class_distance", "word_distance", "kept"]
+
+# Character classes; what is in none of them, mostly small letters, is the last.
 CLASSES = {
-    "lower": "a-z",
+    "other": r"^\x00-\x7F",
     "upper": "A-Z",
     "digit": "0-9",
     "space": r"\x20\x09-\x0D",
@@ -46,26 +50,27 @@ def _length_without(text: Column, chars: str) -> Column:
 def _repeated(words: str) -> list[tuple[str, Column]]:
     """Words in three-word windows that occur twice or more, in steps.
 
-    Windows are sorted by a 64-bit hash, equal neighbours give positions, and
-    the union of [p, p + 2] over sorted positions is counted.
+    Only if some 64-bit hash of a window occurs twice, windows are sorted by
+    hash, equal neighbours give positions, and the union of [p, p + 2] over
+    sorted positions is counted.
     """
-    w = F.col(words)
-    grams = F.when(
-        F.size(w) >= 3,
-        F.transform(
-            F.sequence(F.lit(0), F.size(w) - 3),
-            lambda i: F.struct(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("i")),
-        ),
+    w, h, s, p = (F.col(c) for c in (words, "_hashes", "_grams", "_places"))
+    hashes = F.transform(
+        F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
     )
-    s = F.col("_grams")
-    twin = lambda x, i: F.coalesce((F.get(s, i - 1)["h"] == x["h"]) | (F.get(s, i + 1)["h"] == x["h"]), F.lit(False))
-    p = F.col("_places")
+    grams = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+
+    def twin(x: Column, i: Column) -> Column:
+        before = F.when(i > 0, F.get(s, i - 1)["h"] == x["h"]).otherwise(F.lit(False))
+        return before | F.coalesce(F.get(s, i + 1)["h"] == x["h"], F.lit(False))
+
     cover = F.transform(p, lambda x, i: F.least(F.lit(3), F.coalesce(F.get(p, i + 1) - x, F.lit(3))))
     return [
-        ("_grams", F.sort_array(grams)),
-        ("_places", F.sort_array(F.transform(F.filter(s, lambda x, i: F.when(i == 0, F.coalesce(F.get(s, i + 1)["h"] == x["h"], F.lit(False))).otherwise(twin(x, i))), lambda x: x["i"]))),
+        ("_hashes", F.when(F.size(w) >= 4, hashes)),
+        ("_grams", F.when(F.size(F.array_distinct(h)) < F.size(h), grams)),
+        ("_places", F.sort_array(F.transform(F.filter(s, twin), lambda x: x["i"]))),
         ("n_repeat_words", F.coalesce(F.aggregate(cover, F.lit(0), lambda a, x: a + x), F.lit(0)).cast("long")),
-    ]
+    ]
 
 
 def with_counts(docs: DataFrame, rules: Rules, text_col: str = "text") -> DataFrame:
@@ -75,9 +80,9 @@ def with_counts(docs: DataFrame, rules: Rules, text_col: str = "text") -> DataFr
     out = docs.withColumn("_text", text).withColumn("_chars", F.length("_text"))
     for name, chars in CLASSES.items():
         out = out.withColumn(f"_{name}", F.col("_chars") - _length_without(t, chars))
-    other = F.col("_chars") - sum((F.col(f"_{n}") for n in CLASSES), F.lit(0))
+    rest = F.col("_chars") - sum((F.col(f"_{n}") for n in CLASSES), F.lit(0))
     out = (
-        out.withColumn("_class", F.array(*(F.col(f"_{n}").cast("long") for n in CLASSES), other.cast("long")))
+        out.withColumn("_class", F.array(*(F.col(f"_{n}").cast("long") for n in CLASSES), rest.cast("long")))
         .withColumn("_words", F.regexp_extract_all("_text", F.lit(WORD), F.lit(0)))
         .withColumn("_lines", lines)
     )
@@ -101,73 +106,47 @@ def with_counts(docs: DataFrame, rules: Rules, text_col: str = "text") -> DataFr
     )
 
 
-def _lower(text: Column) -> Column:
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
-def reference_words(docs: DataFrame, rules: Rules, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
-    """The most frequent lower-cased words of every language: lang, word, n.
+def learn_words(
+    docs: DataFrame, rules: Rules, lang_col: str = "lang", text_col: str = "text"
+) -> dict[str, dict[str, float]]:
+    """The shares of the most frequent lower-cased words of every language.
 
-    The limit per language is applied inside each task before the shuffle.
+    From all rows that name a language. The limit per language is applied in
+    each task before the shuffle; the driver gets rules.languages times
+    rules.common rows at most, of the languages with most words.
     """
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
-    return (
+    counted = (
         docs.filter(F.col(lang_col).isNotNull())
         .select(
             F.col(lang_col).alias("lang"),
-            F.explode(F.regexp_extract_all(_lower(text_of(text_col)), F.lit(WORD), F.lit(0))).alias("word"),
+            F.explode(F.regexp_extract_all(F.lower(text_of(text_col)), F.lit(WORD), F.lit(0))).alias("word"),
         )
         .groupBy("lang", "word")
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("_rank", rank)
-        .filter(F.col("_rank") <= rules.common)
-        .drop("_rank")
-    )
-
-
-def reference_classes(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
-    """Characters by class of every language: lang, chars, one column a class."""
-    t = F.col("_text")
-    per_row = docs.filter(F.col(lang_col).isNotNull()).select(
-        F.col(lang_col).alias("lang"), text_of(text_col).alias("_text")
     )
-    sums = [F.sum(F.length(t) - _length_without(t, chars)).alias(name) for name, chars in CLASSES.items()]
-    return per_row.groupBy("lang").agg(F.sum(F.length(t)).alias("chars"), *sums)
-
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
+    best = counted.withColumn("_rank", rank).filter(F.col("_rank") <= rules.common)
+    largest = best.groupBy("lang").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "lang").limit(rules.languages)
+    out: dict[str, dict[str, float]] = {}
+    for r in best.join(largest, "lang").orderBy("lang", "word").collect():
+        out.setdefault(r["lang"], {})[r["word"]] = r["n"] / r["total"]
+    return out
 
-def learn_references(
-    docs: DataFrame, rules: Rules | None = None, lang_col: str = "lang", text_col: str = "text"
-) -> list[dict]:
-    """Reference histograms by language, from all rows that name one.
 
-    What comes to the driver is bounded by rules.languages and rules.common.
-    """
-    rules = rules or Rules()
+def learn_classes(measured: DataFrame, rules: Rules, lang_col: str = "lang") -> dict[str, list[float]]:
+    """The shares of the character classes of every language, of those with most characters."""
+    sums = [F.sum(F.get("_class", F.lit(k))).alias(f"c{k}") for k in range(len(CLASSES) + 1)]
+    total = sum((F.col(f"c{k}") for k in range(1, len(sums))), F.col("c0"))
     largest = (
-        reference_classes(docs, lang_col, text_col)
-        .filter(F.col("chars") > 0)
+        measured.filter(F.col(lang_col).isNotNull())
+        .groupBy(F.col(lang_col).alias("lang"))
+        .agg(*sums)
+        .withColumn("chars", total)
+        .filter("chars > 0")
         .orderBy(F.desc("chars"), "lang")
         .limit(rules.languages)
-        .collect()
     )
-    kept = [r["lang"] for r in largest]
-    words: dict[str, dict[str, int]] = {lang: {} for lang in kept}
-    if kept:
-        for r in reference_words(docs.filter(F.col(lang_col).isin(kept)), rules, lang_col, text_col).collect():
-            words[r["lang"]][r["word"]] = r["n"]
-    out = []
-    for r in largest:
-        chars = [r[name] for name in CLASSES]
-        chars.append(r["chars"] - sum(chars))
-        total = sum(words[r["lang"]].values())
-        out.append(
-            {
-                "lang": r["lang"],
-                "classes": [c / r["chars"] for c in chars],
-                "words": {w: n / total for w, n in sorted(words[r["lang"]].items())},
-            }
-        )
-    return out
+    return {r["lang"]: [r[f"c{k}"] / r["chars"] for k in range(len(sums))] for r in largest.collect()}
 
 
 def _divergence_term(p: Column, q: Column) -> Column:
@@ -180,22 +159,21 @@ def _distance(twice: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), twice / 2.0))
 
 
-def _class_distance(reference: dict) -> Column:
+def _class_distance(shares: list[float]) -> Column:
     total = F.aggregate("_class", F.lit(0).cast("long"), lambda a, x: a + x)
     p = lambda k: F.get("_class", F.lit(k)) / F.greatest(total, F.lit(1).cast("long"))
-    terms = [_divergence_term(p(k), F.lit(float(q))) for k, q in enumerate(reference["classes"])]
+    terms = [_divergence_term(p(k), F.lit(float(q))) for k, q in enumerate(shares)]
     return _distance(sum(terms[1:], terms[0]))
 
 
-def _word_distance(reference: dict) -> Column:
+def _word_distance(shares: dict[str, float]) -> Column:
     """Over the reference's words: those not in the text add their own share."""
-    words = list(reference["words"])
-    shares = F.create_map(*(F.lit(x) for w in words for x in (w, float(reference["words"][w]))))
-    mine = F.filter("_hist", lambda x: x["word"].isin(words))
+    known = F.create_map(*(F.lit(x) for item in shares.items() for x in item))
+    mine = F.filter("_hist", lambda x: x["word"].isin(list(shares)))
     total = F.aggregate(mine, F.lit(0).cast("long"), lambda a, x: a + x["n"])
 
     def add(a: Column, x: Column) -> Column:
-        q = F.element_at(shares, x["word"])
+        q = F.element_at(known, x["word"])
         return F.struct(
             (a["terms"] + _divergence_term(x["n"] / total, q)).alias("terms"), (a["seen"] + q).alias("seen")
         )
@@ -204,60 +182,66 @@ def _word_distance(reference: dict) -> Column:
     return F.aggregate(mine, start, add, lambda a: _distance(a["terms"] + (1.0 - a["seen"])))
 
 
+def _nearest(distances: list[Column]) -> Column:
+    if not distances:
+        return F.lit(None).cast("double")
+    return F.least(*distances) if len(distances) > 1 else distances[0]
+
+
+def measure(docs: DataFrame, words: dict[str, dict[str, float]], rules: Rules, text_col: str = "text") -> DataFrame:
+    """Adds the base counts, word_distance and _class (characters by class)."""
+    out = with_counts(docs.drop(*(c for c in OWN if c != text_col)), rules, text_col)
+    known = sorted({w for shares in words.values() for w in shares})
+    hist = F.transform(
+        F.array_distinct("_common"),
+        lambda w: F.struct(w.alias("word"), (F.size("_common") - F.size(F.array_remove("_common", w))).cast("long").alias("n")),
+    )
+    enough = (F.col("n_words") >= rules.divergence_words) & (F.size("_common") >= rules.common_words)
+    return (
+        out.withColumn("_common", F.filter(F.transform("_words", F.lower), lambda w: w.isin(known)))
+        .withColumn("_hist", hist)
+        .withColumn("word_distance", F.when(enough, _nearest([_word_distance(w) for w in words.values()])))
+        .drop("_text", "_words", "_common", "_hist")
+    )
+
+
+def verdict(measured: DataFrame, classes: dict[str, list[float]], rules: Rules) -> DataFrame:
+    """Adds class_distance and kept to measured rows."""
+    distance = F.when(F.col("n_words") >= rules.divergence_words, _nearest([_class_distance(c) for c in classes.values()]))
+    far = lambda c, limit: F.coalesce(F.col(c) > limit, F.lit(False))
+    out = measured.withColumn("class_distance", distance)
+    fine = ~far("class_distance", rules.max_class_distance) & ~far("word_distance", rules.max_word_distance)
+    return out.withColumn("kept", ~F.col("base_failed") & fine).drop("_class")
+
+
 def judge(
     docs: DataFrame,
-    references: list[dict],
     rules: Rules | None = None,
+    id_col: str = "doc_id",
     text_col: str = "text",
+    lang_col: str = "lang",
 ) -> DataFrame:
-    """Adds counts, distances and the verdict to every row.
+    """One row per input row: the id, base counts, distances and the verdict.
 
-    New columns: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, class_distance and word_distance (to the nearest language;
-    null where the text is too short to tell or there is no reference) and
-    kept. Columns of these names are replaced.
+    Columns: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    base_failed, word_distance and class_distance (to the nearest language;
+    null where the text is too short to tell or no row names a language) and
+    kept.
 
-    Null or empty text has no words and fails the word minimum. Repeated rows
-    get equal verdicts. No rows give no rows. A text of any length is one row.
+    Null or empty text has no words and fails the word minimum. A null language
+    gives no reference but is judged like the rest. Repeated rows get equal
+    verdicts. No rows give no rows. Other columns are ignored. A text of any
+    length is one row.
     """
     rules = rules or Rules()
-    own = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    own += ["class_distance", "word_distance", "kept"]
-    out = with_counts(docs.drop(*(c for c in own if c != text_col)), rules, text_col)
-    known = sorted({w for r in references for w in r["words"]})
-    nearest = lambda xs: F.least(*xs) if len(xs) > 1 else xs[0]
-    if not references:
-        return out.drop("_text", "_words", "_class").withColumns(
-            {
-                "class_distance": F.lit(None).cast("double"),
-                "word_distance": F.lit(None).cast("double"),
-                "kept": ~F.col("base_failed"),
-            }
-        )
-    common = F.filter(F.transform("_words", _lower), lambda w: w.isin(known))
-    hist = F.transform(
-        F.array_distinct("_common"),
-        lambda w: F.struct(w.alias("word"), (F.size("_common") - F.size(F.array_remove("_common", w))).cast("long").alias("n")),
-    )
-    long_enough = F.col("n_words") >= rules.divergence_words
-    enough = long_enough & (F.size("_common") >= rules.common_words)
-    out = (
-        out.withColumn("_common", common)
-        .withColumn("_hist", hist)
-        .withColumn("class_distance", F.when(long_enough, nearest([_class_distance(r) for r in references])))
-        .withColumn("word_distance", F.when(enough, nearest([_word_distance(r) for r in references])))
-    )
-    far = F.coalesce(F.col("class_distance") > rules.max_class_distance, F.lit(False)) | F.coalesce(
-        F.col("word_distance") > rules.max_word_distance, F.lit(False)
-    )
-    return out.withColumn("kept", ~F.col("base_failed") & ~far).drop(
-        "_text", "_words", "_class", "_common", "_hist"
-    )
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    measured = stage(measure(rows, learn_words(rows, rules), rules).drop("text"), "measured")
+    return verdict(measured, learn_classes(measured, rules), rules).drop("lang")
 
 
 def filter_documents(docs: DataFrame, rules: Rules | None = None) -> DataFrame:
     """Only the rows that pass, with the columns they came with."""
     rules = rules or Rules()
-    marked = docs.withColumn("_row", F.struct(*docs.columns))
-    kept = judge(marked.select("_row", F.col("text")), learn_references(docs, rules), rules).filter("kept")
-    return kept.select("_row.*")
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), "text", "lang")
+    measured = measure(rows, learn_words(rows, rules), rules)
+    return verdict(measured, learn_classes(measured, rules), rules).filter("kept").select("_row.*")

@@ -274,11 +274,12 @@ def _orders(lists: list[list[tuple[float, np.ndarray]]], n: int) -> Iterator[tup
 
 
 def encode_nbest(
-    docs: DataFrame, n: int = 4, model_path: str = MODEL, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True
+    docs: DataFrame, n: int = 4, model_path: str = MODEL, id_col: str = "doc_id", text_col: str = "text", ids_of: int = 1
 ) -> DataFrame:
     """The n best segmentations of every row: doc_id, rank (from 1), score, n_pieces, ids_sha256, round_trip, ids.
 
-    A space goes before every text that is not empty, as the models expect.
+    Ranks up to ids_of carry their ids, later ones null; with 0 there is no
+    column ids. A space goes before every text that is not empty, as the models expect.
     Characters without a piece become byte pieces. round_trip says that the ids
     decode to the text again. ids_sha256 is of the ids as 32-bit little-endian
     numbers. Texts with fewer segmentations have fewer rows; null and empty
@@ -293,14 +294,14 @@ def encode_nbest(
         memory = Memory(_pieces(model))
         for batch in batches:
             for i, j, data, at in text.chunks(batch.column(1)):
-                yield from _rows(memory, batch.column(0).slice(i, j - i).to_pylist(), data, at, n, with_ids)
+                yield from _rows(memory, batch.column(0).slice(i, j - i).to_pylist(), data, at, n, ids_of)
 
     schema = "doc_id long, rank int, score double, n_pieces long, ids_sha256 string, round_trip boolean"
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, schema + (", ids array<int>" if with_ids else ""))
+    return rows.mapInArrow(run, schema + (", ids array<int>" if ids_of else ""))
 
 
-def _rows(memory: Memory, ids: list, data: np.ndarray, at: np.ndarray, n: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
+def _rows(memory: Memory, ids: list, data: np.ndarray, at: np.ndarray, n: int, ids_of: int) -> Iterator[pa.RecordBatch]:
     pieces = memory.pieces
     if SPACE in data.tobytes():
         data = np.frombuffer(data.tobytes().replace(SPACE, ESCAPED), np.uint8)
@@ -352,13 +353,11 @@ def _rows(memory: Memory, ids: list, data: np.ndarray, at: np.ndarray, n: int, w
                     before = total[u + 1]
                     fine = fine and pieces.decode(options[c][1]) == unit.replace(ESCAPED, SPACE)
             path = np.concatenate([*parts, every[before : total[hi]]]) if parts else best
-            for into, x in zip(out, (doc_id, rank + 1, best_score - loss, len(path), hashlib.sha256(path.astype("<i4").tobytes()).hexdigest(), fine, path), strict=True):
+            for into, x in zip(out, (doc_id, rank + 1, best_score - loss, len(path), hashlib.sha256(path.astype("<i4").tobytes()).hexdigest(), fine, path if rank < ids_of else None), strict=True):
                 into.append(x)
     columns = [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.float64()), pa.array(out[3], pa.int64()), pa.array(out[4], pa.string()), pa.array(out[5], pa.bool_())]
     names = ["doc_id", "rank", "score", "n_pieces", "ids_sha256", "round_trip"]
-    if with_ids:
-        offsets = np.concatenate([[0], np.cumsum([len(p) for p in out[6]])]).astype(np.int32)
-        flat = np.concatenate(out[6]) if out[6] else np.empty(0, np.int32)
-        columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32))))
+    if ids_of:
+        columns.append(pa.array(out[6], pa.list_(pa.int32())))
         names.append("ids")
     yield pa.RecordBatch.from_arrays(columns, names)

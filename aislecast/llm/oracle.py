@@ -50,7 +50,7 @@ def _re(chars: str) -> str:
 
 def rules_sql(rules: Rules | None = None) -> str:
     r = rules or Rules()
-    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    lower = "lower(coalesce(text, ''))"
     counts = ", ".join(
         f"(length(t) - length(regexp_replace(t, '{_re(chars)}', '', 'g')))::BIGINT AS c{k}"
         for k, chars in enumerate(CLASSES.values())
@@ -83,9 +83,11 @@ def rules_sql(rules: Rules | None = None) -> str:
       FROM base WHERE lang IS NOT NULL GROUP BY lang HAVING sum(length(t)) > 0 ORDER BY chars DESC, lang LIMIT {r.languages}),
     ranked AS (
       SELECT lang, word, count(*) AS n, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, word) AS rn
-      FROM (SELECT lang, unnest(regexp_extract_all(lt, '{WORD}')) AS word FROM rows_ WHERE lang IN (SELECT lang FROM langs))
+      FROM (SELECT lang, unnest(regexp_extract_all(lt, '{WORD}')) AS word FROM rows_ WHERE lang IS NOT NULL)
       GROUP BY lang, word),
-    refs AS (SELECT lang, word, n::DOUBLE / sum(n) OVER (PARTITION BY lang) AS q FROM ranked WHERE rn <= {r.common}),
+    spoken AS (SELECT lang, sum(n) AS total FROM ranked WHERE rn <= {r.common} GROUP BY lang
+               ORDER BY total DESC, lang LIMIT {r.languages}),
+    refs AS (SELECT lang, word, n::DOUBLE / total AS q FROM ranked JOIN spoken USING (lang) WHERE rn <= {r.common}),
     seen AS (
       SELECT id, word, count(*) AS n FROM (SELECT id, unnest(regexp_extract_all(lt, '{WORD}')) AS word FROM rows_)
       WHERE word IN (SELECT word FROM refs) GROUP BY id, word),

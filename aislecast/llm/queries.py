@@ -39,9 +39,7 @@ def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    judged = divergence_rules.judge(docs, divergence_rules.learn_references(docs))
-    return judged.select(
+    return divergence_rules.judge(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
 
@@ -64,7 +62,7 @@ def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_segment_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nbest.encode_nbest(table(spark, sf_dir, "documents"), with_ids=False)
+    return nbest.encode_nbest(table(spark, sf_dir, "documents"), ids_of=0)
 
 
 @query
