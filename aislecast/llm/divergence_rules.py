@@ -243,5 +243,6 @@ def filter_documents(docs: DataFrame, rules: Rules | None = None) -> DataFrame:
     """Only the rows that pass, with the columns they came with."""
     rules = rules or Rules()
     rows = docs.select(F.struct(*docs.columns).alias("_row"), "text", "lang")
-    measured = measure(rows, learn_words(rows, rules), rules)
+    # written before the filter, which would else be pushed below and repeat the measures
+    measured = stage(measure(rows, learn_words(rows, rules), rules).drop("text"), "measured")
     return verdict(measured, learn_classes(measured, rules), rules).filter("kept").select("_row.*")
