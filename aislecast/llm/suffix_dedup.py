@@ -92,6 +92,12 @@ def _key(padded: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(eights[at]).view(">u8")[:, 0].astype(np.uint64)
 
 
+def _prefix(padded: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """The n bytes from each position, as strings that sort by byte."""
+    windows = np.lib.stride_tricks.sliding_window_view(padded, n)
+    return np.ascontiguousarray(windows[at]).view(f"S{n}")[:, 0]
+
+
 def _changes(keys: list[np.ndarray]) -> np.ndarray:
     """Where a row differs from the one before it; the first one does."""
     out = np.zeros(len(keys[0]), dtype=bool)
@@ -107,10 +113,10 @@ def cover_ranks(padded: np.ndarray, n: int, depth: int) -> np.ndarray:
     on = np.zeros(PERIOD, dtype=bool)
     on[list(COVER)] = True
     places = places[on[places % PERIOD]]
-    keys = [_key(padded, places + 8 * k) for k in range(-(-depth // 8))]
-    order = np.lexsort(keys[::-1])
+    prefix = _prefix(padded, places, depth)
+    order = np.argsort(prefix, kind="stable")
     ranks = np.zeros(len(padded), dtype=np.int32)
-    ranks[places[order]] = np.cumsum(_changes([k[order] for k in keys]))
+    ranks[places[order]] = np.cumsum(_changes([prefix[order]]))
     return ranks
 
 
@@ -155,10 +161,10 @@ def equal_windows(data: np.ndarray, pos: np.ndarray, length: int, at_a_time: int
         if end < len(pos):  # never cut a bucket of equal leading bytes
             end = int(np.searchsorted(first, first[end - 1], side="right"))
         part = pos[by_first[start:end]]
-        keys = [first[start:end], *(_key(padded, part + 8 * k) for k in range(1, TIED // 8))]
-        order = np.lexsort(keys[::-1])
+        prefix = _prefix(padded, part, TIED)
+        order = np.argsort(prefix, kind="stable")
         part = part[order]
-        ties = ~_changes([k[order] for k in keys])
+        ties = ~_changes([prefix[order]])
         group = np.cumsum(~ties)
         open_ = ties.copy()
         open_[:-1] |= ties[1:]
@@ -344,7 +350,9 @@ def _sort_bin(p: Passages):
         lowest = np.repeat(owner[np.cumsum(copies) - copies], sizes)  # runs come with owners in order
 
         ordered, same = equal_windows(data, pos, p.length, p.sort_bucket)
-        back = np.searchsorted(pos, ordered)
+        at_pos = np.zeros(len(data), dtype=np.int32)
+        at_pos[pos] = np.arange(len(pos))
+        back = at_pos[ordered]
         heads = np.flatnonzero(~same)
         least = np.minimum.reduceat(lowest[back], heads)
         first = np.empty(len(pos), dtype=np.int64)
