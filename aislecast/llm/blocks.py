@@ -216,3 +216,19 @@ def read_keys(payload: bytes) -> np.ndarray:
     steps[:, :width] = raw
     out = np.cumsum(steps.view(np.uint64)[:, 0], dtype=np.uint64)
     return out + np.frombuffer(payload[1:9], np.uint64)[0]
+
+
+def write_counts(counts: np.ndarray) -> bytes:
+    """Counts in one byte each, those of 255 and more listed behind."""
+    large = np.flatnonzero(counts >= 255)
+    head = np.array([len(counts), len(large)], np.int64).tobytes()
+    return head + np.minimum(counts, 255).astype(np.uint8).tobytes() + large.astype(np.int64).tobytes() + counts[large].astype(np.int64).tobytes()
+
+
+def read_counts(payload: bytes, start: int) -> tuple[np.ndarray, int]:
+    """Those counts, and where they end."""
+    n, m = (int(x) for x in np.frombuffer(payload, np.int64, 2, start))
+    out = np.frombuffer(payload, np.uint8, n, start + 16).astype(np.int64)
+    at = start + 16 + n
+    out[np.frombuffer(payload, np.int64, m, at)] = np.frombuffer(payload, np.int64, m, at + 8 * m)
+    return out, at + 16 * m

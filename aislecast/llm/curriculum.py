@@ -192,9 +192,11 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     Rows are taken whole. Rows of equal id and text are one row taken as often
     as all of them are.
     """
-    marked = docs.withColumn("_print", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    takes = training_order(plan_mix(marked, whole=True, keep=["_print"]), keep=["_print"])
-    takes = takes.select(F.col("doc_id").alias("_id"), F.col("_print").alias("_text"), "position", "epoch")
-    rows = marked.dropDuplicates(["doc_id", "_print"])
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_print") == F.col("_text"))
-    return rows.join(takes, same).orderBy("position", "_id", "epoch").select(*docs.columns)
+    rows = docs.select(
+        "doc_id", "text", "source", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_print"), F.struct(*docs.columns).alias("_row")
+    )
+    takes = training_order(plan_mix(rows, whole=True, keep=["_print"]), keep=["_print"])
+    takes = takes.select(F.col("doc_id").alias("_id"), F.col("_print").alias("_same"), "position", "epoch")
+    rows = rows.select("doc_id", "_print", "_row").dropDuplicates(["doc_id", "_print"])
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_print") == F.col("_same"))
+    return rows.join(takes, same).orderBy("position", "_id", "epoch").select("_row.*")

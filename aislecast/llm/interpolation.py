@@ -32,11 +32,11 @@ from aislecast.llm.blocks import (
     pack,
     per_block,
     per_bucket,
-    read_arrays,
+    read_counts,
     read_keys,
     split_by_bucket,
     sub_blocks,
-    write_arrays,
+    write_counts,
     write_keys,
 )
 from aislecast.session import stage
@@ -53,8 +53,8 @@ class Interpolation:
     buckets: int = 24  # of context counts, by powers of two
     grain: int = 4  # held-out probabilities are gathered to 1 / grain of a power of two
     rounds: int = 50
-    block_bytes: int = 8 << 20
-    bucket_bytes: int = 8 << 20  # of all text, per bucket of the key space
+    block_bytes: int = 4 << 20
+    bucket_bytes: int = 4 << 20  # of all text, per bucket of the key space
 
 
 @dataclass
@@ -112,7 +112,8 @@ def _count(p: Interpolation, buckets: int):
             folds.append(np.repeat(fold[i:j], np.diff(g.bounds)))
         of = np.concatenate(folds)
         starts = text.mix(np.full(len(fold), START))
-        sent: dict[int, list[np.ndarray]] = {}
+        sent: dict[int, list[bytes]] = {}
+        nothing = write_keys(np.empty(0, np.uint64)), write_counts(np.empty(0, np.int64)), write_counts(np.empty(0, np.int64))
         for k in range(p.order):
             key = np.concatenate([*keys[k], *([starts] if k == 0 else [])])
             own = np.concatenate([of, *([fold] if k == 0 else [])])
@@ -127,12 +128,11 @@ def _count(p: Interpolation, buckets: int):
             deleted = np.add.reduceat((own == p.deleted).astype(np.int64), heads)
             distinct = key[heads]
             for bucket, part in split_by_bucket(bucket_of(distinct, buckets), buckets):
-                arrays = sent.setdefault(bucket, [np.empty(0, np.int64)] * (3 * p.order))
-                coded = write_keys(distinct[part])
-                coded += bytes(-len(coded) % 8)
-                arrays[3 * k : 3 * k + 3] = [np.frombuffer(coded, np.int64), known[part], deleted[part]]
-        for bucket, arrays in sent.items():
-            yield message(number, bucket, write_arrays(*arrays))
+                pieces = sent.setdefault(bucket, list(nothing) * p.order)
+                pieces[3 * k : 3 * k + 3] = write_keys(distinct[part]), write_counts(known[part]), write_counts(deleted[part])
+        for bucket, pieces in sent.items():
+            head = np.array([len(x) for x in pieces[0::3]], np.int64).tobytes()
+            yield message(number, bucket, head + b"".join(pieces))
 
     return run
 
@@ -142,14 +142,12 @@ def _total(p: Interpolation):
     start = text.mix(np.array([START]))[0]
 
     def run(payloads: list) -> tuple[list[bytes], bytes]:
-        read = [read_arrays(x)[0] for x in payloads]
-        out: list[list[np.ndarray]] = [[] for _ in payloads]
+        read = [_asked(x, p.order) for x in payloads]
+        out: list[list[bytes]] = [[] for _ in payloads]
         summary = [0, 0, 0, 0]
         for k in range(p.order):
-            sizes = [len(r[3 * k + 1]) for r in read]
-            keys = [_keys(r[3 * k], n) for r, n in zip(read, sizes, strict=True)]
-            key = np.concatenate(keys)
-            known, deleted = (np.concatenate([r[3 * k + m] for r in read]) for m in (1, 2))
+            sizes = [len(r[k][0]) for r in read]
+            key, known, deleted = (np.concatenate([r[k][m] for r in read]) for m in range(3))
             order = np.argsort(key, kind="stable")
             new = np.concatenate([[True], key[order][1:] != key[order][:-1]])[: len(key)]
             heads = np.flatnonzero(new)
@@ -166,24 +164,21 @@ def _total(p: Interpolation):
             at = np.concatenate([[0], np.cumsum(sizes)])
             for i in range(len(payloads)):
                 part = slice(at[i], at[i + 1])
-                out[i] += [all_known[part], all_deleted[part]]
-        return [_pack_counts(arrays) for arrays in out], np.array(summary, np.int64).tobytes()
+                out[i] += [write_counts(all_known[part]), write_counts(all_deleted[part])]
+        return [b"".join(pieces) for pieces in out], np.array(summary, np.int64).tobytes()
 
     return run
 
 
-def _keys(words: np.ndarray, n: int) -> np.ndarray:
-    if not n:
-        return np.empty(0, np.uint64)
-    width = words.tobytes()[0]
-    return read_keys(memoryview(words.tobytes())[: 9 + width * n])
-
-
-def _pack_counts(counts: list[np.ndarray]) -> bytes:
-    """Counts without keys: the block has its keys in the order of buckets and keys."""
-    small = all(int(a.max(initial=0)) < 1 << 32 for a in counts)
-    kind = np.uint32 if small else np.uint64
-    return bytes([4 if small else 8]) + b"".join(len(a).to_bytes(8, "little") + a.astype(kind).tobytes() for a in counts)
+def _asked(payload: memoryview, order: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Keys, training counts and deleted counts of a message, by order."""
+    sizes, at, out = np.frombuffer(payload, np.int64, order), 8 * order, []
+    for size in sizes.tolist():
+        keys = read_keys(payload[at : at + size])
+        known, at = read_counts(payload, at + size)
+        deleted, at = read_counts(payload, at)
+        out.append((keys, known, deleted))
+    return out
 
 
 class Table:
@@ -192,12 +187,10 @@ class Table:
     def __init__(self, p: Interpolation, keys: list[np.ndarray], answers: dict[int, bytes]):
         found: list[list[np.ndarray]] = [[] for _ in range(2 * p.order)]
         for bucket in sorted(answers):
-            payload, start = answers[bucket], 1
-            width = payload[0]
-            for m in range(2 * p.order):
-                n = int.from_bytes(payload[start : start + 8], "little")
-                found[m].append(np.frombuffer(payload, np.uint32 if width == 4 else np.uint64, n, start + 8).astype(np.int64))
-                start += 8 + n * width
+            at = 0
+            for into in found:
+                counts, at = read_counts(answers[bucket], at)
+                into.append(counts)
         counts = [np.concatenate(f) if f else np.empty(0, np.int64) for f in found]
         self.keys, self.known, self.deleted = keys, counts[::2], counts[1::2]
 
