@@ -40,7 +40,9 @@ def lenient_timestamp(col: Column, formats: Sequence[str] = ()) -> Column:
 
 
 def lenient_number(col: Column) -> Column:
-    return F.trim(col.cast("string")).try_cast("double")
+    """Parse, or NULL: also for the texts of NaN and the infinities."""
+    number = F.trim(col.cast("string")).try_cast("double")
+    return F.when(~F.isnan(number) & (F.abs(number) != float("inf")), number)
 
 
 def event_day(ts_text: Column, now: Column | None = None) -> Column:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aislecast.functions.dates import is_weekend, present, weekday
 from aislecast.operators.curate import SERIES
@@ -46,12 +47,15 @@ def rolling_moments(df: DataFrame, windows: Sequence[int]) -> DataFrame:
     """Per window: observations, sum and sum of squares of the rows before.
 
     Running totals make every window a difference of two lagged values, so
-    the cost per row does not grow with the window length, and whole numbers
-    give exact sums. One sort by series and day serves all of them.
+    the cost per row does not grow with the window length. The totals are
+    decimals, so differences are exact however large the values are; quantities
+    that are no whole numbers count with three places. One sort by series and
+    day serves all windows.
     """
     by_day = Window.partitionBy(*SERIES).orderBy("date")
     so_far = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    qty = F.col("qty_sold").cast("double")
+    whole = isinstance(df.schema["qty_sold"].dataType, T.IntegralType)
+    qty = F.col("qty_sold").cast("decimal(18,0)" if whole else "decimal(15,3)")
     totals = df.withColumns(
         {
             "_sum": F.sum(qty).over(so_far),
@@ -61,7 +65,7 @@ def rolling_moments(df: DataFrame, windows: Sequence[int]) -> DataFrame:
     )
 
     def total_before(col: str, back: int) -> Column:
-        return F.coalesce(F.lag(col, back).over(by_day), F.lit(0.0))
+        return F.coalesce(F.lag(col, back).over(by_day), F.lit(0))
 
     return totals.withColumns(
         {
@@ -78,13 +82,13 @@ def rolling_moments(df: DataFrame, windows: Sequence[int]) -> DataFrame:
 
 def rolling_mean(window: int, min_rows: int = 1) -> Column:
     n, s = F.col(f"_n_{window}"), F.col(f"_s_{window}")
-    return F.when(n >= min_rows, s / n)
+    return F.when(n >= min_rows, s.cast("double") / n)
 
 
 def rolling_std(window: int, min_rows: int = 1) -> Column:
     """Sample standard deviation; NULL below two rows."""
     n, s, q = (F.col(f"_{c}_{window}") for c in "nsq")
-    spread = F.greatest(n * q - s * s, F.lit(0.0))
+    spread = (n.cast("decimal(10,0)") * q - s * s).cast("double")
     return F.when(n >= max(min_rows, 2), F.sqrt(spread / (n * (n - 1))))
 
 

@@ -89,7 +89,7 @@ def normalize_export(
         return F.col(f"`{role[name]}`")
 
     ts = lenient_timestamp(column("date"), date_formats)
-    qty = F.coalesce(lenient_number(column("qty")), F.lit(0.0)).cast("int")
+    qty = F.coalesce(lenient_number(column("qty")).try_cast("int"), F.lit(0))
     price = (
         F.coalesce(lenient_number(column("price")), F.lit(BAD_PRICE))
         if role["price"]

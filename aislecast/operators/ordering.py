@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from aislecast.session import shuffle_partitions, stage
+
 
 def global_position(
     df: DataFrame,
@@ -58,9 +60,28 @@ def global_position(
 
 
 def dense_index(df: DataFrame, col: str, out: str) -> DataFrame:
-    """0-based rank of each distinct value; one row per dimension member."""
-    return (
+    """0-based rank of each distinct value.
+
+    Values are range-partitioned and numbered inside their part; the window
+    without partitions runs over one row per part.
+    """
+    spark = df.sparkSession
+    ranged = stage(
         df.select(col)
         .distinct()
-        .withColumn(out, F.row_number().over(Window.orderBy(col)) - 1)
+        .repartitionByRange(shuffle_partitions(spark), col)
+        .withColumn("_part", F.spark_partition_id()),
+        "index",
+    )
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        ranged.groupBy("_part")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
+    )
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(col))
+    return (
+        ranged.withColumn("_inside", inside)
+        .join(starts, "_part")
+        .select(col, (F.col("_start") + F.col("_inside") - 1).cast("int").alias(out))
     )

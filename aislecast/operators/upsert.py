@@ -3,16 +3,28 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def upsert(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert(
+    existing: DataFrame, new: DataFrame, keys: Sequence[str], order: str | None = None
+) -> DataFrame:
     """New rows replace existing rows with the same key; running it twice
-    changes nothing."""
-    kept = existing.join(new.select(*keys).distinct(), list(keys), "left_anti")
-    return kept.unionByName(new, allowMissingColumns=True)
+    changes nothing.
+
+    Of several new rows of a key the last by ``order`` stays; without an order
+    the greatest row, so reruns agree. NULL keys are equal to each other.
+    """
+    row = F.struct(*new.columns)
+    last = (F.max_by(row, order) if order else F.max(row)).alias("_last")
+    latest = new.groupBy(*keys).agg(last).select("_last.*")
+    taken = latest.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys])
+    return existing.join(taken, same, "left_anti").unionByName(latest, allowMissingColumns=True)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

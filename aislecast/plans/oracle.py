@@ -43,7 +43,7 @@ SERIES_WINDOW = "PARTITION BY store_id, sku ORDER BY date"
 def rolling(window: int) -> str:
     """Observations, sum and sum of squares of the rows before."""
     frame = f"({SERIES_WINDOW} ROWS BETWEEN {window} PRECEDING AND 1 PRECEDING)"
-    q = "qty_sold::DOUBLE"
+    q = "qty_sold::HUGEINT"
     return (
         f"count(*) OVER {frame} ::DOUBLE AS n{window}, "
         f"coalesce(sum({q}) OVER {frame}, 0) AS s{window}, "
@@ -53,7 +53,7 @@ def rolling(window: int) -> str:
 
 def std(window: int) -> str:
     n, s, q = f"n{window}", f"s{window}", f"q{window}"
-    return f"sqrt(greatest({n} * {q} - {s} * {s}, 0.0) / ({n} * ({n} - 1)))"
+    return f"sqrt(({n}::HUGEINT * {q} - {s} * {s})::DOUBLE / ({n} * ({n} - 1)))"
 
 
 LINES = """

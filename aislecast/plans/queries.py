@@ -426,8 +426,8 @@ def p8(t: Tables) -> DataFrame:
 
 EXPORT_SQL = """SELECT CASE WHEN l_orderkey % 97 = 0 THEN 'unknown'
     ELSE strftime(l_shipdate, '%Y-%m-%d') END AS "Order Date",
-  p_brand AS "Item", CASE WHEN l_orderkey % 50 = 0 THEN 'n/a' ELSE l_quantity::INTEGER::VARCHAR END AS "Units",
-  CASE WHEN l_orderkey % 60 = 0 THEN '?' ELSE l_extendedprice::DECIMAL(18, 2)::VARCHAR END AS "Unit Rate",
+  p_brand AS "Item", CASE WHEN l_orderkey % 50 = 0 THEN 'n/a' WHEN l_orderkey % 51 = 0 THEN 'nan' WHEN l_orderkey % 52 = 0 THEN '3000000000' ELSE l_quantity::INTEGER::VARCHAR END AS "Units",
+  CASE WHEN l_orderkey % 60 = 0 THEN '?' WHEN l_orderkey % 61 = 0 THEN 'nan' WHEN l_orderkey % 62 = 0 THEN 'inf' ELSE l_extendedprice::DECIMAL(18, 2)::VARCHAR END AS "Unit Rate",
   r_name AS "Branch" FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
   JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
   JOIN part ON l_partkey = p_partkey"""
@@ -441,8 +441,8 @@ def export(t: Tables) -> DataFrame:
     return sale_lines(t.spark, t.sf_dir).select(
         F.when(key % 97 == 0, "unknown").otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("Order Date"),
         F.col("sku").alias("Item"),
-        F.when(key % 50 == 0, "n/a").otherwise(F.col("l_quantity").cast("int").cast("string")).alias("Units"),
-        F.when(key % 60 == 0, "?")
+        F.when(key % 50 == 0, "n/a").when(key % 51 == 0, "nan").when(key % 52 == 0, "3000000000").otherwise(F.col("l_quantity").cast("int").cast("string")).alias("Units"),
+        F.when(key % 60 == 0, "?").when(key % 61 == 0, "nan").when(key % 62 == 0, "inf")
         .otherwise(F.col("l_extendedprice").cast("decimal(18,2)").cast("string"))
         .alias("Unit Rate"),
         F.col("store_id").alias("Branch"),
@@ -450,9 +450,9 @@ def export(t: Tables) -> DataFrame:
 
 
 NORMALIZED_SQL = f"""SELECT TRY_CAST("Order Date" AS DATE) AS date, "Item" AS sku,
-  coalesce(TRY_CAST("Units" AS DOUBLE), 0.0)::INTEGER AS qty_sold,
-  coalesce(TRY_CAST("Unit Rate" AS DOUBLE), 150.0) AS price,
-  coalesce(TRY_CAST("Units" AS DOUBLE), 0.0)::INTEGER * coalesce(TRY_CAST("Unit Rate" AS DOUBLE), 150.0) AS revenue,
+  coalesce(TRY_CAST(CASE WHEN isfinite(TRY_CAST("Units" AS DOUBLE)) THEN TRY_CAST("Units" AS DOUBLE) END AS INTEGER), 0) AS qty_sold,
+  coalesce(CASE WHEN isfinite(TRY_CAST("Unit Rate" AS DOUBLE)) THEN TRY_CAST("Unit Rate" AS DOUBLE) END, 150.0) AS price,
+  qty_sold * price AS revenue,
   "Branch" AS store_id, 'in_store' AS channel
 FROM ({EXPORT_SQL}) WHERE TRY_CAST("Order Date" AS DATE) IS NOT NULL"""
 
@@ -783,13 +783,29 @@ def j15(t: Tables) -> DataFrame:
 
 @query(
     "j16_upsert",
-    "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 0.0 ELSE o_totalprice END AS o_totalprice FROM orders",
+    """WITH o AS (SELECT CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey END AS o_orderkey, o_totalprice, 0 AS version FROM orders),
+    n AS (SELECT o_orderkey, 0.0::DOUBLE AS o_totalprice, 1 AS version FROM o WHERE o_orderkey % 3 = 0
+          UNION ALL SELECT o_orderkey, 1.0, 2 FROM o WHERE o_orderkey % 9 = 0
+          UNION ALL SELECT NULL, o_totalprice, o_orderkey::INTEGER FROM orders WHERE o_orderkey < 100)
+    SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY version DESC) = 1
+    UNION ALL SELECT * FROM o WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.o_orderkey IS NOT DISTINCT FROM o.o_orderkey)""",
 )
 def j16(t: Tables) -> DataFrame:
+    """Several new rows of a key, and NULL keys on both sides."""
     orders = t.table("orders").select("o_orderkey", "o_totalprice")
-    changed = orders.filter(F.col("o_orderkey") % 3 == 0).withColumn("o_totalprice", F.lit(0.0))
-    once = upsert.upsert(orders, changed, ["o_orderkey"])
-    return upsert.upsert(once, changed, ["o_orderkey"])
+    key = F.col("o_orderkey")
+    old = orders.select(F.when(key % 7 != 0, key).alias("o_orderkey"), "o_totalprice", F.lit(0).alias("version"))
+    changed = (
+        old.filter(key % 3 == 0).select(key, F.lit(0.0).alias("o_totalprice"), F.lit(1).alias("version"))
+        .unionByName(old.filter(key % 9 == 0).select(key, F.lit(1.0).alias("o_totalprice"), F.lit(2).alias("version")))
+        .unionByName(
+            orders.filter(key < 100).select(
+                F.lit(None).cast("long").alias("o_orderkey"), "o_totalprice", key.cast("int").alias("version")
+            )
+        )
+    )
+    once = upsert.upsert(old, changed, ["o_orderkey"], "version")
+    return upsert.upsert(once, changed, ["o_orderkey"], "version")
 
 
 # --- E: aggregations --------------------------------------------------------------
@@ -1132,11 +1148,29 @@ def f4(t: Tables) -> DataFrame:
     return rolling(t, "mean")
 
 
-@query("f5_rolling_std", rolling_sql("std"))
+def sample_std_sql(value: str) -> str:
+    """By the engine's own deviation over the frame, not by the operator's formula."""
+    columns = ", ".join(
+        r(f"coalesce(stddev_samp({value}) OVER ({oracle.SERIES_WINDOW} ROWS BETWEEN {w} PRECEDING AND 1 PRECEDING), 0.0)", 4)
+        + f" AS rolling_std_{w}"
+        for w in features.WINDOWS
+    )
+    return f"SELECT store_id, sku, date, {columns} FROM curated"
+
+
+@query("f5_rolling_std", sample_std_sql("qty_sold"))
 def f5(t: Tables) -> DataFrame:
     return rolling(t, "std")
 
 
+@query("f5_large_values", sample_std_sql("(30000000 + qty_sold % 3)::DOUBLE"))
+def f5_large(t: Tables) -> DataFrame:
+    """Small spreads of large quantities."""
+    names = [f"rolling_std_{w}" for w in features.WINDOWS]
+    large = t.curated.select(*KEYS, (F.lit(30_000_000) + F.col("qty_sold") % 3).cast("int").alias("qty_sold"))
+    return rounded(features.with_rolling(large).select(*KEYS, *names), 4, *names)
+
+
 @query(
     "f6_demand_window",
     f"SELECT store_id, sku, date, {r('rolling_mean', 4)} AS rolling_mean, {r('rolling_std', 4)} AS rolling_std FROM demand",

@@ -10,29 +10,15 @@ from pyspark.sql import functions as F
 from aislecast.contracts import REVIEWS, SALES, require_columns
 from aislecast.functions.dates import with_event_date
 from aislecast.operators.curate import with_date_text
-from aislecast.session import shuffle_partitions
 
 
-# A day above this many rows is too much for one task to write.
-HOT_DAY_ROWS = 20_000_000
-
-
-def gather_days(df: DataFrame, hot_day_rows: int = HOT_DAY_ROWS) -> DataFrame:
+def gather_days(df: DataFrame) -> DataFrame:
     """Bring the rows of a day together, ahead of a write by day.
 
-    The largest day is counted first, from the date column alone. Without a
-    hot day every day is one file and all tasks write; otherwise rows are
-    rebalanced, where adaptive execution splits the hot days by size.
+    Adaptive execution splits large days over tasks and joins small ones, by
+    the sizes it measures in the shuffle; the input is evaluated once.
     """
-    largest = (
-        df.groupBy("date")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .agg(F.max("rows").alias("rows"))
-        .first()["rows"]
-    )
-    if largest is not None and largest > hot_day_rows:
-        return df.hint("rebalance", "date")
-    return df.repartition(shuffle_partitions(df.sparkSession), "date")
+    return df.hint("rebalance", "date")
 
 
 def write_by_date(df: DataFrame, path: str, fmt: str = "parquet", **options) -> None:

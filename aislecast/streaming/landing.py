@@ -35,9 +35,9 @@ def batch_name(spark: SparkSession, batch: int, run: str = "run") -> str:
 
 
 def with_day(events: DataFrame, ts: str = "ts") -> DataFrame:
-    """Add the day; events without any day are not landed."""
+    """Add the day; NULL if the event's time does not begin with one."""
     day = event_day(F.col(ts).cast("string"))
-    return events.withColumn("date", day.try_cast("date")).filter(F.col("date").isNotNull())
+    return events.withColumn("date", day.try_cast("date"))
 
 
 def landed_rows(
@@ -106,14 +106,16 @@ class Landing:
         schema = self.schemas[stream]
         names = [f.name for f in schema]
         name = batch_name(spark, batch, self.run)
-        rows = events
-        if "_corrupt_record" in rows.columns:
-            # Kept next to the table, under the batch's own folder.
-            rows.filter(F.col("_corrupt_record").isNotNull()).select("_corrupt_record").write.mode(
-                "overwrite"
-            ).text(f"{self.zone}/_quarantine/{stream}/batch={name}")
-            rows = rows.filter(F.col("_corrupt_record").isNull())
-        rows = with_day(rows.select(*names), self.ts)
+        corrupt = F.col("_corrupt_record") if "_corrupt_record" in events.columns else F.lit(None)
+        rows = with_day(events.withColumn("_corrupt", corrupt.cast("string")), self.ts)
+        # What breaks the contract or has no day is kept next to the table,
+        # under the batch's own folder, so that no event is lost.
+        whole = F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
+        bad = F.col("_corrupt").isNotNull() | F.col("date").isNull()
+        rows.filter(bad).select(F.coalesce("_corrupt", whole).alias("value")).write.mode(
+            "overwrite"
+        ).text(f"{self.zone}/_quarantine/{stream}/batch={name}")
+        rows = rows.filter(~bad).select(*names, "date")
         keys = list(self.keys.get(stream) or names)
         landed = landed_rows(spark, self.path(stream), schema, without=name)
         fresh = not_landed(rows, landed, [*keys, "date"])
@@ -151,6 +153,14 @@ class Landing:
 
         return run
 
+    def quarantined(self, spark: SparkSession, stream: str) -> DataFrame:
+        """The events kept aside, as text; count it to watch a source."""
+        path = f"{self.zone}/_quarantine/{stream}"
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+            return spark.createDataFrame([], "value string")
+        return spark.read.text(path).select("value")
+
     def read(self, spark: SparkSession, stream: str) -> DataFrame:
         """The landed rows of a stream, each distinct row once, with its day."""
         rows = landed_rows(spark, self.path(stream), self.schemas[stream])
@@ -180,5 +190,14 @@ def bounded_dedupe(events: DataFrame, ts: str, keys: Sequence[str], lateness: st
 
 
 def refresh_days(daily_rollup, raw: DataFrame, days: Sequence, path: str) -> None:
-    """Recompute the daily roll-up of the given days and replace only those."""
-    write_by_date(daily_rollup(raw.filter(F.col("date").isin(list(days)))), path)
+    """Recompute the daily roll-up of the given days and replace only those.
+
+    A day that has no rows any more loses its folder, so no old result stays.
+    """
+    days = list(days)
+    spark = raw.sparkSession
+    write_by_date(daily_rollup(raw.filter(F.col("date").isin(days))), path)
+    left = {r["date"] for r in raw.filter(F.col("date").isin(days)).select("date").distinct().collect()}
+    for day in set(days) - left:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/date={day}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -46,6 +46,8 @@ def test_array_files_land_by_day_without_duplicates(spark, tmp_path, zone):
     got = drain(spark, tmp_path, zone, max_files=1)
     days = [r["date"] for r in got.orderBy("date").collect()]
     assert days == [dt.date(2025, 5, 20), dt.date(2025, 6, 1), dt.date(2025, 6, 1)]
+    aside = [json.loads(r["value"])["ts"] for r in zone.quarantined(spark, "sales_events").collect()]
+    assert aside == ["whenever"]
 
 
 def test_a_new_checkpoint_does_not_touch_landed_batches(spark, tmp_path, zone):
