@@ -87,6 +87,7 @@ def backtest(
     trees: int = 250,
     recursive: bool = False,
     graph: bool = False,
+    max_rows: int | None = None,
 ) -> Backtest:
     """Baseline against boosted trees on the last days of the history.
 
@@ -111,7 +112,7 @@ def backtest(
     )
     if fit_rows.isEmpty():
         fit_rows, score_rows = split_by_position(complete)
-    model = train_demand_model(fit_rows, columns, trees)
+    model = train_demand_model(fit_rows, columns, trees, max_rows=max_rows)
     if recursive:
         known = features.filter(F.col("date") <= split)
         champion = recursive_forecast(model, known, columns, 0.0, holdout_days).withColumnRenamed(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from aislecast.functions.dates import is_weekend, weekday
 from aislecast.functions.numeric import at_least_zero, interval_bounds, round_even
-from aislecast.operators.curate import SERIES
+from aislecast.operators.curate import KEYS, SERIES
 from aislecast.operators.features import (
     LAGS,
     WINDOWS,
@@ -42,9 +42,18 @@ def train_demand_model(
     column_share: float = 0.85,
     seed: int = 42,
     path: str | None = None,
+    max_rows: int | None = None,
 ) -> GBTRegressionModel:
-    """Fit on rows that have every feature; saved if a path is given."""
+    """Fit on rows that have every feature; saved if a path is given.
+
+    With ``max_rows`` about so many rows are drawn by a hash of store, product
+    and day, so reruns fit the same rows.
+    """
     shared_dir(rows.sparkSession)
+    if max_rows is not None:
+        share = min(1.0, max_rows / max(1, rows.count()))
+        draw = F.pmod(F.xxhash64(*KEYS), F.lit(1 << 20))
+        rows = rows.filter(draw < int(share * (1 << 20)))
     model = GBTRegressor(
         featuresCol="_features",
         labelCol="_label",

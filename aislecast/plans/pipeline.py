@@ -40,13 +40,13 @@ class RunResult:
 
 def train_and_forecast(
     curated: DataFrame, horizon: int = 14, trees: int = 250, graph: bool = False,
-    model_path: str | None = None,
+    model_path: str | None = None, max_rows: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Forecasts, and the validation errors whose RMSE sets their interval."""
     columns = feature_columns(curated, graph)
     features = stage_curated(build_features(curated), "features")
     train, valid = training_split(features, columns)
-    model = train_demand_model(train, columns, trees, path=model_path)
+    model = train_demand_model(train, columns, trees, path=model_path, max_rows=max_rows)
     scored = predict(model, valid, columns)
     validation = stage(
         error_metrics(scored, "qty_sold", {"validation": "prediction"}), "validation"
@@ -64,6 +64,7 @@ def run_pipeline(
     horizon: int = 14,
     holdout_days: int = 28,
     fail_on_error: bool = False,
+    max_rows: int | None = None,
 ) -> RunResult:
     """Curate, gate, train, backtest, detect and sync under one session.
 
@@ -73,9 +74,9 @@ def run_pipeline(
     spark = sales.sparkSession
     curated = stage_curated(curate(sales, readings, sentiment))
     quality = quality_gate(curated, fail_on_error)
-    forecasts, validation = train_and_forecast(curated, horizon, trees)
+    forecasts, validation = train_and_forecast(curated, horizon, trees, max_rows=max_rows)
     forecasts = stage(forecasts, "forecasts")
-    scores = backtest(curated, holdout_days, trees)
+    scores = backtest(curated, holdout_days, trees, max_rows=max_rows)
     anomalies = stage(detect_anomalies(curated), "anomalies")
     warning = None
     if tables is not None:

@@ -32,7 +32,7 @@ from aislecast.operators import (
 )
 from aislecast.plans import oracle
 from aislecast.plans.oracle import r
-from aislecast.plans.tables import TREES, Tables, sample_scorer
+from aislecast.plans.tables import TRAIN_ROWS, Tables, sample_scorer
 from aislecast.session import stage, stage_path
 from aislecast.sources import readers, writers
 from aislecast.streaming import landing
@@ -378,10 +378,10 @@ FILLED_MEASURES = f"""coalesce(qty_sold, 0)::BIGINT AS qty_sold, {r('coalesce(re
 @query(
     "p4_fill_measures",
     f"SELECT store_id, sku, date, {FILLED_MEASURES} FROM daily FULL JOIN "
-    "(SELECT * FROM shelf WHERE avg_shelf_qty > 5) s USING (store_id, sku, date)",
+    "shelf s USING (store_id, sku, date)",
 )
 def p4(t: Tables) -> DataFrame:
-    stocked = curate.daily_shelf(t.iot).filter("avg_shelf_qty > 5")
+    stocked = curate.daily_shelf(t.iot)
     joined = curate.join_daily(curate.daily_sales_filled(t.sales), stocked)
     return curate.fill_missing_measures(joined).select(*KEYS, "qty_sold", "revenue", "avg_shelf_qty")
 
@@ -616,10 +616,10 @@ def p24(t: Tables) -> DataFrame:
 @query(
     "j1_sales_shelf_outer",
     f"SELECT store_id, sku, date, qty_sold, {r('avg_price', 4)} AS avg_price, avg_shelf_qty FROM daily FULL JOIN "
-    "(SELECT * FROM shelf WHERE avg_shelf_qty > 5) s USING (store_id, sku, date)",
+    "shelf s USING (store_id, sku, date)",
 )
 def j1(t: Tables) -> DataFrame:
-    stocked = curate.daily_shelf(t.iot).filter("avg_shelf_qty > 5")
+    stocked = curate.daily_shelf(t.iot)
     out = curate.join_daily(curate.daily_sales_filled(t.sales), stocked)
     return rounded(out.select(*KEYS, "qty_sold", "avg_price", "avg_shelf_qty"), 4, "avg_price")
 
@@ -1636,7 +1636,7 @@ def k10(t: Tables) -> DataFrame:
 
 @query("k11_backtest")
 def k11(t: Tables) -> DataFrame:
-    return evaluate.backtest(t.curated, trees=TREES).by_sku
+    return evaluate.backtest(t.curated, max_rows=TRAIN_ROWS).by_sku
 
 
 @query("k12_review_scores", f"SELECT sku, review_text, {r('score', 6)} AS score FROM review_scores")
@@ -1855,7 +1855,7 @@ def m8c(t: Tables) -> DataFrame:
 def m9(t: Tables) -> DataFrame:
     from aislecast.plans.pipeline import run_upload
 
-    return run_upload(export(t), trees=5).profile
+    return run_upload(export(t), max_rows=TRAIN_ROWS).profile
 
 
 # --- O: documented extras -------------------------------------------------------------------
