@@ -46,6 +46,27 @@ class Neighbours:
     threshold: float = 0.3
 
 
+def count_known(value: str | None, prefixes: tuple[int, ...], places: dict[str, int]) -> tuple[list[int], list[int]]:
+    """Places and counts of the vocabulary terms of a text; the last place is all other words."""
+    found: dict[int, int] = {}
+    rest = 0
+    for word, n in Counter(LETTERS.findall((value or "").lower())).items():
+        place = places.get(word)
+        if place is None:
+            rest += n
+        else:
+            found[place] = found.get(place, 0) + n
+        for k in prefixes:
+            if len(word) > k:
+                place = places.get("^" + word[:k])
+                if place is not None:
+                    found[place] = found.get(place, 0) + n
+    if rest:
+        found[len(places)] = rest
+    own = sorted(found)
+    return own, [found[k] for k in own]
+
+
 def count_terms(value: str | None, prefixes: tuple[int, ...]) -> dict[str, int]:
     """How often each term occurs."""
     out: dict[str, int] = {}
@@ -109,13 +130,9 @@ def _vectors(rows: DataFrame, vocabulary: list[str], p: Neighbours, more: list[s
         for batch in batches:
             found, counts = [], []
             for value in batch.column(0).to_pylist():
-                terms = count_terms(value, p.prefixes)
-                own = sorted((places[t], n) for t, n in terms.items() if t in places)
-                rest = sum(n for t, n in terms.items() if t not in places and t[0] != "^")
-                if rest:
-                    own.append((len(places), rest))
-                found.append([k for k, _ in own])
-                counts.append([n for _, n in own])
+                own, n = count_known(value, p.prefixes, places)
+                found.append(own)
+                counts.append(n)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array(found, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))],
                 [*more, "place", "n"],
@@ -133,16 +150,21 @@ class Index:
         self.p, self.idf, self.labels, self.weights, self.ids = p, idf, labels, weights, ids
         self.blocks = max(1, -(-len(labels) // p.block))
         self.top = np.zeros((len(idf), self.blocks))
-        lists: list[list[list]] = [[] for _ in idf]
+        term, example, weight = [], [], []
         for e, (place, n) in enumerate(zip(places, counts, strict=True)):
-            for t, w in zip(place, self.vector(np.array(place, np.int64), np.array(n)), strict=True):
-                lists[t].append((e, w))
-                self.top[t, e // p.block] = max(self.top[t, e // p.block], w)
-        self.postings = []
-        for found in lists:
-            of = np.array([e for e, _ in found], np.int64)
-            cuts = np.searchsorted(of, np.arange(self.blocks + 1) * p.block)
-            self.postings.append((of, np.array([w for _, w in found]), cuts))
+            place = np.array(place, np.int64)
+            term.append(place)
+            example.append(np.full(len(place), e))
+            weight.append(self.vector(place, np.array(n)))
+        none = [np.empty(0, np.int64)]
+        term, example, weight = (np.concatenate(x or none) for x in (term, example, weight))
+        np.maximum.at(self.top, (term, example // p.block), weight)
+        # postings by term, then example; cuts[t, b] is where block b of term t begins
+        order = np.lexsort((example, term))
+        self.examples, self.posted = example[order], weight[order]
+        cell = term[order] * self.blocks + self.examples // p.block
+        edges = np.arange(len(idf))[:, None] * self.blocks + np.arange(self.blocks + 1)
+        self.cuts = np.searchsorted(cell, edges)
         rate = float((weights * labels).sum() / max(weights.sum(), 1e-12)) if len(labels) else 0.0
         self.rate = rate
         self.steps = (np.array([0.0]), np.array([rate]))
@@ -154,19 +176,31 @@ class Index:
     def search(self, place: np.ndarray, query: np.ndarray, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The nearest examples and their cosines, nearest first; ties by place in the index."""
         bounds = query @ self.top[place]
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bounds, kind="stable"):
-            if bounds[b] <= 0 or (len(best) == self.p.nearest and bounds[b] <= -best[-1][0]):
+        order = np.argsort(-bounds, kind="stable")
+        ids, cosines = np.empty(0, np.int64), np.empty(0)
+        at, size, width = 0, 4, self.p.block
+        while at < self.blocks:
+            least = cosines[-1] if len(ids) == self.p.nearest else 0.0
+            blocks = order[at : at + size]
+            blocks = blocks[bounds[blocks] > least]
+            if not len(blocks):
                 break
-            sums = np.zeros(self.p.block)
-            for t, q in zip(place.tolist(), query.tolist(), strict=True):
-                of, w, cuts = self.postings[t]
-                if cuts[b] < cuts[b + 1]:
-                    sums[of[cuts[b] : cuts[b + 1]] - b * self.p.block] += q * w[cuts[b] : cuts[b + 1]]
+            start = self.cuts[place][:, blocks]
+            n = self.cuts[place][:, blocks + 1] - start
+            total = np.cumsum(n.ravel())
+            posting = np.arange(total[-1]) - np.repeat(total - n.ravel(), n.ravel()) + np.repeat(start.ravel(), n.ravel())
+            spot = np.repeat(np.tile(np.arange(len(blocks)), len(place)), n.ravel())
+            local = self.examples[posting] - blocks[spot] * width + spot * width
+            share = np.repeat(np.repeat(query, len(blocks)), n.ravel()) * self.posted[posting]
+            sums = np.bincount(local, share, len(blocks) * width)
             met = np.flatnonzero(sums > 0)
-            best += [(-float(sums[k]), int(b) * self.p.block + int(k)) for k in met if int(b) * self.p.block + int(k) != without]
-            best = sorted(best)[: self.p.nearest]
-        return np.array([e for _, e in best], np.int64), np.array([-s for s, _ in best])
+            found = blocks[met // width] * width + met % width
+            fresh = found != without
+            ids, cosines = np.append(ids, found[fresh]), np.append(cosines, sums[met][fresh])
+            best = np.lexsort((ids, -cosines))[: self.p.nearest]
+            ids, cosines = ids[best], cosines[best]
+            at, size = at + size, size * 2
+        return ids, cosines
 
     def vote(self, near: np.ndarray, cosine: np.ndarray) -> float:
         """The share of label 1 among the neighbours, by closeness and by what an example stands for."""
@@ -243,7 +277,8 @@ def score_toxicity(
         for batch in batches:
             scores, evidence, known = [], [], {}
             for place, n in zip(batch.column("place").to_pylist(), batch.column("n").to_pylist(), strict=True):
-                key = (tuple(place), tuple(n))
+                # one term alone is the same direction however often it occurs
+                key = (tuple(place), tuple(n) if len(place) > 1 else ())
                 if key not in known:
                     known[key] = index.score(np.array(place, np.int64), np.array(n))
                 scores.append(known[key][0])
