@@ -2027,6 +2027,82 @@ def s2(t: Tables) -> DataFrame:
     return quality.landing_counts({s: land.read(t.spark, s) for s in landing.SCHEMAS})
 
 
+EVENT_PART = "floor(event_id * 8 / (SELECT max(event_id) + 1 FROM events))"
+
+
+def array_files(t: Tables) -> tuple[landing.Landing, str]:
+    """Events in files of one JSON array each, landed with at most three files a batch, then drained again."""
+    folder = stage_path(t.spark, "arrays")
+    events = event_rows(t)
+    past = events.agg((F.max("event_id") + 1).alias("m")).scalar()
+    (
+        events.groupBy(F.floor(F.col("event_id") * 8 / past))
+        .agg(F.to_json(F.collect_list(F.struct(*events.columns))).alias("value"))
+        .select("value")
+        .write.option("maxRecordsPerFile", 1)
+        .text(f"{folder}/buffer/events")
+    )
+    land = landing.Landing(f"{folder}/zone", {"events": EVENTS})
+    for _ in range(2):  # the second run finds nothing new and stops
+        source = readers.stream_buffer(t.spark, f"{folder}/buffer/events", "*.txt", EVENTS, max_files=3)
+        landing.drain(source, land.one("events"), f"{folder}/checkpoint")
+    return land, land.path("events")
+
+
+@query(
+    "a7_buffer_arrays",
+    "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, event_type, value, ts::DATE AS date FROM events",
+)
+def a7(t: Tables) -> DataFrame:
+    return array_files(t)[0].read(t.spark, "events")
+
+
+@query(
+    "g5_batch_cap",
+    f"SELECT ceil(count(DISTINCT {EVENT_PART}) / 3.0)::BIGINT AS batches, count(*) AS rows FROM events",
+)
+def g5(t: Tables) -> DataFrame:
+    """The cap binds: there are as many batches as files by threes."""
+    landed = t.spark.read.parquet(array_files(t)[1])
+    return landed.agg(F.countDistinct("batch").alias("batches"), F.count(F.lit(1)).alias("rows"))
+
+
+@query(
+    "s5_idle_stop",
+    "SELECT false AS active, count(*) AS rows, sum(event_id)::BIGINT AS ids FROM events",
+)
+def s5(t: Tables) -> DataFrame:
+    """A stream that found nothing more has ended and landed every row once."""
+    landed = array_files(t)[0].read(t.spark, "events")
+    active = F.lit(len(t.spark.streams.active) > 0)
+    return landed.agg(F.count(F.lit(1)).alias("rows"), F.sum("event_id").alias("ids")).withColumn("active", active)
+
+
+@query(
+    "s7_quarantine",
+    """SELECT event_id, event_id % 10 = 0 AS aside, CASE WHEN event_id % 10 = 0
+  THEN strftime(ts, '%d/%m/%Y %H:%M') ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS ts FROM events WHERE event_id % 25 <> 3
+UNION ALL SELECT event_id, true, NULL FROM events WHERE event_id % 25 = 3""",
+)
+def s7_quarantine(t: Tables) -> DataFrame:
+    """Broken records and events without a day are kept aside; nothing is lost."""
+    land = landing.Landing(stage_path(t.spark, "aside"), {"events": EVENTS})
+    key = F.col("event_id")
+    other = F.date_format(F.col("ts").cast("timestamp"), "dd/MM/yyyy HH:mm")
+    events = event_rows(t).withColumn("ts", F.when(key % 10 == 0, other).otherwise(F.col("ts")))
+    whole = F.to_json(F.struct(*events.columns))
+    broken = F.concat(F.lit("{"), key.cast("string"))
+    messages = events.select(F.when(key % 25 == 3, broken).otherwise(whole).alias("value"))
+    land.land(readers.parse_events(messages, EVENTS), "events", 0)
+    landed = land.read(t.spark, "events").select(key, F.lit(False).alias("aside"), "ts")
+    kept = land.quarantined(t.spark, "events").select(
+        F.coalesce(F.get_json_object("value", "$.event_id"), F.substring("value", 2, 20)).cast("long").alias("event_id"),
+        F.lit(True).alias("aside"),
+        F.get_json_object("value", "$.ts").alias("ts"),
+    )
+    return landed.unionByName(kept)
+
+
 def event_rows(t: Tables) -> DataFrame:
     return t.table("events").select(
         "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "event_type", "value"
@@ -2094,12 +2170,18 @@ def s7(t: Tables) -> DataFrame:
 
 @query(
     "s8_refresh_days",
-    f"SELECT store_id, sku, date, qty_sold, {r('revenue', 2)} AS revenue FROM daily WHERE month(date) = 6",
+    f"""SELECT store_id, sku, date, qty_sold * CASE WHEN month(date) = 6 THEN 2 ELSE 1 END AS qty_sold,
+  {r('revenue * CASE WHEN month(date) = 6 THEN 2 ELSE 1 END', 2)} AS revenue FROM daily
+WHERE month(date) IN (5, 6, 7) AND NOT (month(date) = 6 AND day(date) BETWEEN 10 AND 12)""",
 )
 def s8(t: Tables) -> DataFrame:
+    """Into a filled table: June doubles and loses three days; July changes too, but is not refreshed."""
     path = stage_path(t.spark, "daily-by-date")
-    raw = dates.with_event_date(t.sales).filter(F.month("date") == 6)
-    days = [row["date"] for row in raw.select("date").distinct().collect()]
-    priced = fill.fill_prices(curate.drop_unsold(t.sales))
-    landing.refresh_days(curate.daily_sales, dates.with_event_date(priced), days, path)
+    month, day = F.month("date"), F.dayofmonth("date")
+    priced = stage(dates.with_event_date(fill.fill_prices(curate.drop_unsold(t.sales))).filter(month.isin(5, 6, 7)), "priced")
+    days = [row["date"] for row in priced.select("date").distinct().collect()]
+    landing.refresh_days(curate.daily_sales, priced, days, path)
+    changed = priced.withColumn("qty_sold", F.col("qty_sold") * F.when(month == 6, 2).when(month == 7, 3).otherwise(1))
+    changed = changed.filter(~((month == 6) & day.between(10, 12)))
+    landing.refresh_days(curate.daily_sales, changed, [d for d in days if d.month == 6], path)
     return rounded(t.spark.read.parquet(path).select(*KEYS, "qty_sold", "revenue"), 2, "revenue")
