@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from aislecast.functions.dates import present, with_event_date
 from aislecast.functions.ids import sensor_id
 from aislecast.functions.numeric import round_even
-from aislecast.operators.fill import DEFAULT_PRICE, missing_price_fills
+from aislecast.operators.fill import DEFAULT_PRICE, fills_of_times
 from aislecast.session import shuffle_partitions, stage, stage_by
 
 SERIES = ["store_id", "sku"]
@@ -52,33 +52,38 @@ def daily_sales_filled(
 ) -> DataFrame:
     """Drop unsold rows, fill prices and roll up to days in one go.
 
-    A fill depends on product and time alone, so rows without a price are
-    reduced to (store, product, time) before they meet their fills, and priced
-    rows go to days directly. No raw row is shuffled or ordered. Decimal
+    A fill depends on product and time alone. So the raw rows are read once and
+    reduced to (store, product, time), with priced and unpriced sums side by
+    side; fills and days come from that table. No raw row is ordered. Decimal
     prices stay decimal up to the last sum, so sums are exact.
     """
-    sold = by_day(drop_unsold(sales))
-    priced = (
-        with_line_revenue(sold.filter(F.col("price").isNotNull()))
-        .groupBy(*KEYS)
+    missing = F.col("price").isNull()
+    times = stage(
+        with_line_revenue(by_day(drop_unsold(sales)))
+        .groupBy(*KEYS, "ts")
         .agg(
-            F.sum("qty_sold").alias("_qty"),
+            F.sum(F.when(~missing, F.col("qty_sold"))).alias("_qty"),
             F.sum("revenue_line").alias("_revenue"),
             F.sum("price").alias("_prices"),
-            F.count(F.lit(1)).alias("_lines"),
-        )
+            F.count("price").alias("_lines"),
+            F.min("price").alias("_low"),
+            F.max("price").alias("_high"),
+            F.sum(F.when(missing, F.col("qty_sold"))).alias("_bare_qty"),
+            F.count_if(missing).alias("_bare_lines"),
+        ),
+        "sales-times",
     )
+    priced = times.filter("_lines > 0").select(*KEYS, "_qty", "_revenue", "_prices", "_lines")
+    fills = fills_of_times(times.withColumn("_missing", F.col("_bare_lines") > 0), chunk, default)
     unpriced = (
-        sold.filter(F.col("price").isNull())
-        .groupBy(*KEYS, "ts")
-        .agg(F.sum("qty_sold").alias("_qty"), F.count(F.lit(1)).alias("_lines"))
-        .join(missing_price_fills(sold, chunk, default), ["sku", "ts"])
+        times.filter("_bare_lines > 0")
+        .join(fills, ["sku", "ts"])
         .select(
             *KEYS,
-            "_qty",
-            (F.col("_qty") * F.col("fill_price")).alias("_revenue"),
-            (F.col("_lines") * F.col("fill_price")).alias("_prices"),
-            "_lines",
+            F.col("_bare_qty").alias("_qty"),
+            (F.col("_bare_qty") * F.col("fill_price")).alias("_revenue"),
+            (F.col("_bare_lines") * F.col("fill_price")).alias("_prices"),
+            F.col("_bare_lines").alias("_lines"),
         )
     )
     return (

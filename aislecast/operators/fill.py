@@ -28,19 +28,29 @@ def missing_price_fills(
     sales: DataFrame, chunk: str = "hour", default: float = DEFAULT_PRICE
 ) -> DataFrame:
     """(sku, ts, fill_price) for each time at which a product misses a price."""
-    price_type = sales.schema["price"].dataType
+    reduced = sales.groupBy("sku", "ts").agg(
+        F.min("price").alias("_low"),
+        F.max("price").alias("_high"),
+        F.max(F.col("price").isNull()).alias("_missing"),
+    )
+    return fills_of_times(reduced, chunk, default)
+
+
+def fills_of_times(reduced: DataFrame, chunk: str = "hour", default: float = DEFAULT_PRICE) -> DataFrame:
+    """The same from rows that hold the lowest and highest price of a product and time."""
+    price_type = reduced.schema["_low"].dataType
     # Both uses of the reduced times look alike to the optimizer, keys being
     # present in either, so it computes them once.
     times = (
         present(
-            sales.withColumn("_chunk", F.date_trunc(chunk, "ts").cast("timestamp_ntz")),
+            reduced.withColumn("_chunk", F.date_trunc(chunk, "ts").cast("timestamp_ntz")),
             "sku", "ts", "_chunk",
         )
         .groupBy("sku", "_chunk", "ts")
         .agg(
-            F.min("price").alias("_low"),
-            F.max("price").alias("_high"),
-            F.max(F.col("price").isNull()).alias("_missing"),
+            F.min("_low").alias("_low"),
+            F.max("_high").alias("_high"),
+            F.max("_missing").alias("_missing"),
         )
     )
     chunks = times.groupBy("sku", "_chunk").agg(

@@ -53,7 +53,8 @@ def train_demand_model(
     if max_rows is not None:
         share = min(1.0, max_rows / max(1, rows.count()))
         draw = F.pmod(F.xxhash64(*KEYS), F.lit(1 << 20))
-        rows = rows.filter(draw < int(share * (1 << 20)))
+        # few partitions: every level of every tree is a job over all of them
+        rows = rows.filter(draw < int(share * (1 << 20))).repartition(max(1, -(-max_rows // 10_000)))
     model = GBTRegressor(
         featuresCol="_features",
         labelCol="_label",
