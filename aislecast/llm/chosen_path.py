@@ -44,7 +44,7 @@ class ChosenPath:
     trees: int = 6
     picks: int = 2  # children of a document at a node of the first levels
     wide: int = 3  # these levels
-    depth: int = 16
+    depth: int = 8
     leaf: int = 16  # nodes up to this size are compared exhaustively
 
     @property
@@ -192,11 +192,39 @@ def _agree(pairs: DataFrame, tokens: DataFrame, params: ChosenPath) -> DataFrame
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
+def _bitmap(ids: DataFrame) -> tuple[np.ndarray, int]:
+    """Bits set for hashes of the ids, of a bounded number: sixteen an id, 32 MB at most.
+
+    It only spares work: ids that meet a set bit by chance are dropped by the
+    joins with the pairs.
+    """
+    bits = 1 << min(28, max(20, (16 * max(1, ids.count()) - 1).bit_length()))
+    place = F.pmod(F.xxhash64("id"), F.lit(bits)) + 1
+    rows = (
+        ids.select(place.alias("p"))
+        .groupBy(F.expr("bitmap_bucket_number(p)").alias("k"))
+        .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(p))").alias("bits"))
+        .collect()
+    )
+    out = np.zeros(bits // 8, dtype=np.uint8)
+    for r in rows:
+        part = np.frombuffer(r["bits"], np.uint8)
+        out[(r["k"] - 1) * len(part) : r["k"] * len(part)] = part
+    return out, bits
+
+
 def confirm(pairs: DataFrame, docs: DataFrame, params: ChosenPath, id_col: str, text_col: str) -> DataFrame:
-    """The pairs whose full sets are similar enough, as edges (u, v)."""
+    """The pairs whose full sets are similar enough, as edges (u, v).
+
+    Texts do not move: tasks make the sets of the documents in the pairs, which
+    they know by a bitmap.
+    """
+    bitmap, bits = _bitmap(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            h = batch.column(2).to_numpy()
+            batch = batch.filter(pa.array((bitmap[h >> 3] >> (h & 7).astype(np.uint8) & 1).astype(bool)))
             for k in range(0, len(batch), 256):
                 part = batch.slice(k, 256)
                 found = [one.tobytes() for one in _sets(part.column(1), params.shingle)]
@@ -211,9 +239,11 @@ def confirm(pairs: DataFrame, docs: DataFrame, params: ChosenPath, id_col: str,
                 keep.append(100 * shared >= params.percent * (len(x) + len(y) - shared))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    found = stage(texts.join(wanted, "id", "left_semi").mapInArrow(sets, "id long, set binary"), "cp-full")
+    texts = docs.filter(F.col(id_col).isNotNull()).select(
+        F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")
+    )
+    texts = texts.withColumn("h", F.pmod(F.xxhash64("id"), F.lit(bits)))
+    found = stage(texts.mapInArrow(sets, "id long, set binary"), "cp-full")
     side = lambda c: found.select(F.col("id").alias(c), F.col("set").alias(f"s{c}"))
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb").mapInArrow(check, "u long, v long")
 
@@ -251,7 +281,7 @@ def near_duplicates(
     check = lambda pairs: stage(confirm(pairs, docs, params, id_col, text_col), "cp-links")
     name = lambda links: stage(connected_components(links), "cp-labels")
 
-    # The first level. The smallest partner first: most other pairs then lie inside a component.
+    # The first level.
     members = _members(_branch(reps, params, 0), None)
     large = members.filter(F.col("n") > params.leaf)
     stars = large.filter("rep <> hub").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b"))
@@ -261,9 +291,7 @@ def near_duplicates(
         .distinct(),
         "cp-pairs",
     )
-    links = check(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
-    labels = name(links)
-    links = links.union(check(_apart(pairs, labels)))
+    links = check(pairs)
     labels = name(links)
 
     found = []
@@ -298,14 +326,14 @@ def _label(of: str, labels: DataFrame, name: str) -> DataFrame:
     return labels.select(F.col("node").alias(of), F.col("component").alias(name))
 
 
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs whose ends are not yet in one component."""
-    known = pairs.join(_label("a", labels, "ca"), "a", "left").join(_label("b", labels, "cb"), "b", "left")
-    return known.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-
-
 def _left_over(stuck: DataFrame, labels: DataFrame) -> DataFrame:
-    """In nodes that stayed large: members outside the hub's component, against all others."""
+    """In nodes that stayed large: members outside the hub's component, against all others.
+
+    Of nodes with the same members, in whatever trees, one is enough.
+    """
+    alike = stuck.groupBy("node").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("rep")).alias("x"))
+    one = alike.groupBy("m", "x").agg(F.min("node").alias("node")).select("node")
+    stuck = stuck.join(one, "node", "left_semi")
     named = (
         stuck.select("node", "rep", "hub")
         .join(_label("rep", labels, "c"), "rep", "left")

@@ -26,7 +26,8 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
         out = joined.select(F.col("v").alias("u"), F.col("low").alias("v")).union(
             low.select("u", F.col("low").alias("v"))
         )
-    return out.filter(F.col("u") != F.col("v")).distinct()
+    out = out.filter(F.col("u") != F.col("v"))
+    return out if large else out.distinct()
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
