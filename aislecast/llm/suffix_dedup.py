@@ -59,7 +59,7 @@ TIED = 8 * -(-PERIOD // 8)  # bytes compared before ranks are
 class Passages:
     length: int = 50
     block_bytes: int = 4 << 20
-    bin_bytes: int = 8 << 20  # of all text, per bin; also sets the number of buckets
+    bin_bytes: int = 4 << 20  # of all text, per bin; also sets the number of buckets
     hot_runs: int = 4096  # runs of one name from which it is cut into windows
     sort_bucket: int = 1 << 18  # windows sorted at a time
 
