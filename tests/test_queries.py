@@ -3,10 +3,9 @@
 import pytest
 
 import __spark_entry__ as contract
+from aislecast.plans.queries import QUERIES, SQL
 from tests.compare import connect, difference
 
-SQL = contract.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con(sf_dir):
@@ -17,9 +16,14 @@ def test_entry(spark):
     assert contract.entry(spark).columns[:4] == ["id", "store_id", "sku", "date"]
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+def test_contract():
+    """The driver sees all queries of the library, whatever else is installed."""
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sf_dir, con, name):
-    df = contract.queries()[name](spark, sf_dir)
+    df = QUERIES[name](spark, sf_dir)
     if name in SQL:
         assert difference(df, con, SQL[name]) is None
     else:
