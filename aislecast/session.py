@@ -59,7 +59,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def stage_by(df: DataFrame, name: str, keys: list[str], order: list[str]) -> DataFrame:
+def stage_by(
+    df: DataFrame, name: str, keys: list[str], order: list[str], codec: str = "snappy"
+) -> DataFrame:
     """As :func:`stage`, hash-bucketed by the keys and sorted inside buckets.
 
     Windows and aggregations by the keys then run on the stored partitioning,
@@ -74,6 +76,7 @@ def stage_by(df: DataFrame, name: str, keys: list[str], order: list[str]) -> Dat
     (
         df.write.format("parquet")
         .option("path", path)
+        .option("compression", codec)
         .bucketBy(shuffle_partitions(spark), *keys)
         .sortBy(*order)
         .saveAsTable(table)
