@@ -109,7 +109,7 @@ def pack(
             yield flush()
 
     packed = wanted.mapInArrow(run, "block long, ids binary, at binary, data binary, rest binary")
-    table = stage_by(packed, name, ["block"], ["block"])
+    table = stage_by(packed, name, ["block"], ["block"], codec="zstd")
     return table, table.agg(F.coalesce(F.sum(F.octet_length("data")), F.lit(0))).first()[0]
 
 

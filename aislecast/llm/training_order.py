@@ -253,7 +253,7 @@ def write_training_order(
     p = params or Order()
     spark = docs.sparkSession
     bounded_batches(spark)
-    packed = stage_by(_packed(docs, p, Path(vocabulary).read_bytes(), id_col, text_col), "packed", ["block"], ["block"])
+    packed = stage_by(_packed(docs, p, Path(vocabulary).read_bytes(), id_col, text_col), "packed", ["block"], ["block"], codec="zstd")
     total = packed.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     firsts = stage(_first_numbers(packed.select("block", "n")), "first-numbers")
 
