@@ -1,23 +1,25 @@
 """Toxicity by nearest labelled examples.
 
-A vocabulary of terms that go with the label is chosen by chi-square on a
-bounded sample of labelled rows. Terms are runs of letters and their prefixes.
-Documents and examples are TF-IDF vectors over it, with document frequencies of
-the whole corpus. The examples stand in an inverted index whose postings are
-cut into blocks of examples; the largest weight of a term in a block bounds
-what the block can add, so blocks are visited from the largest bound down and
-the search ends, exactly, when no block can beat the nearest found. All other
-words are one more term, so that closeness also tells how dense the terms are. Neighbours
-vote by closeness, and votes become probabilities by an isotonic fit on the
-examples, each without itself.
+Documents and a bounded sample of labelled rows are TF-IDF vectors over all
+terms of the sample, with document frequencies of the whole corpus. Terms are
+runs of letters and their prefixes. A term counts the more, the further it leans
+to label 1 (by the root of its chi-square); none is left out. A word that no
+example has is no coordinate: it cannot bring a document nearer to any of them.
+Cosines are exact: of all examples that share a term, added up term by term,
+terms of many examples by a dense product. Neighbours vote by closeness, and
+votes become probabilities by an isotonic fit on the examples, each without
+itself.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,32 +39,27 @@ class Neighbours:
     held_out: int = 2  # remainder of the rows whose labels are not used
     positives: int = 4_000  # labelled rows learned from, about so many of each class
     negatives: int = 8_000
-    terms: int = 512  # of the vocabulary, at most
     prefixes: tuple[int, ...] = (4, 6)  # lengths; a term's prefix is marked by ^
-    doubt: float = 0.1  # expected number of chance terms
+    stress: float = 1.0  # of the lean to label 1 in a term's weight; 0 is plain TF-IDF
     nearest: int = 15
-    block: int = 64  # examples of an index block
+    block: int = 64  # documents scored together
+    dense: float = 0.1  # terms of a larger share of the examples are multiplied as a dense matrix
     weight: float = 1.0  # of the base rate among the votes
     threshold: float = 0.3
 
 
 def count_known(value: str | None, prefixes: tuple[int, ...], places: dict[str, int]) -> tuple[list[int], list[int]]:
-    """Places and counts of the vocabulary terms of a text; the last place is all other words."""
+    """Places and counts of the vocabulary terms of a text."""
     found: dict[int, int] = {}
-    rest = 0
     for word, n in Counter(LETTERS.findall((value or "").lower())).items():
         place = places.get(word)
-        if place is None:
-            rest += n
-        else:
+        if place is not None:
             found[place] = found.get(place, 0) + n
         for k in prefixes:
             if len(word) > k:
                 place = places.get("^" + word[:k])
                 if place is not None:
                     found[place] = found.get(place, 0) + n
-    if rest:
-        found[len(places)] = rest
     own = sorted(found)
     return own, [found[k] for k in own]
 
@@ -94,8 +91,8 @@ def _sampled(labels: DataFrame, p: Neighbours, label_col: str) -> tuple[DataFram
     return known.filter(draw < rate), rates
 
 
-def learn_vocabulary(sample: DataFrame, p: Neighbours) -> list[str]:
-    """Terms (text, label rows) that go with label 1 beyond chance, the strongest first."""
+def learn_terms(sample: DataFrame, p: Neighbours) -> tuple[list[str], np.ndarray]:
+    """All terms of the sample (text, label), and what each one's lean to label 1 adds to its weight."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -110,23 +107,32 @@ def learn_vocabulary(sample: DataFrame, p: Neighbours) -> list[str]:
 
     sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
-    if not toxic or not clean:
-        return []
     counted = sample.select("text", "label").mapInArrow(run, "term string, clean long, toxic long")
-    counted = stage(counted.groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "toxic-terms")
-    limit = 2 * float(np.log(max(2, counted.count()) / p.doubt))
-    a, b = F.col("toxic").cast("double"), F.col("clean").cast("double")
-    c, d = toxic - a, clean - b
-    chi = (toxic + clean) * F.pow(a * d - b * c, 2) / ((a + b) * (c + d) * float(toxic) * float(clean))
-    strong = counted.filter((a / toxic > b / clean) & (c + d > 0)).withColumn("chi", chi).filter(F.col("chi") > limit)
-    return [r["term"] for r in strong.orderBy(F.desc("chi"), "term").limit(p.terms).collect()]
+    found = counted.groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toArrow().sort_by("term")
+    a, b = (found.column(c).to_numpy().astype(np.float64) for c in ("toxic", "clean"))
+    lean = np.zeros(len(a))
+    if toxic and clean:
+        c, d = toxic - a, clean - b
+        chi = (toxic + clean) * (a * d - b * c) ** 2 / np.maximum((a + b) * (c + d) * toxic * clean, 1)
+        lean = np.where(a / toxic > b / clean, np.sqrt(chi), 0.0)
+    return found.column("term").to_pylist(), lean
+
+
+def _packed(value: object) -> bytes:
+    return zlib.compress(pickle.dumps(value), 1)
+
+
+def _places(packed: bytes) -> dict[str, int]:
+    """The places of a packed vocabulary."""
+    return {t: k for k, t in enumerate(pickle.loads(zlib.decompress(packed)))}
 
 
 def _vectors(rows: DataFrame, vocabulary: list[str], p: Neighbours, more: list[str]) -> DataFrame:
-    """The rows' counts of vocabulary terms, then of all other words: place and n, beside other columns."""
-    places = {t: k for k, t in enumerate(vocabulary)}
+    """The rows' counts of vocabulary terms: place and n, beside other columns."""
+    packed = _packed(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = _places(packed)
         for batch in batches:
             found, counts = [], []
             for value in batch.column(0).to_pylist():
@@ -144,63 +150,84 @@ def _vectors(rows: DataFrame, vocabulary: list[str], p: Neighbours, more: list[s
 
 
 class Index:
-    """Examples by term, in blocks, with the largest weight of every term and block."""
+    """Examples by term; terms of many examples as a dense matrix."""
 
     def __init__(self, places: list, counts: list, labels: np.ndarray, weights: np.ndarray, ids: np.ndarray, idf: np.ndarray, p: Neighbours):
         self.p, self.idf, self.labels, self.weights, self.ids = p, idf, labels, weights, ids
-        self.blocks = max(1, -(-len(labels) // p.block))
-        self.top = np.zeros((len(idf), self.blocks))
+        self.own = places, counts
         term, example, weight = [], [], []
         for e, (place, n) in enumerate(zip(places, counts, strict=True)):
-            place = np.array(place, np.int64)
-            term.append(place)
-            example.append(np.full(len(place), e))
-            weight.append(self.vector(place, np.array(n)))
-        none = [np.empty(0, np.int64)]
-        term, example, weight = (np.concatenate(x or none) for x in (term, example, weight))
-        np.maximum.at(self.top, (term, example // p.block), weight)
-        # postings by term, then example; cuts[t, b] is where block b of term t begins
-        order = np.lexsort((example, term))
+            place = np.asarray(place, np.int64)
+            term.append(place.astype(np.int32))
+            example.append(np.full(len(place), e, np.int32))
+            weight.append(self.vector(place, np.asarray(n)))
+        term, example = (np.concatenate(x or [np.empty(0, np.int32)]) for x in (term, example))
+        weight = np.concatenate(weight or [np.empty(0)])
+        # postings by term, then example; those of term t are cuts[t] to cuts[t + 1]
+        order = np.argsort(term, kind="stable")
         self.examples, self.posted = example[order], weight[order]
-        cell = term[order] * self.blocks + self.examples // p.block
-        edges = np.arange(len(idf))[:, None] * self.blocks + np.arange(self.blocks + 1)
-        self.cuts = np.searchsorted(cell, edges)
+        self.held = np.bincount(term, minlength=len(idf))
+        self.cuts = np.concatenate([[0], np.cumsum(self.held)])
+        common = np.flatnonzero(self.held > p.dense * len(labels))
+        self.row = np.full(len(idf), -1, np.int32)
+        self.row[common] = np.arange(len(common))
+        self.matrix = np.zeros((len(common), len(labels)))
+        for r, t in enumerate(common):
+            own = slice(self.cuts[t], self.cuts[t + 1])
+            self.matrix[r, self.examples[own]] = self.posted[own]
         rate = float((weights * labels).sum() / max(weights.sum(), 1e-12)) if len(labels) else 0.0
         self.rate = rate
         self.steps = (np.array([0.0]), np.array([rate]))
 
+    def packed(self) -> bytes:
+        """What the index can be built from again, small enough to be sent to every worker."""
+        bounds = np.cumsum([0, *(len(x) for x in self.own[0])])
+        place, n = (np.concatenate([np.asarray(y, np.int32) for y in x] or [np.empty(0, np.int32)]) for x in self.own)
+        step = np.diff(place, prepend=np.int32(0)).astype("<i4")
+        planes = np.ascontiguousarray(step.view(np.uint8).reshape(-1, 4).T).tobytes()
+        return _packed((bounds, planes, n, self.labels, self.weights, self.ids, self.idf, self.p, self.steps))
+
     def vector(self, place: np.ndarray, n: np.ndarray) -> np.ndarray:
         w = (1 + np.log(np.maximum(n, 1))) * self.idf[place]
         return w / max(np.sqrt((w * w).sum()), 1e-12)
 
+    def cosines(self, places: list[np.ndarray], queries: list[np.ndarray]) -> np.ndarray:
+        """A row per query: its cosine with every example."""
+        often = np.zeros((len(places), len(self.matrix)))
+        for k, (place, query) in enumerate(zip(places, queries, strict=True)):
+            row = self.row[place]
+            often[k, row[row >= 0]] = query[row >= 0]
+        out = often @ self.matrix
+        for k, (place, query) in enumerate(zip(places, queries, strict=True)):
+            rare = self.row[place] < 0
+            parts = list(zip(self.cuts[place[rare]].tolist(), self.cuts[place[rare] + 1].tolist(), strict=True))
+            if parts:
+                met = np.concatenate([self.examples[i:j] for i, j in parts])
+                share = np.concatenate([self.posted[i:j] for i, j in parts]) * np.repeat(query[rare], self.held[place[rare]])
+                out[k] += np.bincount(met, share, len(self.labels))
+        return out
+
+    def search_all(self, places: list[np.ndarray], queries: list[np.ndarray], without: int = -1) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The nearest examples of every query and their cosines, nearest first; ties by place in the index.
+
+        without is the example the first query is, and the next ones are those after it.
+        """
+        found = []
+        for k, cosine in enumerate(self.cosines(places, queries)):
+            if without >= 0:
+                cosine[without + k] = 0.0
+            size = self.p.nearest
+            least = np.partition(cosine, -size)[-size] - 1e-9 if len(cosine) > size else 0.0
+            ids = np.flatnonzero((cosine > 0) & (cosine >= least))
+            # sums of another order differ in the last places, and must not decide
+            near = np.round(cosine[ids], 12)
+            best = np.lexsort((ids, -near))[:size]
+            found.append((ids[best], near[best]))
+        return found
+
     def search(self, place: np.ndarray, query: np.ndarray, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The nearest examples and their cosines, nearest first; ties by place in the index."""
-        bounds = query @ self.top[place]
-        order = np.argsort(-bounds, kind="stable")
-        ids, cosines = np.empty(0, np.int64), np.empty(0)
-        at, size, width = 0, 4, self.p.block
-        while at < self.blocks:
-            least = cosines[-1] if len(ids) == self.p.nearest else 0.0
-            blocks = order[at : at + size]
-            blocks = blocks[bounds[blocks] > least]
-            if not len(blocks):
-                break
-            start = self.cuts[place][:, blocks]
-            n = self.cuts[place][:, blocks + 1] - start
-            total = np.cumsum(n.ravel())
-            posting = np.arange(total[-1]) - np.repeat(total - n.ravel(), n.ravel()) + np.repeat(start.ravel(), n.ravel())
-            spot = np.repeat(np.tile(np.arange(len(blocks)), len(place)), n.ravel())
-            local = self.examples[posting] - blocks[spot] * width + spot * width
-            share = np.repeat(np.repeat(query, len(blocks)), n.ravel()) * self.posted[posting]
-            sums = np.bincount(local, share, len(blocks) * width)
-            met = np.flatnonzero(sums > 0)
-            found = blocks[met // width] * width + met % width
-            fresh = found != without
-            ids, cosines = np.append(ids, found[fresh]), np.append(cosines, sums[met][fresh])
-            best = np.lexsort((ids, -cosines))[: self.p.nearest]
-            ids, cosines = ids[best], cosines[best]
-            at, size = at + size, size * 2
-        return ids, cosines
+        """search_all of one query."""
+        return self.search_all([place], [query], without)[0]
 
     def vote(self, near: np.ndarray, cosine: np.ndarray) -> float:
         """The share of label 1 among the neighbours, by closeness and by what an example stands for."""
@@ -211,9 +238,14 @@ class Index:
     def calibrate(self, places: list, counts: list) -> None:
         """An isotonic fit of label on vote over the examples, each scored without itself."""
         votes = []
-        for e, (place, n) in enumerate(zip(places, counts, strict=True)):
-            place = np.array(place, np.int64)
-            votes.append(self.vote(*self.search(place, self.vector(place, np.array(n)), e)) if len(place) else self.vote(np.empty(0, np.int64), np.empty(0)))
+        for e in range(0, len(places), self.p.block):
+            own, queries = [], []
+            for place, n in zip(places[e : e + self.p.block], counts[e : e + self.p.block], strict=True):
+                # like a new document, it has no coordinate for terms that no other example has
+                shared = self.held[np.asarray(place, np.int64)] > 1
+                own.append(np.asarray(place, np.int64)[shared])
+                queries.append(self.vector(own[-1], np.asarray(n)[shared]))
+            votes += [self.vote(*x) for x in self.search_all(own, queries, e)]
         values, which = np.unique(np.array(votes), return_inverse=True)
         mass = np.bincount(which, self.weights)
         hits = np.bincount(which, self.weights * self.labels)
@@ -229,13 +261,27 @@ class Index:
             edges = np.array([(first, last) for first, last, _, _ in pools]).ravel()
             self.steps = (edges, np.repeat([(h + 0.5 * unit * self.rate) / (m + 0.5 * unit) for _, _, h, m in pools], 2))
 
-    def score(self, place: np.ndarray, n: np.ndarray) -> tuple[float, list[int]]:
-        near, cosine = np.empty(0, np.int64), np.empty(0)
-        if len(place):
-            near, cosine = self.search(place, self.vector(place, n))
-        vote = self.vote(near, cosine)
+    def score(self, places: list[np.ndarray], counts: list[np.ndarray]) -> list[tuple[float, list[int]]]:
+        """Scores and evidence of some texts."""
         at, values = self.steps
-        return float(np.interp(vote, at, values)), self.ids[near].tolist()
+        out = []
+        for e in range(0, len(places), self.p.block):
+            own = places[e : e + self.p.block]
+            queries = [self.vector(place, n) for place, n in zip(own, counts[e : e + self.p.block], strict=True)]
+            out += [(float(np.interp(self.vote(*x), at, values)), self.ids[x[0]].tolist()) for x in self.search_all(own, queries)]
+        return out
+
+
+@lru_cache(maxsize=1)
+def _index(packed: bytes) -> Index:
+    """The index of its packed form; a worker keeps the last one."""
+    bounds, planes, n, labels, weights, ids, idf, p, steps = pickle.loads(zlib.decompress(packed))
+    step = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<i4").ravel()
+    place = np.cumsum(step, dtype=np.int32)
+    places, counts = ([x[i:j] for i, j in zip(bounds[:-1], bounds[1:], strict=True)] for x in (place, n))
+    index = Index(places, counts, labels, weights, ids, idf, p)
+    index.steps, index.own = steps, ([], [])
+    return index
 
 
 def score_toxicity(
@@ -262,27 +308,27 @@ def score_toxicity(
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     chosen, rates = _sampled(labels, p, label_col)
     sample = stage(rows.join(chosen, "doc_id"), "toxic-sample")
-    vocabulary = learn_vocabulary(sample, p)
+    vocabulary, lean = learn_terms(sample, p)
     vectors = stage(_vectors(rows, vocabulary, p, ["doc_id"]), "toxic-vectors")
     size = vectors.count()
-    held = {r["k"]: r["count"] for r in vectors.select(F.explode("place").alias("k")).groupBy("k").count().collect()}
-    idf = np.array([1 + np.log((1 + size) / (1 + held.get(k, 0))) for k in range(len(vocabulary))] + [1.0])
-    examples = _vectors(sample, vocabulary, p, ["doc_id", "label"]).orderBy("doc_id").toPandas()
-    own = examples["label"].to_numpy(dtype=np.float64)
+    held = vectors.select(F.explode("place").alias("k")).groupBy("k").count().toArrow()
+    df = np.zeros(len(vocabulary))
+    df[held.column("k").to_numpy()] = held.column("count").to_numpy()
+    idf = (1 + np.log((1 + size) / (1 + df))) * (1 + p.stress * lean)
+    examples = _vectors(sample, vocabulary, p, ["doc_id", "label"]).toArrow().sort_by("doc_id")
+    places, counts = ([x.values.to_numpy() for x in examples.column(c)] for c in ("place", "n"))
+    own = examples.column("label").to_numpy().astype(np.float64)
     weights = np.array([1 / rates[int(x)] for x in own])
-    index = Index(list(examples["place"]), list(examples["n"]), own, weights, examples["doc_id"].to_numpy(), idf, p)
-    index.calibrate(list(examples["place"]), list(examples["n"]))
+    index = Index(places, counts, own, weights, examples.column("doc_id").to_numpy(), idf, p)
+    index.calibrate(places, counts)
+    packed = index.packed()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = _index(packed)
         for batch in batches:
-            scores, evidence, known = [], [], {}
-            for place, n in zip(batch.column("place").to_pylist(), batch.column("n").to_pylist(), strict=True):
-                # one term alone is the same direction however often it occurs
-                key = (tuple(place), tuple(n) if len(place) > 1 else ())
-                if key not in known:
-                    known[key] = index.score(np.array(place, np.int64), np.array(n))
-                scores.append(known[key][0])
-                evidence.append(known[key][1])
+            place, n = ([x.values.to_numpy() for x in batch.column(c)] for c in ("place", "n"))
+            found = index.score(place, n)
+            scores, evidence = [x for x, _ in found], [x for _, x in found]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(pa.int64()))],
                 ["doc_id", "score", "evidence"],

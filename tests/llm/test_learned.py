@@ -64,6 +64,23 @@ def test_block_max_search_is_exact():
         assert np.allclose(dense[near][:, places[e]] @ query, cosine)
 
 
+def test_rare_toxic_words_tell(spark):
+    """Terms of few toxic examples, and beyond the 512 strongest, still bring a document to its example."""
+    def filler(k):
+        return " ".join(f"w{'abcdefghij'[(k * 7 + j * 3) % 10]}{'klmnopqrst'[(k + j * j) % 10]}" for j in range(12))
+
+    word = lambda k: "".join("abcdefghij"[int(c)] for c in f"{k:05d}") + "zz"
+    # 600 tell-tale words of two toxic examples each; texts of no label have one each
+    rows = [(k, filler(k) + (f" {word(k // 2)}" * 2 if k < 1200 else "")) for k in range(3600)]
+    asked = [(10_000 + k, filler(k + 5) + f" {word(k)}" * 2) for k in range(0, 600, 6)]
+    docs = spark.createDataFrame(rows + asked, "doc_id long, text string")
+    known = spark.createDataFrame([(k, int(k < 1200)) for k in range(3600)], "doc_id long, toxic int")
+    p = toxicity.Neighbours(modulus=1, held_out=1)
+    found = {r.doc_id: r for r in toxicity.score_toxicity(docs, known, p).filter("doc_id >= 10000").collect()}
+    assert all({2 * (i - 10_000), 2 * (i - 10_000) + 1} <= set(r.evidence[:2]) for i, r in found.items())
+    assert sum(r.predicted for r in found.values()) > 90
+
+
 def test_calibration_is_monotone():
     index, places, counts = _index()
     index.calibrate(places, counts)
