@@ -2,13 +2,16 @@
 
 A document's character-class histogram and its histogram of common words are
 compared with references of every language by Jensen-Shannon distance (base 2,
-0 to 1). It passes if the nearest language is near enough in both. Documents
-below a minimum length have no meaningful histogram and pass on the counts
-alone. Built-in functions only; no row leaves its task.
+0 to 1). It passes if the nearest language is near enough in both. A third
+distance takes all other words as one class, so that a text without common
+words is far from every language. Documents below a minimum length have no
+meaningful histogram and pass on the counts alone. Built-in functions only; no
+row leaves its task.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,7 +21,7 @@ from aislecast.llm.common import WORD, text_of
 from aislecast.session import stage
 
 OWN = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-OWN += ["class_distance", "word_distance", "kept"]
+OWN += ["class_distance", "word_distance", "prose_distance", "kept"]
 
 # Character classes; what is in none of them, mostly small letters, is the last.
 CLASSES = {
@@ -39,6 +42,7 @@ class Rules:
     common_words: int = 20  # fewer common words found: no word test
     max_class_distance: float = 0.3
     max_word_distance: float = 0.7
+    max_prose_distance: float | None = 0.88  # of the distance of a text without common words; None: no such test
     common: int = 30  # common words of a language's reference
     languages: int = 100  # references at most, the largest languages
 
@@ -108,8 +112,9 @@ def with_counts(docs: DataFrame, rules: Rules, text_col: str = "text") -> DataFr
 
 def learn_words(
     docs: DataFrame, rules: Rules, lang_col: str = "lang", text_col: str = "text"
-) -> dict[str, dict[str, float]]:
-    """The shares of the most frequent lower-cased words of every language.
+) -> tuple[dict[str, dict[str, float]], dict[str, float]]:
+    """The shares of the most frequent lower-cased words of every language among themselves; and, for the
+    prose test, their share of all its words.
 
     From all rows that name a language. The limit per language is applied in
     each task before the shuffle; the driver gets rules.languages times
@@ -127,10 +132,15 @@ def learn_words(
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
     best = counted.withColumn("_rank", rank).filter(F.col("_rank") <= rules.common)
     largest = best.groupBy("lang").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "lang").limit(rules.languages)
+    if rules.max_prose_distance is not None:
+        largest = largest.join(counted.groupBy("lang").agg(F.sum("n").alias("every")), "lang")
     out: dict[str, dict[str, float]] = {}
+    common: dict[str, float] = {}
     for r in best.join(largest, "lang").orderBy("lang", "word").collect():
         out.setdefault(r["lang"], {})[r["word"]] = r["n"] / r["total"]
-    return out
+        if rules.max_prose_distance is not None:
+            common[r["lang"]] = r["total"] / r["every"]
+    return out, common
 
 
 def learn_classes(measured: DataFrame, rules: Rules, lang_col: str = "lang") -> dict[str, list[float]]:
@@ -182,25 +192,54 @@ def _word_distance(shares: dict[str, float]) -> Column:
     return F.aggregate(mine, start, add, lambda a: _distance(a["terms"] + (1.0 - a["seen"])))
 
 
+def _prose_distance(shares: dict[str, float], common: float) -> Column:
+    """Over the reference's words and all others as one; 1 is that of a text without the reference's words."""
+    known = F.create_map(*(F.lit(x) for w, q in shares.items() for x in (w, q * common)))
+    mine = F.filter("_hist", lambda x: x["word"].isin(list(shares)))
+    other = max(0.0, 1.0 - common)
+    none = math.sqrt((common + (other * math.log2(2 * other / (1 + other)) if other else 0.0) + math.log2(2 / (1 + other))) / 2)
+
+    def add(a: Column, x: Column) -> Column:
+        p, q = x["n"] / F.col("n_words"), F.element_at(known, x["word"])
+        return F.struct(
+            (a["terms"] + _divergence_term(p, q)).alias("terms"), (a["own"] + p).alias("own"), (a["seen"] + q).alias("seen")
+        )
+
+    def finish(a: Column) -> Column:
+        rest = _divergence_term(F.greatest(F.lit(0.0), 1.0 - a["own"]), F.lit(other))
+        return _distance(a["terms"] + (common - a["seen"]) + rest) / none
+
+    return F.aggregate(mine, F.struct(*(F.lit(0.0).alias(c) for c in ("terms", "own", "seen"))), add, finish)
+
+
 def _nearest(distances: list[Column]) -> Column:
     if not distances:
         return F.lit(None).cast("double")
     return F.least(*distances) if len(distances) > 1 else distances[0]
 
 
-def measure(docs: DataFrame, words: dict[str, dict[str, float]], rules: Rules, text_col: str = "text") -> DataFrame:
-    """Adds the base counts, word_distance and _class (characters by class)."""
+def measure(
+    docs: DataFrame,
+    references: tuple[dict[str, dict[str, float]], dict[str, float]],
+    rules: Rules,
+    text_col: str = "text",
+) -> DataFrame:
+    """Adds the base counts, word_distance, prose_distance and _class (characters by class)."""
+    words, common = references
     out = with_counts(docs.drop(*(c for c in OWN if c != text_col)), rules, text_col)
     known = sorted({w for shares in words.values() for w in shares})
     hist = F.transform(
         F.array_distinct("_common"),
         lambda w: F.struct(w.alias("word"), (F.size("_common") - F.size(F.array_remove("_common", w))).cast("long").alias("n")),
     )
-    enough = (F.col("n_words") >= rules.divergence_words) & (F.size("_common") >= rules.common_words)
+    long = F.col("n_words") >= rules.divergence_words
+    enough = long & (F.size("_common") >= rules.common_words)
+    prose = _nearest([_prose_distance(words[g], common[g]) for g in common])
     return (
         out.withColumn("_common", F.filter(F.transform("_words", F.lower), lambda w: w.isin(known)))
         .withColumn("_hist", hist)
         .withColumn("word_distance", F.when(enough, _nearest([_word_distance(w) for w in words.values()])))
+        .withColumn("prose_distance", F.when(long, prose))
         .drop("_text", "_words", "_common", "_hist")
     )
 
@@ -211,6 +250,8 @@ def verdict(measured: DataFrame, classes: dict[str, list[float]], rules: Rules)
     far = lambda c, limit: F.coalesce(F.col(c) > limit, F.lit(False))
     out = measured.withColumn("class_distance", distance)
     fine = ~far("class_distance", rules.max_class_distance) & ~far("word_distance", rules.max_word_distance)
+    if rules.max_prose_distance is not None:
+        fine = fine & ~far("prose_distance", rules.max_prose_distance)
     return out.withColumn("kept", ~F.col("base_failed") & fine).drop("_class")
 
 
@@ -224,9 +265,9 @@ def judge(
     """One row per input row: the id, base counts, distances and the verdict.
 
     Columns: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, word_distance and class_distance (to the nearest language;
-    null where the text is too short to tell or no row names a language) and
-    kept.
+    base_failed, word_distance, prose_distance and class_distance (to the nearest
+    language; null where the text is too short to tell or no row names a
+    language; word_distance also where it has few common words) and kept.
 
     Null or empty text has no words and fails the word minimum. A null language
     gives no reference but is judged like the rest. Repeated rows get equal

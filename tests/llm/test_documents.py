@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -277,6 +278,21 @@ def test_rules_distances(spark, sf_dir):
     assert {r.doc_id for r in kept.collect()} == ids
 
 
+def test_rules_long_texts_without_common_words(spark, sf_dir):
+    """Gibberish of prose-like characters is far from every language at every length; short texts cannot tell."""
+    made = random.Random(3)
+    gibberish = lambda n: " ".join("".join(made.choices("bcdfgklmnprstv", k=made.randint(3, 8))) for _ in range(n))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "text")
+    odd = spark.createDataFrame([(-n, None, gibberish(n)) for n in (49, 50, 500, 10_000)], docs.schema)
+    rows = {r.doc_id: r for r in divergence_rules.judge(docs.union(odd)).filter("doc_id < 0").collect()}
+    assert rows[-49].prose_distance is None
+    for n in (50, 500, 10_000):
+        r = rows[-n]
+        assert not r.base_failed and r.class_distance < 0.3 and r.word_distance is None
+        assert 0.9 < r.prose_distance <= 1.0 and not r.kept
+    assert not divergence_rules.filter_documents(docs.union(odd)).filter("doc_id < -49").count()
+
+
 def test_rules_awkward(spark):
     rows = divergence_rules.judge(awkward(spark)).collect()
     assert len(rows) == len(texts())
