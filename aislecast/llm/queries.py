@@ -59,7 +59,7 @@ def op3_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return interpolation.lm_scores(table(spark, sf_dir, "documents"))
+    return interpolation.lm_scores(table(spark, sf_dir, "documents"), interpolation.Interpolation(order=3))
 
 
 @query

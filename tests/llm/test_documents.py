@@ -223,6 +223,14 @@ def test_lm_scores(spark, sf_dir):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_lm_query_has_three_orders(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    score = lambda rows: {r.doc_id: r.score for r in rows if r.held_out}
+    found = score(QUERIES["op4_lm_scores"](spark, sf_dir).collect())
+    three, two = (score(interpolation.lm_scores(docs, interpolation.Interpolation(order=k)).collect()) for k in (3, 2))
+    assert found == pytest.approx(three, rel=1e-9) and found != pytest.approx(two, rel=1e-9)
+
+
 @pytest.mark.parametrize("order", [1, 2, 3])
 def test_lm_awkward(spark, order):
     params = interpolation.Interpolation(order=order, block_bytes=3000, bucket_bytes=20_000)
