@@ -109,3 +109,17 @@ def rules_sql(rules: Rules | None = None) -> str:
 
 
 SQL = {"op2_mix": mix_sql(), "op6_quality_rules": rules_sql()}
+
+SQL["op13_hard_negatives"] = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+ list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+ WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+ FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+ QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id)
+QUALIFY row_number() OVER w <= 5
+"""

@@ -12,6 +12,7 @@ from aislecast.llm import (
     chosen_path,
     curriculum,
     divergence_rules,
+    hard_negatives,
     interpolation,
     multi_index,
     nbest,
@@ -91,3 +92,10 @@ def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.cross_tokenizer_alignment(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
