@@ -14,6 +14,7 @@ from aislecast.llm import (
     divergence_rules,
     hard_negatives,
     interpolation,
+    metric_join,
     multi_index,
     nbest,
     pu_quality,
@@ -99,3 +100,9 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     rows = table(spark, sf_dir, "embeddings").withColumn("label", moved)
     return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+@query
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    params = metric_join.MetricJoin(shingle=4, percent=85)
+    return metric_join.similarity_join(table(spark, sf_dir, "documents"), params)
