@@ -199,7 +199,7 @@ def _split(members: DataFrame, level: int, p: MetricJoin) -> DataFrame:
         taken = own.select(NAMES).take(pa.array(document)).set_column(3, "guest", pa.array(guest))
         return taken.add_column(0, "region", pa.array(region)).add_column(0, "parent", pa.array(parent))
 
-    left = members.withColumn("part", F.pmod(F.xxhash64("node", F.lit(-1)), F.col("parts")))
+    left = members.withColumn("part", F.pmod(F.xxhash64("node", F.lit(-1)), F.col("parts")).cast("int"))
     cut = left.groupBy("region", "part").cogroup(pivots.groupBy("of", "at")).applyInArrow(assign, f"parent long, region long, {MEMBER}")
     return stage(cut, "jaccard-regions")
 
@@ -241,7 +241,7 @@ def joined(links: np.ndarray) -> np.ndarray:
 def _compare(members: DataFrame, p: MetricJoin) -> DataFrame:
     """node, root and links of every member in every comparison; root is a node it is joined with, or itself."""
     parts = F.col("parts")
-    own = F.pmod(F.xxhash64("node", F.lit(-2)), parts).alias("own")
+    own = F.pmod(F.xxhash64("node", F.lit(-2)), parts).cast("int").alias("own")
     met = members.select("region", own, F.explode(F.sequence(F.lit(0), parts - 1)).alias("other"), *NAMES)
     met = met.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("other")
 
