@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aislecast.functions.dates import present, with_event_date
@@ -135,18 +135,17 @@ def with_date_text(df: DataFrame) -> DataFrame:
 def series_of(daily: DataFrame, pairs: str = "all") -> DataFrame:
     """The series of the dense table: every store with every product.
 
-    ``pairs="observed"`` keeps only pairs that sold at least once. The list of
-    stores travels as one array; it is smaller than the table that must be
-    written anyway by the factor products x days.
+    ``pairs="observed"`` keeps only pairs that sold at least once. Products are
+    dealt into lanes and meet a copy of the stores in each, so neither list is
+    in one row or one task.
     """
     if pairs == "observed":
         return daily.select(*SERIES).distinct()
-    stores = daily.agg(F.collect_set("store_id").alias("stores"))
-    # A few distinct products would end up in one task; spread them before
-    # each becomes a row per store.
-    products = daily.select("sku").distinct()
-    spread = products.repartition(shuffle_partitions(daily.sparkSession), "sku")
-    return spread.select(F.explode(stores.scalar()).alias("store_id"), "sku")
+    lanes = shuffle_partitions(daily.sparkSession)
+    stores = daily.select("store_id").distinct().withColumn("_lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
+    products = daily.select("sku").distinct().withColumn("_lane", F.pmod(F.xxhash64("sku"), F.lit(lanes)).cast("int"))
+    # The explicit count keeps adaptive execution from putting all lanes into one task.
+    return products.repartition(lanes, "_lane").join(stores, "_lane").select(*SERIES)
 
 
 def opening_prices(
@@ -181,28 +180,37 @@ def opening_prices(
     return joined.select(*SERIES, opening.alias("opening_price"))
 
 
-def densify(
+def carried_rows(
     daily: DataFrame,
     shelf: DataFrame | None = None,
     sentiment: DataFrame | None = None,
     price_default: float = DEFAULT_PRICE,
-    shelf_default: float = DEFAULT_SHELF,
     partition_by_store: bool = False,
     pairs: str = "all",
+    among: DataFrame | None = None,
+    series: DataFrame | None = None,
+    days: tuple[Column, Column] | None = None,
 ) -> DataFrame:
-    """Every day of every series, with the fill rules applied.
+    """Sparse rows of the dense table, each with the day before which the next one begins.
 
-    The dense table is never joined or shuffled. One opening row per series
-    (first day, opening price, sentiment) is put together with the sparse
-    sales and shelf days, the sparse rows are shuffled once by series, and
-    each row then stretches to the day before its successor. Prices are
-    carried on the sparse rows, so filled days just repeat them.
+    One opening row per series (first day, opening price, sentiment) is put
+    together with the sales and shelf days; prices are carried on these rows.
+    ``series`` limits the work to some series; ``among`` are then all series of
+    their products, as opening prices come from other stores, and ``days`` the
+    first and last day of the whole table.
     """
     spark = daily.sparkSession
-    first_day = daily.agg(F.min("date").alias("d")).scalar()
-    last_day = daily.agg(F.max("date").alias("d")).scalar()
+    first_day, last_day = days or (
+        daily.agg(F.min("date").alias("d")).scalar(),
+        daily.agg(F.max("date").alias("d")).scalar(),
+    )
 
-    opening = opening_prices(daily, series_of(daily, pairs), price_default, partition_by_store)
+    among = series_of(daily, pairs) if among is None else among
+    opening = opening_prices(daily, among, price_default, partition_by_store)
+    if series is not None:
+        opening = opening.join(series, SERIES, "left_semi")
+        daily = daily.join(series, SERIES, "left_semi")
+        shelf = None if shelf is None else shelf.join(series, SERIES, "left_semi")
     if sentiment is None:
         opening = opening.withColumn("sentiment_score", F.lit(0.0))
     else:
@@ -234,7 +242,7 @@ def densify(
     so_far = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     opened = F.first("opening_price", True).over(so_far)
     price = F.coalesce(F.last("avg_price", True).over(so_far), opened)
-    carried = (
+    return (
         sparse.withColumn("_until", F.coalesce(F.lead("date").over(by_day), F.date_add(last_day, 1)))
         .withColumn("_price", price)
         .withColumn("_opened", opened)
@@ -243,9 +251,11 @@ def densify(
         # product that sells.
         .filter(F.col("_opened").isNotNull())
     )
-    days = carried.withColumn(
-        "_day", F.explode(F.sequence(F.col("date"), F.date_sub(F.col("_until"), 1)))
-    )
+
+
+def stretch(carried: DataFrame, first: Column, last: Column, shelf_default: float = DEFAULT_SHELF) -> DataFrame:
+    """A dense row for every day of each carried row from first to last."""
+    days = carried.withColumn("_day", F.explode(F.sequence(first, last)))
     own = F.col("_day") == F.col("date")
     dense = days.select(
         *SERIES,
@@ -259,6 +269,24 @@ def densify(
     return with_default_flags(fill_missing_measures(dense, shelf_default))
 
 
+def densify(
+    daily: DataFrame,
+    shelf: DataFrame | None = None,
+    sentiment: DataFrame | None = None,
+    price_default: float = DEFAULT_PRICE,
+    shelf_default: float = DEFAULT_SHELF,
+    partition_by_store: bool = False,
+    pairs: str = "all",
+) -> DataFrame:
+    """Every day of every series, with the fill rules applied.
+
+    The dense table is never joined or shuffled: the sparse rows are shuffled
+    once by series, and each then stretches to the day before its successor.
+    """
+    carried = carried_rows(daily, shelf, sentiment, price_default, partition_by_store, pairs)
+    return stretch(carried, F.col("date"), F.date_sub("_until", 1), shelf_default)
+
+
 def with_sentiment(df: DataFrame, sentiment: DataFrame) -> DataFrame:
     """Look the product's score up; products without reviews are neutral."""
     scores = sentiment.select("sku", F.col("sentiment_score").alias("_score"))

@@ -207,6 +207,15 @@ CTES: dict[str, str] = {
   WHERE lag7 IS NOT NULL AND date > (SELECT max(date) - 28 FROM curated)""",
 }
 
+# The roll-up after late and emptied days, and the dense table of it.
+CTES["late_daily"] = """
+  SELECT store_id, sku, date, qty_sold * f AS qty_sold, revenue * f AS revenue, avg_price * f AS avg_price FROM (
+    SELECT *, CASE WHEN month(date) = 3 AND day(date) = 5 THEN 2 ELSE 1 END AS f FROM daily
+    WHERE date < (SELECT max(date) FROM daily) AND NOT (month(date) = 6 AND day(date) BETWEEN 10 AND 12))
+  UNION ALL SELECT 'ASIA', sku, DATE '1997-02-03', 5, 50.0, 7.5 FROM (SELECT DISTINCT sku FROM daily
+    WHERE sku NOT IN (SELECT sku FROM daily WHERE store_id = 'ASIA' AND date = DATE '1997-02-03'))"""
+CTES |= {f"late_{name}": re.sub(r"\b(daily|grid|merged)\b", r"late_\1", CTES[name]) for name in ("grid", "merged", "curated")}
+
 _NAMES = re.compile(r"\b(" + "|".join(CTES) + r")\b")
 
 

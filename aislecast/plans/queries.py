@@ -26,6 +26,7 @@ from aislecast.operators import (
     normalize,
     ordering,
     quality,
+    repair,
     reports,
     sentiment,
     upsert,
@@ -34,7 +35,7 @@ from aislecast.plans import oracle
 from aislecast.plans.oracle import r
 from aislecast.plans.tables import TRAIN_ROWS, Tables, sample_scorer
 from aislecast.session import stage, stage_path
-from aislecast.sources import readers, writers
+from aislecast.sources import readers, versions, writers
 from aislecast.streaming import landing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -240,6 +241,29 @@ def b5(t: Tables) -> DataFrame:
     return rounded(out, 6, "freq")
 
 
+@query(
+    "b5_committed_version",
+    f"SELECT 'before' AS seen, store_id, 0.0::DOUBLE AS freq FROM ({graph_sql('neighbours')}) GROUP BY store_id UNION ALL "
+    f"SELECT 'after', store_id, {r('avg(graph_co_stock_freq)', 6)} FROM ({graph_sql('neighbours')}) GROUP BY store_id",
+)
+def b5_committed(t: Tables) -> DataFrame:
+    """Enriching a table that is being read: until the commit readers see the old version, then the new one."""
+    table = versions.VersionedTable(stage_path(t.spark, "curated-table"), tuple(SERIES), 8)
+    table.write(t.curated.withColumn("graph_co_stock_freq", F.lit(0.0)))
+    plain = table.read(t.spark).drop("graph_co_stock_freq")
+    enriched = graph.point_in_time_features(plain, t.neighbours).select(*plain.columns, "graph_co_stock_freq")
+    base, _ = table.record.read(t.spark)
+    staged = table.stage(enriched)
+    before = table.read(t.spark)
+    table.commit(t.spark, base, staged, enriched.schema)
+    seen = [(name, df) for name, df in (("before", before), ("after", table.read(t.spark)))]
+    means = [
+        df.groupBy("store_id").agg(F.avg("graph_co_stock_freq").alias("freq")).select(F.lit(name).alias("seen"), "store_id", "freq")
+        for name, df in seen
+    ]
+    return rounded(means[0].unionByName(means[1]), 6, "freq")
+
+
 @query("b6_forecast_sink", "SELECT * FROM mean_forecast")
 def b6(t: Tables) -> DataFrame:
     path = stage_path(t.spark, "forecast-sink")
@@ -781,17 +805,23 @@ def j15(t: Tables) -> DataFrame:
     return reports.days_with_open_alerts(t.curated, t.anomalies).select(*KEYS, "open_alerts")
 
 
-@query(
-    "j16_upsert",
-    """WITH o AS (SELECT CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey END AS o_orderkey, o_totalprice, 0 AS version FROM orders),
+J16_SQL = """WITH o AS (SELECT CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey END AS o_orderkey, o_totalprice, 0 AS version FROM orders),
     n AS (SELECT o_orderkey, 0.0::DOUBLE AS o_totalprice, 1 AS version FROM o WHERE o_orderkey % 3 = 0
           UNION ALL SELECT o_orderkey, 1.0, 2 FROM o WHERE o_orderkey % 9 = 0
           UNION ALL SELECT NULL, o_totalprice, o_orderkey::INTEGER FROM orders WHERE o_orderkey < 100)
     SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY version DESC) = 1
-    UNION ALL SELECT * FROM o WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.o_orderkey IS NOT DISTINCT FROM o.o_orderkey)""",
-)
+    UNION ALL SELECT * FROM o WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.o_orderkey IS NOT DISTINCT FROM o.o_orderkey)"""
+
+
+@query("j16_upsert", J16_SQL)
 def j16(t: Tables) -> DataFrame:
     """Several new rows of a key, and NULL keys on both sides."""
+    old, changed = order_changes(t)
+    once = upsert.upsert(old, changed, ["o_orderkey"], "version")
+    return upsert.upsert(once, changed, ["o_orderkey"], "version")
+
+
+def order_changes(t: Tables) -> tuple[DataFrame, DataFrame]:
     orders = t.table("orders").select("o_orderkey", "o_totalprice")
     key = F.col("o_orderkey")
     old = orders.select(F.when(key % 7 != 0, key).alias("o_orderkey"), "o_totalprice", F.lit(0).alias("version"))
@@ -804,8 +834,7 @@ def j16(t: Tables) -> DataFrame:
             )
         )
     )
-    once = upsert.upsert(old, changed, ["o_orderkey"], "version")
-    return upsert.upsert(once, changed, ["o_orderkey"], "version")
+    return old, changed
 
 
 # --- E: aggregations --------------------------------------------------------------
@@ -1723,6 +1752,22 @@ def l8(t: Tables) -> DataFrame:
     return upsert.upsert(once, t.products, ["sku"])
 
 
+@query("l8_bucket_merge", J16_SQL)
+def l8_merge(t: Tables) -> DataFrame:
+    """The upsert into a stored table, twice: once whole, once in the buckets of every tenth key only."""
+    table = versions.VersionedTable(stage_path(t.spark, "orders-table"), ("o_orderkey",), 32)
+    old, changed = order_changes(t)
+    table.merge(old.filter("o_orderkey IS NOT NULL"))
+    # Rows without a key are no rows to merge by it: they come as they are, all of them.
+    base, _ = table.record.read(t.spark)
+    bare = old.filter("o_orderkey IS NULL")
+    parts = table.touched(bare)
+    table.replace(table.read(t.spark, base, parts).unionByName(bare), parts, base)
+    table.merge(changed, "version")
+    table.merge(changed.filter("o_orderkey % 30 = 0"), "version")
+    return table.read(t.spark)
+
+
 @query(
     "l9_point_in_time",
     f"SELECT store_id, sku, date, {r('graph_co_stock_freq', 6)} AS graph_co_stock_freq, "
@@ -2172,10 +2217,13 @@ def s7(t: Tables) -> DataFrame:
     "s8_refresh_days",
     f"""SELECT store_id, sku, date, qty_sold * CASE WHEN month(date) = 6 THEN 2 ELSE 1 END AS qty_sold,
   {r('revenue * CASE WHEN month(date) = 6 THEN 2 ELSE 1 END', 2)} AS revenue FROM daily
-WHERE month(date) IN (5, 6, 7) AND NOT (month(date) = 6 AND day(date) BETWEEN 10 AND 12)""",
+WHERE month(date) IN (5, 6, 7) AND NOT (month(date) = 6 AND (day(date) BETWEEN 10 AND 12 OR day(date) = 20))""",
 )
 def s8(t: Tables) -> DataFrame:
-    """Into a filled table: June doubles and loses three days; July changes too, but is not refreshed."""
+    """Into a filled table: June doubles, loses three days, and one keeps rows that all lost their quantity.
+
+    July changes too, but is not refreshed.
+    """
     path = stage_path(t.spark, "daily-by-date")
     month, day = F.month("date"), F.dayofmonth("date")
     priced = stage(dates.with_event_date(fill.fill_prices(curate.drop_unsold(t.sales))).filter(month.isin(5, 6, 7)), "priced")
@@ -2183,5 +2231,32 @@ def s8(t: Tables) -> DataFrame:
     landing.refresh_days(curate.daily_sales, priced, days, path)
     changed = priced.withColumn("qty_sold", F.col("qty_sold") * F.when(month == 6, 2).when(month == 7, 3).otherwise(1))
     changed = changed.filter(~((month == 6) & day.between(10, 12)))
-    landing.refresh_days(curate.daily_sales, changed, [d for d in days if d.month == 6], path)
+    changed = changed.withColumn("qty_sold", F.when(~((month == 6) & (day == 20)), F.col("qty_sold")))
+    sold = lambda raw: curate.daily_sales(curate.drop_unsold(raw))
+    landing.refresh_days(sold, changed, [d for d in days if d.month == 6], path)
     return rounded(t.spark.read.parquet(path).select(*KEYS, "qty_sold", "revenue"), 2, "revenue")
+
+
+@query(
+    "s8_dense_refresh",
+    "SELECT store_id, sku, date, qty_sold, revenue, avg_price, avg_shelf_qty FROM late_curated",
+)
+def s8_dense(t: Tables) -> DataFrame:
+    """The stored dense table after late, changed and emptied days: only the touched spans are made anew."""
+    old = stage(curate.daily_sales_filled(t.sales), "daily-sales")
+    shelf = stage(curate.daily_shelf(t.iot), "daily-shelf")
+    table = repair.dense_table(stage_path(t.spark, "dense-table"), 4)
+    table.write(curate.densify(old, shelf))
+    day, month, late = F.dayofmonth("date"), F.month("date"), F.lit("1997-02-03").cast("date")
+    twice = F.when((month == 3) & (day == 5), 2).otherwise(1)
+    last = old.agg(F.max("date").alias("d")).scalar()
+    new = old.filter((F.col("date") < last) & ~((month == 6) & day.between(10, 12)))
+    new = new.withColumns({c: F.col(c) * twice for c in ("qty_sold", "revenue", "avg_price")})
+    there = old.filter((F.col("store_id") == "ASIA") & (F.col("date") == late)).select("sku")
+    more = old.select("sku").distinct().join(there, "sku", "left_anti").select(
+        F.lit("ASIA").alias("store_id"), "sku", late.alias("date"), F.lit(5).cast("long").alias("qty_sold"),
+        F.lit(50.0).alias("revenue"), F.lit(7.5).alias("avg_price"),
+    )
+    new = stage(new.unionByName(more), "daily-sales")
+    repair.repair_dense(table, old, new, shelf, shelf)
+    return table.read(t.spark).select(*KEYS, "qty_sold", "revenue", "avg_price", "avg_shelf_qty")

@@ -20,7 +20,9 @@ from pyspark.sql import types as T
 
 from aislecast.contracts import POS_EVENT, SHELF_EVENT
 from aislecast.functions.dates import event_day
+from aislecast.session import stage
 from aislecast.sources.readers import parse_events
+from aislecast.sources.versions import delete
 from aislecast.sources.writers import gather_days, write_by_date
 
 # Topics, and the raw-zone tables they land in.
@@ -192,12 +194,12 @@ def bounded_dedupe(events: DataFrame, ts: str, keys: Sequence[str], lateness: st
 def refresh_days(daily_rollup, raw: DataFrame, days: Sequence, path: str) -> None:
     """Recompute the daily roll-up of the given days and replace only those.
 
-    A day that has no rows any more loses its folder, so no old result stays.
+    A day that comes out without rows loses its folder, so no old result stays,
+    also where it still has raw rows. The raw rows are read once.
     """
     days = list(days)
     spark = raw.sparkSession
-    write_by_date(daily_rollup(raw.filter(F.col("date").isin(days))), path)
-    left = {r["date"] for r in raw.filter(F.col("date").isin(days)).select("date").distinct().collect()}
-    for day in set(days) - left:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/date={day}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    made = stage(daily_rollup(raw.filter(F.col("date").isin(days))), "refreshed-days")
+    write_by_date(made, path)
+    for day in set(days) - {r["date"] for r in made.select("date").distinct().collect()}:
+        delete(spark, f"{path}/date={day}")
