@@ -36,7 +36,7 @@ from aislecast.session import stage, stage_by
 
 # Fixed value: how byte-level BPE cuts a text into words before it merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -44,7 +44,18 @@ class Alignment:
     byte_bpe: str = "/opt/tokenizers/byte_bpe_50k.json"  # A, takes a space and the text
     pieces: str = "/opt/tokenizers/piece_bpe_32k.model"  # B, adds the space itself
     overlaps: bool = False  # also return the overlap links
-    block_tokens: int = 2_000_000  # of A in a block, about
+    block_tokens: int = 1_200_000  # of A in a block, about
+
+
+def _sorted(key: np.ndarray, values: np.ndarray | None) -> tuple[np.ndarray, np.ndarray | None]:
+    """Both by key. Small values ride in the low bits of the keys: sorting numbers is much faster than sorting places."""
+    if values is None:
+        return np.sort(key), None
+    if int(key.max()) < 1 << 43 and int(values.max()) < 1 << 20:
+        packed = np.sort((key << 20) | values)
+        return packed >> 20, packed & ((1 << 20) - 1)
+    order = np.argsort(key, kind="stable")
+    return key[order], values[order]
 
 
 @dataclass(frozen=True)
@@ -66,8 +77,7 @@ class Csr:
         """From entries in any order; those of one place are added up."""
         key = rows.astype(np.int64) * width + columns
         if len(key) > 1 and (key[1:] < key[:-1]).any():
-            order = np.argsort(key, kind="stable")
-            key, values = key[order], None if values is None else values[order]
+            key, values = _sorted(key, values)
         first = np.flatnonzero(np.diff(key, prepend=-1))
         key_ = key[first]
         if values is None:
@@ -92,8 +102,11 @@ def product(a: Csr, b: Csr, at_once: int = 1 << 22) -> Iterator[tuple[int, int,
         j = max(i + 1, int(np.searchsorted(by_row, by_row[i] + at_once, side="right")) - 1)
         s = slice(int(a.starts[i]), int(a.starts[j]))
         n = int(by_row[j] - by_row[i])
-        of = np.repeat(np.arange(s.start, s.stop), size[s])
-        place = np.arange(n) - (done[of] - by_row[i]) + b.starts[a.columns[of]]
+        if n == s.stop - s.start and (size[s] == 1).all():
+            of, place = s, b.starts[a.columns[s]]
+        else:
+            of = np.repeat(np.arange(s.start, s.stop), size[s])
+            place = np.arange(n) - (done[of] - by_row[i]) + b.starts[a.columns[of]]
         yield i, j, Csr.of(row_of[of] - i, b.columns[place], j - i, b.width, a.values[of] * b.values[place])
         i = j
 
@@ -140,14 +153,18 @@ def linked_ids(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """document, pair (id of A x width + id of B) and number of token pairs, in order of both."""
     n = int(group_a[-1]) + 1 if len(group_a) else 0
-    names, row = np.unique((doc_a.astype(np.int64) << 32) | ids_a, return_inverse=True)
-    left = Csr.of(row, group_a, len(names), max(1, n))
+    # rows of the left side: the different (document, id), which sort like the rest of the place
+    place, times = np.unique(((doc_a.astype(np.int64) << 20) | ids_a) * max(1, n) + group_a, return_counts=True)
+    of_row, column = np.divmod(place, max(1, n))
+    first = np.flatnonzero(np.diff(of_row, prepend=-1))
+    names = of_row[first]
+    left = Csr(np.append(first, len(place)), column, times, n)
     right = Csr.of(group_b, ids_b, n, width)
     docs, pairs, times = [], [], []
     for i, _, part in product(left, right):
         name = names[i + part.rows]
-        docs.append(name >> 32)
-        pairs.append((name & 0xFFFFFFFF) * width + part.columns)
+        docs.append(name >> 20)
+        pairs.append((name & 0xFFFFF) * width + part.columns)
         times.append(part.values)
     none = [np.empty(0, np.int64)]
     return np.concatenate(docs or none), np.concatenate(pairs or none), np.concatenate(times or none)
@@ -241,17 +258,20 @@ def _whole(ids: np.ndarray, counts: np.ndarray, vocabulary: Vocabulary, source:
 
 
 def encode_both(raw: list[bytes], a: ByteBpe, b: PieceBpe) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Ids and their number by text, of A and of B; none where either does not spell space + text."""
+    """Ids and their number by text, of A and of B; none where either does not spell space + text.
+
+    A spells every text that is UTF-8: its merges only join neighbours, from single bytes on.
+    """
     texts = [t.decode("utf-8", "replace") for t in raw]
     lists = [a.encode(" " + t) for t in texts], b.encode(texts)
     source = np.frombuffer(b"".join(b" " + t for t in raw), np.uint8)
     at = np.concatenate([[0], np.cumsum([len(t) + 1 for t in raw])]).astype(np.int64)
-    out, good = [], np.array([len(t) > 0 for t in raw], bool)
-    for found, vocabulary in zip(lists, (a.vocabulary, b.vocabulary), strict=True):
+    good = np.array([len(r) > 0 and ("\ufffd" not in t or t.encode() == r) for r, t in zip(raw, texts, strict=True)], bool)
+    out = []
+    for found in lists:
         counts = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter(chain.from_iterable(found), np.int64, int(counts.sum()))
-        good &= _whole(ids, counts, vocabulary, source, at)
-        out.append((ids, counts))
+        out.append((np.fromiter(chain.from_iterable(found), np.int64, int(counts.sum())), counts))
+    good &= _whole(*out[1], b.vocabulary, source, at)
     return tuple(x for ids, counts in out for x in (ids[np.repeat(good, counts)], np.where(good, counts, 0)))
 
 

@@ -64,9 +64,13 @@ def crowd(n: int, words: int, edits: int, seed: int, first: int = 1000) -> list[
     [{}, {"leaf": 8, "pivots": 4, "gain": 1.0}, {"leaf": 8, "gain": 0.0}, {"leaf": 3, "pivots": 2, "gain": 9.0, "levels": 2}],
     ids=["whole", "split", "slices", "copies"],
 )
-def test_against_all_pairs(spark, params):
+def test_against_all_pairs(spark, request, params):
     docs = cases.texts() + crowd(60, 60, 3, 11) + crowd(40, 90, 12, 12, 2000) + [(3000 + k, cases.prose(30, k)) for k in range(20)]
     docs += docs[25:30]
+    # groups and parts land in tasks of their own
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    request.addfinalizer(lambda: spark.conf.unset(coalesce))
     assert joined(spark, docs, shingle=4, percent=85, **params) == plain(docs, 4, 85)
 
 
