@@ -1104,6 +1104,21 @@ def e23(t: Tables) -> DataFrame:
     return out
 
 
+@query(
+    "e23_observed_counts",
+    "SELECT 'events' AS stream, count(*) FILTER (event_id % 10 <> 0) AS landed, "
+    "count(DISTINCT ts::DATE) FILTER (event_id % 10 <> 0) AS partitions, count(*) FILTER (event_id % 10 = 0) AS aside FROM events",
+)
+def e23_observed(t: Tables) -> DataFrame:
+    """Counts that the landing writes made themselves; every tenth event has no day."""
+    land = landing.Landing(stage_path(t.spark, "observed"), {"events": EVENTS})
+    events = event_rows(t).withColumn("ts", F.when(F.col("event_id") % 10 == 0, "soon").otherwise(F.col("ts")))
+    for k in range(2):
+        land.land(events.filter(F.col("event_id") % 2 == k), "events", k)
+        land.land(events.filter(F.col("event_id") % 2 == k), "events", k)  # again, as after a lost driver
+    return land.counts(t.spark)
+
+
 @query(
     "e24_date_quantile",
     f"SELECT store_id, {r("quantile_cont((date - DATE '1970-01-01')::DOUBLE, 0.8)", 4)} AS day "
@@ -2169,6 +2184,40 @@ def s3(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "s2_compacted_zone",
+    "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, event_type, value, ts::DATE AS date FROM events",
+)
+def s2_compacted(t: Tables) -> DataFrame:
+    """Three small batches, rewritten as one folder; then everything comes again and finds itself landed."""
+    land = landing.Landing(stage_path(t.spark, "compacted"), {"events": EVENTS}, parts=2)
+    events = event_rows(t)
+    for k in range(3):
+        land.land(events.filter(F.col("event_id") % 3 == k), "events", k)
+    land.compact(t.spark, "events", 1 << 40)
+    land.expire(t.spark, "events")
+    land.land(events, "events", 3)
+    return land.read(t.spark, "events")
+
+
+@query(
+    "s3_bounded_lateness",
+    """SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, event_type, value, CASE WHEN event_id % 2 = 0
+  AND date_trunc('second', ts) < (SELECT date_trunc('second', max(ts)) FROM events WHERE event_id % 2 = 1) - INTERVAL 7 DAY
+  THEN 'late' ELSE 'landed' END AS state FROM events""",
+)
+def s3_bounded(t: Tables) -> DataFrame:
+    """Odd ids first, then even ones: those more than 7 days behind are kept aside, none is lost."""
+    land = landing.Landing(stage_path(t.spark, "bounded"), {"events": EVENTS}, lateness="7 days")
+    events = event_rows(t)
+    land.land(events.filter("event_id % 2 = 1"), "events", 0)
+    land.land(events.filter("event_id % 2 = 0"), "events", 1)
+    aside = land.quarantined(t.spark, "events")
+    value = F.from_json("value", EVENTS)
+    late = aside.select(value.alias("e"), F.col("reason").alias("state")).select("e.*", "state")
+    return land.read(t.spark, "events").drop("date").withColumn("state", F.lit("landed")).unionByName(late)
+
+
 @query(
     "s4_repeated_batch",
     "SELECT event_type, count(*) AS rows, sum(event_id)::BIGINT AS ids FROM events GROUP BY 1",
