@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aislecast.functions.dates import with_event_date
 from aislecast.operators.anomalies import detect_anomalies
 from aislecast.operators.curate import curate, stage_curated
 from aislecast.operators.evaluate import Backtest, backtest, error_metrics
@@ -21,7 +22,7 @@ from aislecast.operators.forecast import (
 from aislecast.operators.normalize import dataset_profile, normalize_export, require_history
 from aislecast.operators.quality import quality_gate
 from aislecast.session import stage
-from aislecast.sources.writers import land_sales, sync_warehouse
+from aislecast.sources.writers import counted_by_date, land_sales, sync_warehouse
 
 
 @dataclass(frozen=True)
@@ -109,14 +110,26 @@ def refresh(
     spark: SparkSession, sales: DataFrame, readings: DataFrame | None, zone: str,
     database: str | None = None, sentiment: DataFrame | None = None, transform: bool = True,
 ) -> DataFrame:
-    """Land the raw rows, rebuild curated and sync it: one row of counts."""
-    land_sales(sales, f"{zone}/raw/sales_events")
+    """Land the raw rows, rebuild curated and sync it: one row of counts.
+
+    The sources are evaluated once, by the writes, which also count them;
+    curated is made from what has landed.
+    """
+    raw = {"sales_events": sales} | ({} if readings is None else {"iot_events": readings})
+    landed, read = {}, {}
+    for name, df in raw.items():
+        path = f"{zone}/raw/{name}"
+        if name == "sales_events":
+            landed[name] = land_sales(df, path, "parquet")
+        else:
+            landed[name] = counted_by_date(with_event_date(df), path)
+        read[name] = spark.read.schema(df.schema).parquet(path)
     counts = {
-        "sales_records_ingested": sales.count(),
-        "iot_records_ingested": 0 if readings is None else readings.count(),
+        "sales_records_ingested": landed["sales_events"],
+        "iot_records_ingested": landed.get("iot_events", 0),
     }
     if transform:
-        curated = stage_curated(curate(sales, readings, sentiment))
+        curated = stage_curated(curate(read["sales_events"], read.get("iot_events"), sentiment))
         synced = sync_warehouse(spark, {"curated_sales_daily": curated}, database)
         counts["curated_records"] = synced["curated_sales_daily"]
     return spark.range(1).select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from aislecast.contracts import REVIEWS, SALES, require_columns
@@ -33,11 +33,26 @@ def write_by_date(df: DataFrame, path: str, fmt: str = "parquet", **options) ->
     )
 
 
-def land_sales(sales: DataFrame, path: str, fmt: str = "csv") -> None:
-    """Raw sales by event day."""
+def counted_by_date(df: DataFrame, path: str, fmt: str = "parquet", **options) -> int:
+    """As :func:`write_by_date`, and the number of rows, counted by the tasks that write them."""
+    seen = Observation()
+    (
+        gather_days(df)
+        .observe(seen, F.count(F.lit(1)).alias("rows"))
+        .write.format(fmt)
+        .options(partitionOverwriteMode="dynamic", **options)
+        .partitionBy("date")
+        .mode("overwrite")
+        .save(path)
+    )
+    return seen.get["rows"]
+
+
+def land_sales(sales: DataFrame, path: str, fmt: str = "csv") -> int:
+    """Raw sales by event day; returns the rows written. Rows without a day land in a folder of their own."""
     require_columns(sales, SALES, "sales")
     options = {"header": True} if fmt == "csv" else {}
-    write_by_date(with_event_date(sales), path, fmt, **options)
+    return counted_by_date(with_event_date(sales), path, fmt, **options)
 
 
 def land_reviews(reviews: DataFrame, path: str) -> None:
@@ -100,11 +115,12 @@ def sync_warehouse(
         if df is None:
             continue
         full = f"{database}.{name}" if database else name
-        df.write.mode("overwrite").format("parquet").saveAsTable(full)
+        seen = Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format("parquet").saveAsTable(full)
         for column, comment in COLUMN_COMMENTS.items():
             if column in df.columns:
                 spark.sql(f"ALTER TABLE {full} ALTER COLUMN {column} COMMENT '{comment}'")
-        counts[name] = spark.table(full).count()
+        counts[name] = seen.get["rows"]
     return counts
 
 

@@ -162,8 +162,10 @@ class Landing:
             touched = rows.groupBy("date").agg(F.collect_set("part").alias("parts")).collect()
             landed = self._rows(spark, stream, folders, {r["date"].isoformat() for r in touched})
             parts = {p for r in touched for p in r["parts"]}
-            if landed is not None and len(parts) < self.parts:
-                landed = landed.filter(F.col("part").isin(sorted(parts)))
+            if landed is not None:
+                days = [r["date"] for r in touched]
+                landed = landed.filter(F.col("date").between(min(days), max(days)))
+                landed = landed.filter(F.col("part").isin(sorted(parts))) if len(parts) < self.parts else landed
         fresh = not_landed(rows, landed, [*keys, "date", "part"])
         # Behind the exchange, in the tasks that write: what runs again after a
         # lost executor is not counted again.

@@ -27,22 +27,24 @@ def rows(df) -> list[tuple]:
 
 def test_a_batch_reads_only_the_parts_of_its_keys(spark, tmp_path):
     land = zone(tmp_path, parts=8)
-    land.land(events(spark, 0, 200).unionByName(events(spark, 200, 300, 2)), "e", 0)
+    days = [events(spark, 100 * d, 100 * d + 100, d) for d in range(1, 10)]
+    land.land(days[0].unionByName(days[1]).unionByName(days[2]).unionByName(days[3]).unionByName(days[4]), "e", 0)
     seen = {}
     plain = landing.not_landed
 
     def spy(new, landed, keys):
-        seen["files"] = {f.split("/date=")[1].rsplit("/", 1)[0] for f in landed.select(F.input_file_name()).distinct().toPandas().iloc[:, 0]}
-        seen["keys"] = {f"{r['date']}/part={r['part']}" for r in new.select("date", "part").distinct().collect()}
+        seen["files"] = {tuple(f.split("/")[-3:-1]) for f in landed.select(F.input_file_name()).distinct().toPandas().iloc[:, 0]}
+        seen["keys"] = {(f"date={r['date']}", f"part={r['part']}") for r in new.select("date", "part").distinct().collect()}
         return plain(new, landed, keys)
 
     landing.not_landed = spy
     try:
-        counts = land.land(events(spark, 40, 42).unionByName(events(spark, 900, 901, 3)), "e", 1)
+        counts = land.land(events(spark, 240, 242, 2).unionByName(events(spark, 900, 901, 9)), "e", 1)
     finally:
         landing.not_landed = plain
     assert counts == {"landed": 1, "aside": 0}
-    assert seen["files"] <= seen["keys"] and 1 <= len(seen["files"]) <= 2
+    assert {f[0] for f in seen["files"]} == {"date=2025-03-02"}
+    assert {f[1] for f in seen["files"]} <= {k[1] for k in seen["keys"]} and len(seen["files"]) <= 3
 
 
 def test_compaction_changes_no_row_and_rewrites_small_folders_only(spark, tmp_path):
