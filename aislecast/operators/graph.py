@@ -97,13 +97,18 @@ def sold_at(curated: DataFrame) -> DataFrame:
     )
 
 
-def substitutes(product_nodes: DataFrame, tolerance: float = PRICE_TOLERANCE) -> DataFrame:
+def substitutes(
+    product_nodes: DataFrame, tolerance: float = PRICE_TOLERANCE, crowd: int = 1000
+) -> DataFrame:
     """Pairs of one category whose prices lie within the tolerance.
 
     The tolerance is relative to the product with the smaller id. Prices are
     cut into bands one upper tolerance wide on a log scale, so partners can
     only lie in the same band or in a few next to it, and the join compares
-    those instead of every pair of the category.
+    those instead of every pair of the category. A band with many products is
+    dealt into parts of about ``crowd``: each product has one part, and goes
+    looking in all parts of the bands in its reach. So a category that holds all
+    products, at one price even, is many tasks.
     """
     width = math.log1p(tolerance)
     lowest = math.floor(math.log1p(-tolerance) / width) if tolerance < 1 else None
@@ -114,16 +119,20 @@ def substitutes(product_nodes: DataFrame, tolerance: float = PRICE_TOLERANCE) ->
     nodes = product_nodes.filter(price >= 0).select(
         "sku", "category", price, F.coalesce(band, F.lit(-(10**6))).alias("_band")
     )
+    parts = nodes.groupBy("category", "_band").agg(F.ceil(F.count(F.lit(1)) / crowd).cast("int").alias("_parts"))
+    cell = ["category", "_band"]
     first = nodes.select(
         F.col("sku").alias("src"),
         "category",
         F.col("avg_price").alias("_p1"),
         F.explode(F.sequence(F.col("_band") + lowest - 1, F.col("_band") + 2)).alias("_band"),
-    )
-    second = nodes.select(F.col("sku").alias("dst"), "category", price.alias("_p2"), "_band")
+    ).join(parts, cell)
+    first = first.withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
+    own = F.pmod(F.xxhash64("sku"), F.col("_parts")).cast("int").alias("_part")
+    second = nodes.join(parts, cell).select(F.col("sku").alias("dst"), *cell, price.alias("_p2"), own)
     gap = F.abs(F.col("_p1") - F.col("_p2"))
     return (
-        first.join(second, ["category", "_band"])
+        first.join(second, [*cell, "_part"])
         .filter((F.col("src") < F.col("dst")) & (gap <= F.lit(tolerance) * F.col("_p1")))
         .select(
             "src", "dst", "category",
@@ -229,6 +238,39 @@ def with_previous_shelf(curated: DataFrame) -> DataFrame:
 _BITS = 62
 
 
+def _day_bit() -> tuple[Column, Column]:
+    """The word of a day, and its bit there."""
+    day = F.unix_date("date")
+    bit = F.pmod(day, F.lit(_BITS)).cast("int")
+    return F.floor(day / _BITS), F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+
+
+def _stocked_words(lagged: DataFrame, minimum: float) -> DataFrame:
+    """store_id, sku, _word, _days: the days a product had stock the day before."""
+    word, bit = _day_bit()
+    return (
+        lagged.filter(F.col("prev_day_shelf") > minimum)
+        .groupBy(*SERIES, word.alias("_word"))
+        .agg(F.bit_or(bit).alias("_days"))
+    )
+
+
+def _with_reached_days(lagged: DataFrame, reached: DataFrame) -> DataFrame:
+    """The flag of every day from the words (store_id, sku, _word, _days) that hold it."""
+    word, bit = _day_bit()
+    peers = reached.groupBy(*SERIES).agg(
+        F.map_from_entries(F.collect_list(F.struct("_word", "_days"))).alias("_peers")
+    )
+    days = F.coalesce(F.element_at("_peers", word), F.lit(0).cast("long"))
+    stocked = days.bitwiseAND(bit) != 0
+    return (
+        lagged.drop("prev_day_shelf", "graph_substitute_available")
+        .join(peers, SERIES, "left")
+        .withColumn("graph_substitute_available", F.coalesce(stocked.cast("double"), F.lit(0.0)))
+        .drop("_peers")
+    )
+
+
 def with_substitute_available(
     curated: DataFrame, neighbour_edges: DataFrame, minimum: float = 2.0
 ) -> DataFrame:
@@ -239,29 +281,14 @@ def with_substitute_available(
     integers, and OR-ing them combines on the map side. The dense rows
     themselves are only shuffled by series, as for the lag.
     """
-    day = F.unix_date("date")
-    word, bit = F.floor(day / _BITS), F.pmod(day, F.lit(_BITS)).cast("int")
     lagged = with_previous_shelf(curated)
-    words = (
-        lagged.filter(F.col("prev_day_shelf") > minimum)
-        .groupBy(*SERIES, word.alias("_word"))
-        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("_days"))
-    )
-    reachable = (
-        words.join(neighbour_edges, F.col("sku") == F.col("dst"))
+    reached = (
+        _stocked_words(lagged, minimum)
+        .join(neighbour_edges, F.col("sku") == F.col("dst"))
         .groupBy("store_id", F.col("src").alias("sku"), "_word")
         .agg(F.bit_or("_days").alias("_days"))
-        .groupBy(*SERIES)
-        .agg(F.map_from_entries(F.collect_list(F.struct("_word", "_days"))).alias("_peers"))
-    )
-    days = F.coalesce(F.element_at("_peers", word), F.lit(0).cast("long"))
-    stocked = days.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), bit)) != 0
-    return (
-        lagged.drop("prev_day_shelf", "graph_substitute_available")
-        .join(reachable, SERIES, "left")
-        .withColumn("graph_substitute_available", F.coalesce(stocked.cast("double"), F.lit(0.0)))
-        .drop("_peers")
     )
+    return _with_reached_days(lagged, reached)
 
 
 def with_substitute_available_by_group(
@@ -269,22 +296,26 @@ def with_substitute_available_by_group(
 ) -> DataFrame:
     """The same when every product of a group neighbours every other.
 
-    A day counts if more of the group was in stock than the product itself.
+    Another product differs from this one in some bit of their numbers. So a
+    group keeps, for every bit, the days of its products that have it and of
+    those that have not; a product takes the days of the other side of each
+    bit, and its own days are in none of them. Two sets a bit combine on the
+    map side, and no dense row leaves its series.
     """
-    stocked = (F.col("prev_day_shelf") > minimum).cast("int")
-    lagged = with_previous_shelf(curated).join(groups, "sku", "left").withColumn("_stocked", stocked)
-    totals = (
-        lagged.filter(F.col("category").isNotNull())
-        .groupBy("store_id", "date", "category")
-        .agg(F.sum("_stocked").alias("_group"))
-    )
-    others = F.coalesce(F.col("_group") - F.col("_stocked"), F.lit(0))
-    return (
-        lagged.drop("prev_day_shelf", "graph_substitute_available")
-        .join(totals, ["store_id", "date", "category"], "left")
-        .withColumn("graph_substitute_available", (others > 0).cast("double"))
-        .drop("category", "_stocked", "_group")
-    )
+    lagged = with_previous_shelf(curated)
+    numbers = stage(dense_index(groups.select("sku").distinct(), "sku", "_number").join(groups, "sku"), "group-numbers")
+    most = numbers.agg(F.max("_number")).first()[0] or 0
+    bits = range(max(1, int(most).bit_length()))
+    has = lambda b: F.col("_number").bitwiseAND(F.lit(1 << b)) != 0
+    sides = [F.bit_or(F.when(has(b) == side, F.col("_days"))).alias(f"_side{int(side)}_{b}") for b in bits for side in (False, True)]
+    held = _stocked_words(lagged, minimum).join(numbers, "sku").groupBy("store_id", "category", "_word").agg(*sides)
+    series = curated.select(*SERIES).distinct().join(numbers, "sku")
+    days = F.lit(0).cast("long")
+    for b in bits:
+        other = F.when(has(b), F.col(f"_side0_{b}")).otherwise(F.col(f"_side1_{b}"))
+        days = days.bitwiseOR(F.coalesce(other, F.lit(0).cast("long")))
+    reached = series.join(held, ["store_id", "category"]).select(*SERIES, "_word", days.alias("_days")).filter("_days <> 0")
+    return _with_reached_days(lagged, reached)
 
 
 def point_in_time_features(

@@ -698,15 +698,14 @@ def j6(t: Tables) -> DataFrame:
     "j6_part_substitutes",
     """SELECT p_brand AS brand, count(*) AS pairs FROM (
   SELECT a.p_brand FROM part a JOIN part b ON a.p_type = b.p_type AND a.p_partkey < b.p_partkey
-    AND abs(a.p_retailprice - b.p_retailprice) <= 0.35::DOUBLE * a.p_retailprice
-    AND a.p_size = b.p_size) GROUP BY p_brand""",
+    AND abs(a.p_retailprice - b.p_retailprice) <= 0.35::DOUBLE * a.p_retailprice) GROUP BY p_brand""",
 )
 def j6b(t: Tables) -> DataFrame:
-    """The pair search over the whole part table, by type and size."""
+    """The pair search over the whole part table, by type."""
     parts = t.table("part")
     nodes = parts.select(
         F.col("p_partkey").alias("sku"),
-        F.concat_ws("/", "p_type", "p_size").alias("category"),
+        F.col("p_type").alias("category"),
         F.col("p_retailprice").alias("avg_price"),
     )
     pairs = graph.substitutes(nodes).groupBy("src").agg(F.count(F.lit(1)).alias("n"))

@@ -117,6 +117,34 @@ def test_price_bands_find_every_pair(spark, tolerance):
     got = graph.substitutes(spark.createDataFrame(nodes, "sku string, category string, avg_price double"), tolerance)
     rows = [(r["src"], r["dst"]) for r in got.collect()]
     assert len(rows) == len(set(rows)) and set(rows) == want
+    dealt = graph.substitutes(spark.createDataFrame(nodes, "sku string, category string, avg_price double"), tolerance, crowd=3)
+    assert sorted((r["src"], r["dst"]) for r in dealt.collect()) == sorted(rows)
+
+
+def test_one_category_at_one_price_is_many_tasks(spark):
+    nodes = spark.range(400).select(F.format_string("SKU_%03d", "id").alias("sku"), F.lit("A").alias("category"), F.lit(5.0).alias("avg_price"))
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    joined = graph.substitutes(nodes, crowd=20).withColumn("task", F.spark_partition_id())
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    try:
+        spark.conf.set(coalesce, "false")
+        spark.conf.set(limit, "-1")
+        tasks = {r["task"]: r["count"] for r in joined.groupBy("task").count().collect()}
+    finally:
+        spark.conf.unset(coalesce)
+        spark.conf.set(limit, before)
+    assert sum(tasks.values()) == 400 * 399 // 2 and len(tasks) == 4
+    assert max(tasks.values()) < 0.6 * sum(tasks.values())
+
+
+def test_group_form_moves_no_dense_row(spark):
+    curated = frames.to_spark(spark, frames.random_curated(3, days=40, skus=6), frames.CURATED_DDL)
+    groups = spark.createDataFrame([(f"SKU_{i:03d}", "A") for i in range(1, 7)], "sku string, category string")
+    out = graph.with_substitute_available_by_group(curated, groups)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.split("\n") if "hashpartitioning" in line]
+    assert exchanges and not any("date" in line for line in exchanges)
 
 
 def test_nodes(spark):
