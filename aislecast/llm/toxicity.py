@@ -1,233 +1,272 @@
-"""Toxicity by nearest labelled examples.
-
-Documents and a bounded sample of labelled rows are TF-IDF vectors over all
-terms of the sample, with document frequencies of the whole corpus. Terms are
-runs of letters and their prefixes. A term counts the more, the further it leans
-to label 1 (by the root of its chi-square); none is left out. A word that no
-example has is no coordinate: it cannot bring a document nearer to any of them.
-Cosines are exact: of all examples that share a term, added up term by term,
-terms of many examples by a dense product. Neighbours vote by closeness, and
-votes become probabilities by an isotonic fit on the examples, each without
-itself.
+"""Toxicity by nearest labelled examples, with exact cosines from a block-max inverted index.
+
+Documents and a bounded sample of labelled rows are TF-IDF vectors. Terms are
+runs of letters and their prefixes, told apart by 64-bit hashes; document
+frequencies are those of the whole corpus, and norms count all terms of a text,
+also those of no example. The weight of a term grows with how far it leans to
+label 1 (by the root of its chi-square among the examples), if that makes the
+examples tell each other better, each left out in turn; else it is plain TF-IDF.
+
+The index has the examples in blocks of similar ones. Terms of many examples are
+rows of a matrix; every other term has postings, and its largest weight in each
+block. A block's bound is its largest product of the first kind and the largest
+weights of the second. A document visits blocks by descending bound and stops
+where no bound reaches the nearest found so far; what it returns is exact.
+Neighbours vote by closeness, and votes become probabilities by an isotonic fit
+on the examples, each without itself.
 """
 
 from __future__ import annotations
 
-import pickle
-import re
-import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aislecast.llm import text as words
 from aislecast.llm.blocks import bounded_batches
 from aislecast.llm.common import crc_remainder
+from aislecast.llm.multi_index import codebook, nearest_code
 from aislecast.session import stage
 
-LETTERS = re.compile(r"[^\W\d_]+")
+# letters in lower case (all of them outside ASCII), everything else a gap
+_LETTER = np.full(256, 0x20, dtype=np.uint8)
+_LETTER[97:123] = _LETTER[65:91] = np.arange(97, 123)
+_LETTER[128:] = np.arange(128, 256)
+SLACK = 1e-5  # of sums in single precision
 
 
 @dataclass(frozen=True)
 class Neighbours:
     modulus: int = 4
     held_out: int = 2  # remainder of the rows whose labels are not used
-    positives: int = 4_000  # labelled rows learned from, about so many of each class
-    negatives: int = 8_000
-    prefixes: tuple[int, ...] = (4, 6)  # lengths; a term's prefix is marked by ^
-    stress: float = 1.0  # of the lean to label 1 in a term's weight; 0 is plain TF-IDF
+    positives: int = 1_500  # labelled rows learned from, about so many of each class
+    negatives: int = 2_500
+    index_bytes: int = 64 << 20  # of their texts, about
+    prefixes: tuple[int, ...] = (4, 6)  # lengths in bytes
+    stress: tuple[float, ...] = (0.0, 1.0)  # of the lean to label 1, to choose from; 0 is plain TF-IDF
     nearest: int = 15
-    block: int = 64  # documents scored together
-    dense: float = 0.1  # terms of a larger share of the examples are multiplied as a dense matrix
+    block: int = 32  # examples
+    first: int = 4  # blocks visited before bounds are compared
+    dense: float = 0.1  # terms of a larger share of the examples are a matrix
     weight: float = 1.0  # of the base rate among the votes
     threshold: float = 0.3
 
 
-def count_known(value: str | None, prefixes: tuple[int, ...], places: dict[str, int]) -> tuple[list[int], list[int]]:
-    """Places and counts of the vocabulary terms of a text."""
-    found: dict[int, int] = {}
-    for word, n in Counter(LETTERS.findall((value or "").lower())).items():
-        place = places.get(word)
-        if place is not None:
-            found[place] = found.get(place, 0) + n
+def terms(column: pa.Array, prefixes: tuple[int, ...]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For chunks of rows: bounds of each row's terms, the terms ascending, and how often they occur."""
+    for i, j, data, at in words.chunks(column):
+        data = _LETTER[data]
+        starts, ends, bounds = words.words(data, at)
+        sums = words.prefix_sums(data)
+        row = np.repeat(np.arange(j - i), np.diff(bounds))
+        found, rows = [words.span_hashes(sums, starts, ends)], [row]
         for k in prefixes:
-            if len(word) > k:
-                place = places.get("^" + word[:k])
-                if place is not None:
-                    found[place] = found.get(place, 0) + n
-    own = sorted(found)
-    return own, [found[k] for k in own]
-
-
-def count_terms(value: str | None, prefixes: tuple[int, ...]) -> dict[str, int]:
-    """How often each term occurs."""
-    out: dict[str, int] = {}
-    for word, n in Counter(LETTERS.findall((value or "").lower())).items():
-        out[word] = out.get(word, 0) + n
-        for k in prefixes:
-            if len(word) > k:
-                head = "^" + word[:k]
-                out[head] = out.get(head, 0) + n
-    return out
+            longer = ends - starts > k
+            found.append(words.mix(words.span_hashes(sums, starts[longer], starts[longer] + k) + np.uint64(k)))
+            rows.append(row[longer])
+        term, row = np.concatenate(found), np.concatenate(rows)
+        order = np.lexsort((term, row))
+        term, row = term[order], row[order]
+        new = np.flatnonzero((np.diff(row, prepend=-1) != 0) | np.append(True, term[1:] != term[:-1])[: len(term)])
+        yield np.searchsorted(row[new], np.arange(j - i + 1)), term[new], np.diff(new, append=len(term))
+
 
+def _draw(rate: float) -> Column:
+    return F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1 << 20)) / float(1 << 20) < rate
 
-def _sampled(labels: DataFrame, p: Neighbours, label_col: str) -> tuple[DataFrame, dict[int, float]]:
-    """About so many rows of each class by a hash of the id, and what part of the class that is."""
+
+def _sampled(rows: DataFrame, labels: DataFrame, p: Neighbours, label_col: str) -> tuple[DataFrame, dict[int, float]]:
+    """About so many labelled rows of each class by a hash of the id, and what part of the class that is."""
+    learnt = crc_remainder("doc_id", p.modulus) != p.held_out
     known = (
         labels.filter(F.col(label_col).isin(0, 1) & F.col("doc_id").isNotNull())
-        .filter(crc_remainder("doc_id", p.modulus) != p.held_out)
+        .filter(learnt)
         .groupBy("doc_id")
         .agg(F.max(label_col).cast("int").alias("label"))
     )
     counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     rates = {c: min(1.0, n / max(1, counts.get(c, 0))) for c, n in ((0, p.negatives), (1, p.positives))}
-    draw = F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1 << 20)) / float(1 << 20)
-    rate = F.when(F.col("label") == 1, rates[1]).otherwise(rates[0])
-    return known.filter(draw < rate), rates
-
 
-def learn_terms(sample: DataFrame, p: Neighbours) -> tuple[list[str], np.ndarray]:
-    """All terms of the sample (text, label), and what each one's lean to label 1 adds to its weight."""
+    def drawn(rates: dict[int, float], texts: DataFrame) -> DataFrame:
+        own = known.filter(F.when(F.col("label") == 1, _draw(rates[1])).otherwise(_draw(rates[0])))
+        # only texts that can be drawn are moved
+        return texts.filter(learnt & _draw(max(rates.values()))).join(own, "doc_id")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            total: dict[str, list[int]] = {}
-            for value, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for term in count_terms(value, p.prefixes):
-                    total.setdefault(term, [0, 0])[label] += 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(total), pa.string()), *(pa.array([n[k] for n in total.values()], pa.int64()) for k in (0, 1))],
-                ["term", "clean", "toxic"],
-            )
+    sample = stage(drawn(rates, rows), "toxic-sample")
+    size = sample.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if size > p.index_bytes:
+        rates = {c: r * p.index_bytes / size for c, r in rates.items()}
+        sample = stage(drawn(rates, sample.drop("label")), "toxic-sample")
+    return sample, rates
 
-    sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
-    toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
-    counted = sample.select("text", "label").mapInArrow(run, "term string, clean long, toxic long")
-    found = counted.groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toArrow().sort_by("term")
-    a, b = (found.column(c).to_numpy().astype(np.float64) for c in ("toxic", "clean"))
-    lean = np.zeros(len(a))
-    if toxic and clean:
-        c, d = toxic - a, clean - b
-        chi = (toxic + clean) * (a * d - b * c) ** 2 / np.maximum((a + b) * (c + d) * toxic * clean, 1)
-        lean = np.where(a / toxic > b / clean, np.sqrt(chi), 0.0)
-    return found.column("term").to_pylist(), lean
 
+def _example_terms(sample: DataFrame, p: Neighbours) -> pa.Table:
+    """doc_id, label, term and n of the examples, by doc_id; bounded as they are."""
 
-def _packed(value: object) -> bytes:
-    return zlib.compress(pickle.dumps(value), 1)
-
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = 0
+            for bounds, term, n in terms(batch.column(2), p.prefixes):
+                own = batch.slice(done, len(bounds) - 1)
+                done += len(own)
+                lists = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(x)) for x in (term.view(np.int64), n.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), *lists], ["doc_id", "label", "term", "n"])
 
-def _places(packed: bytes) -> dict[str, int]:
-    """The places of a packed vocabulary."""
-    return {t: k for k, t in enumerate(pickle.loads(zlib.decompress(packed)))}
+    found = sample.select("doc_id", "label", "text").mapInArrow(run, "doc_id long, label int, term array<long>, n array<int>")
+    return found.toArrow().sort_by("doc_id")
 
 
-def _vectors(rows: DataFrame, vocabulary: list[str], p: Neighbours, more: list[str]) -> DataFrame:
-    """The rows' counts of vocabulary terms: place and n, beside other columns."""
-    packed = _packed(vocabulary)
+def _vectors(rows: DataFrame, vocabulary: np.ndarray, p: Neighbours) -> DataFrame:
+    """doc_id, places and counts of the vocabulary's terms, and the squares of the other terms' frequencies."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places = _places(packed)
         for batch in batches:
-            found, counts = [], []
-            for value in batch.column(0).to_pylist():
-                own, n = count_known(value, p.prefixes, places)
-                found.append(own)
-                counts.append(n)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], pa.array(found, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))],
-                [*more, "place", "n"],
-            )
-
-    kinds = dict(rows.dtypes)
-    schema = ", ".join([*(f"{c} {kinds[c]}" for c in more), "place array<int>", "n array<int>"])
-    return rows.select("text", *more).mapInArrow(run, schema)
+            done = 0
+            for bounds, term, n in terms(batch.column(1), p.prefixes):
+                own = batch.column(0).slice(done, len(bounds) - 1)
+                done += len(own)
+                place = np.minimum(np.searchsorted(vocabulary, term), max(0, len(vocabulary) - 1))
+                known = vocabulary[place] == term if len(vocabulary) else np.zeros(len(term), bool)
+                squares = np.concatenate([[0], np.cumsum(np.where(known, 0, (1 + np.log(n)) ** 2))])
+                held = np.concatenate([[0], np.cumsum(known)])[bounds]
+                lists = [pa.ListArray.from_arrays(pa.array(held, pa.int32()), pa.array(x[known], pa.int32())) for x in (place, n)]
+                yield pa.RecordBatch.from_arrays([own, *lists, pa.array(squares[bounds[1:]] - squares[bounds[:-1]])], ["doc_id", "place", "n", "other"])
+
+    return rows.select("doc_id", "text").mapInArrow(run, "doc_id long, place array<int>, n array<int>, other double")
+
+
+def lean(places: list[np.ndarray], labels: np.ndarray, size: int) -> np.ndarray:
+    """The root of chi-square of every term that is more frequent with label 1, else 0."""
+    toxic, clean = labels.sum(), (1 - labels).sum()
+    if not toxic or not clean:
+        return np.zeros(size)
+    every = np.concatenate(places)
+    owner = np.repeat(labels, [len(x) for x in places])
+    a, b = (np.bincount(every, w, size) for w in (owner, 1 - owner))
+    c, d = toxic - a, clean - b
+    chi = (toxic + clean) * (a * d - b * c) ** 2 / np.maximum((a + b) * (c + d) * toxic * clean, 1)
+    return np.where(a / toxic > b / clean, np.sqrt(chi), 0.0)
+
+
+def similar_order(vectors: list[tuple[np.ndarray, np.ndarray]], block: int) -> np.ndarray:
+    """The examples with similar ones next to each other: by clusters of their vectors folded to 64 places."""
+    folded = np.zeros((len(vectors), 64))
+    for e, (place, w) in enumerate(vectors):
+        h = words.mix(place.astype(np.uint64) + np.uint64(1))
+        np.add.at(folded[e], (h % np.uint64(64)).astype(np.int64), w * np.where(h >> np.uint64(63), 1.0, -1.0))
+    if len(vectors) < 2 * block:
+        return np.arange(len(vectors))
+    centres = codebook(folded, max(2, len(vectors) // (2 * block)), 6)
+    # clusters next to similar clusters, as blocks reach over their borders
+    rank = np.argsort(np.argsort(centres @ centres.mean(0), kind="stable"), kind="stable")
+    return np.lexsort((np.arange(len(vectors)), rank[nearest_code(folded, centres)]))
 
 
 class Index:
-    """Examples by term; terms of many examples as a dense matrix."""
-
-    def __init__(self, places: list, counts: list, labels: np.ndarray, weights: np.ndarray, ids: np.ndarray, idf: np.ndarray, p: Neighbours):
-        self.p, self.idf, self.labels, self.weights, self.ids = p, idf, labels, weights, ids
-        self.own = places, counts
-        term, example, weight = [], [], []
-        for e, (place, n) in enumerate(zip(places, counts, strict=True)):
-            place = np.asarray(place, np.int64)
-            term.append(place.astype(np.int32))
-            example.append(np.full(len(place), e, np.int32))
-            weight.append(self.vector(place, np.asarray(n)))
-        term, example = (np.concatenate(x or [np.empty(0, np.int32)]) for x in (term, example))
-        weight = np.concatenate(weight or [np.empty(0)])
-        # postings by term, then example; those of term t are cuts[t] to cuts[t + 1]
-        order = np.argsort(term, kind="stable")
-        self.examples, self.posted = example[order], weight[order]
-        self.held = np.bincount(term, minlength=len(idf))
-        self.cuts = np.concatenate([[0], np.cumsum(self.held)])
-        common = np.flatnonzero(self.held > p.dense * len(labels))
+    """Examples in blocks; for every term of few examples its postings, and its largest weight in each block."""
+
+    def __init__(self, places: list, counts: list, labels: np.ndarray, weights: np.ndarray, ids: np.ndarray, idf: np.ndarray, p: Neighbours, other_idf: float = 1.0):
+        self.p, self.idf, self.other_idf = p, idf, other_idf
+        vectors = [(np.asarray(x, np.int64), self.vector(np.asarray(x, np.int64), np.asarray(n))) for x, n in zip(places, counts, strict=True)]
+        order = similar_order(vectors, p.block)
+        self.slot = np.argsort(order, kind="stable")  # of every example as given
+        vectors = [vectors[e] for e in order]
+        self.labels, self.weights, self.ids = labels[order], weights[order], ids[order]
+        n = len(vectors)
+        self.blocks = max(1, -(-n // p.block))
+        term = np.concatenate([x for x, _ in vectors] or [np.empty(0, np.int64)])
+        weight = np.concatenate([w for _, w in vectors] or [np.empty(0)])
+        example = np.repeat(np.arange(n), [len(x) for x, _ in vectors]) if n else np.empty(0, np.int64)
+        held = np.bincount(term, minlength=len(idf))
+        common = np.flatnonzero(held > p.dense * n)
         self.row = np.full(len(idf), -1, np.int32)
         self.row[common] = np.arange(len(common))
-        self.matrix = np.zeros((len(common), len(labels)))
-        for r, t in enumerate(common):
-            own = slice(self.cuts[t], self.cuts[t + 1])
-            self.matrix[r, self.examples[own]] = self.posted[own]
-        rate = float((weights * labels).sum() / max(weights.sum(), 1e-12)) if len(labels) else 0.0
-        self.rate = rate
-        self.steps = (np.array([0.0]), np.array([rate]))
-
-    def packed(self) -> bytes:
-        """What the index can be built from again, small enough to be sent to every worker."""
-        bounds = np.cumsum([0, *(len(x) for x in self.own[0])])
-        place, n = (np.concatenate([np.asarray(y, np.int32) for y in x] or [np.empty(0, np.int32)]) for x in self.own)
-        step = np.diff(place, prepend=np.int32(0)).astype("<i4")
-        planes = np.ascontiguousarray(step.view(np.uint8).reshape(-1, 4).T).tobytes()
-        return _packed((bounds, planes, n, self.labels, self.weights, self.ids, self.idf, self.p, self.steps))
-
-    def vector(self, place: np.ndarray, n: np.ndarray) -> np.ndarray:
+        often = self.row[term] >= 0
+        self.matrix = np.zeros((n, len(common)))
+        self.matrix[example[often], self.row[term[often]]] = weight[often]
+        self.single = np.zeros((len(common), self.blocks * p.block), np.float32)
+        self.single[:, :n] = self.matrix.T
+        # postings by term, then example; runs of one term in one block have a largest weight
+        term, example, weight = term[~often], example[~often], weight[~often]
+        by_term = np.argsort(term, kind="stable")
+        term, self.example, self.posted = term[by_term], example[by_term].astype(np.int32), weight[by_term]
+        key = term * self.blocks + self.example // p.block
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        self.run_block = (key[first] % self.blocks).astype(np.int32)
+        self.run_max = np.maximum.reduceat(self.posted, first) if len(first) else np.empty(0)
+        self.run_start = np.append(first, len(key))
+        self.cuts = np.searchsorted(key[first], np.arange(len(idf) + 1) * self.blocks)
+        self.visited = 0  # blocks, over all searches
+        self.rate = float((weights * labels).sum() / max(weights.sum(), 1e-12)) if n else 0.0
+        self.steps = (np.array([0.0]), np.array([self.rate]))
+
+    def vector(self, place: np.ndarray, n: np.ndarray, other: float = 0.0) -> np.ndarray:
+        """Weights of the known terms; other is the sum of squares of the frequencies of all the rest."""
         w = (1 + np.log(np.maximum(n, 1))) * self.idf[place]
-        return w / max(np.sqrt((w * w).sum()), 1e-12)
+        return w / max(np.sqrt((w * w).sum() + other * self.other_idf**2), 1e-12)
 
-    def cosines(self, places: list[np.ndarray], queries: list[np.ndarray]) -> np.ndarray:
-        """A row per query: its cosine with every example."""
-        often = np.zeros((len(places), len(self.matrix)))
+    def search_all(self, places: list[np.ndarray], queries: list[np.ndarray], without: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The nearest examples (slots) of every query and their cosines, nearest first; ties by id.
+
+        without names the example that each query must not find.
+        """
+        p, found = self.p, []
+        often = np.zeros((len(places), self.matrix.shape[1]))
         for k, (place, query) in enumerate(zip(places, queries, strict=True)):
             row = self.row[place]
             often[k, row[row >= 0]] = query[row >= 0]
-        out = often @ self.matrix
+        product = often.astype(np.float32) @ self.single
+        tops = product.reshape(len(places), self.blocks, p.block).max(2)
         for k, (place, query) in enumerate(zip(places, queries, strict=True)):
             rare = self.row[place] < 0
-            parts = list(zip(self.cuts[place[rare]].tolist(), self.cuts[place[rare] + 1].tolist(), strict=True))
-            if parts:
-                met = np.concatenate([self.examples[i:j] for i, j in parts])
-                share = np.concatenate([self.posted[i:j] for i, j in parts]) * np.repeat(query[rare], self.held[place[rare]])
-                out[k] += np.bincount(met, share, len(self.labels))
-        return out
-
-    def search_all(self, places: list[np.ndarray], queries: list[np.ndarray], without: int = -1) -> list[tuple[np.ndarray, np.ndarray]]:
-        """The nearest examples of every query and their cosines, nearest first; ties by place in the index.
-
-        without is the example the first query is, and the next ones are those after it.
-        """
-        found = []
-        for k, cosine in enumerate(self.cosines(places, queries)):
-            if without >= 0:
-                cosine[without + k] = 0.0
-            size = self.p.nearest
-            least = np.partition(cosine, -size)[-size] - 1e-9 if len(cosine) > size else 0.0
-            ids = np.flatnonzero((cosine > 0) & (cosine >= least))
+            place, query = place[rare], query[rare]
+            size = self.cuts[place + 1] - self.cuts[place]
+            run = np.repeat(self.cuts[place] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            given, block = np.repeat(query, size), self.run_block[run]
+            bound = tops[k] + np.bincount(block, given * self.run_max[run], self.blocks)
+            score = product[k].astype(np.float64)
+            exact = np.zeros(self.blocks, bool)
+
+            def visit(which: np.ndarray, run=run, given=given, block=block, score=score, exact=exact) -> None:
+                exact[which] = True
+                mine = which[block]
+                start = self.run_start[run[mine]]
+                n = self.run_start[run[mine] + 1] - start
+                at = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                score += np.bincount(self.example[at], np.repeat(given[mine], n) * self.posted[at], len(score))
+
+            def least(score=score, exact=exact, k=k) -> float:
+                own = np.where(np.repeat(exact, p.block), score, -1.0)[: len(self.labels)]
+                if without is not None:
+                    own[without[k]] = -1.0
+                return np.partition(own, -p.nearest)[-p.nearest] if len(own) > p.nearest else -1.0
+
+            first = np.zeros(self.blocks, bool)
+            first[np.argsort(-bound, kind="stable")[: p.first]] = True
+            visit(first)
+            rest = ~exact & (bound > 0) & (bound >= least() - 2 * SLACK)
+            visit(rest)
+            self.visited += int(exact.sum())
+            own = np.where(np.repeat(exact, p.block), score, 0.0)[: len(self.labels)]
+            if without is not None:
+                own[without[k]] = 0.0
+            near = np.flatnonzero((own > 0) & (own >= least() - 2 * SLACK))
+            # single precision has served its turn: the common part again, in double
+            cosine = own[near] - product[k, near] + self.matrix[near] @ often[k]
             # sums of another order differ in the last places, and must not decide
-            near = np.round(cosine[ids], 12)
-            best = np.lexsort((ids, -near))[:size]
-            found.append((ids[best], near[best]))
+            cosine = np.round(cosine, 12)
+            best = np.lexsort((self.ids[near], -cosine))[: p.nearest]
+            best = best[cosine[best] > 0]
+            found.append((near[best], cosine[best]))
         return found
 
-    def search(self, place: np.ndarray, query: np.ndarray, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, place: np.ndarray, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """search_all of one query."""
-        return self.search_all([place], [query], without)[0]
+        return self.search_all([place], [query])[0]
 
     def vote(self, near: np.ndarray, cosine: np.ndarray) -> float:
         """The share of label 1 among the neighbours, by closeness and by what an example stands for."""
@@ -235,18 +274,15 @@ class Index:
         base = self.p.weight * float(self.weights.mean()) if len(self.weights) else 1.0
         return float(((closeness * self.labels[near]).sum() + base * self.rate) / (closeness.sum() + base))
 
-    def calibrate(self, places: list, counts: list) -> None:
-        """An isotonic fit of label on vote over the examples, each scored without itself."""
-        votes = []
-        for e in range(0, len(places), self.p.block):
-            own, queries = [], []
-            for place, n in zip(places[e : e + self.p.block], counts[e : e + self.p.block], strict=True):
-                # like a new document, it has no coordinate for terms that no other example has
-                shared = self.held[np.asarray(place, np.int64)] > 1
-                own.append(np.asarray(place, np.int64)[shared])
-                queries.append(self.vector(own[-1], np.asarray(n)[shared]))
-            votes += [self.vote(*x) for x in self.search_all(own, queries, e)]
-        values, which = np.unique(np.array(votes), return_inverse=True)
+    def calibrate(self, places: list, counts: list) -> float:
+        """An isotonic fit of label on vote over the examples, each scored without itself; its mean log loss."""
+        votes = np.empty(len(places))
+        for e in range(0, len(places), 256):
+            own = [np.asarray(x, np.int64) for x in places[e : e + 256]]
+            queries = [self.vector(x, np.asarray(n)) for x, n in zip(own, counts[e : e + 256], strict=True)]
+            slots = self.slot[e : e + len(own)]
+            votes[slots] = [self.vote(*x) for x in self.search_all(own, queries, slots)]
+        values, which = np.unique(votes, return_inverse=True)
         mass = np.bincount(which, self.weights)
         hits = np.bincount(which, self.weights * self.labels)
         pools: list[list[float]] = []
@@ -260,28 +296,15 @@ class Index:
             unit = float(self.weights.mean())
             edges = np.array([(first, last) for first, last, _, _ in pools]).ravel()
             self.steps = (edges, np.repeat([(h + 0.5 * unit * self.rate) / (m + 0.5 * unit) for _, _, h, m in pools], 2))
+        given = np.clip(np.interp(votes, *self.steps), 1e-6, 1 - 1e-6)
+        loss = -np.where(self.labels == 1, np.log(given), np.log(1 - given))
+        return float((loss * self.weights).sum() / max(self.weights.sum(), 1e-12))
 
-    def score(self, places: list[np.ndarray], counts: list[np.ndarray]) -> list[tuple[float, list[int]]]:
+    def score(self, places: list[np.ndarray], counts: list[np.ndarray], other: np.ndarray) -> tuple[list[float], list[list[int]]]:
         """Scores and evidence of some texts."""
-        at, values = self.steps
-        out = []
-        for e in range(0, len(places), self.p.block):
-            own = places[e : e + self.p.block]
-            queries = [self.vector(place, n) for place, n in zip(own, counts[e : e + self.p.block], strict=True)]
-            out += [(float(np.interp(self.vote(*x), at, values)), self.ids[x[0]].tolist()) for x in self.search_all(own, queries)]
-        return out
-
-
-@lru_cache(maxsize=1)
-def _index(packed: bytes) -> Index:
-    """The index of its packed form; a worker keeps the last one."""
-    bounds, planes, n, labels, weights, ids, idf, p, steps = pickle.loads(zlib.decompress(packed))
-    step = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<i4").ravel()
-    place = np.cumsum(step, dtype=np.int32)
-    places, counts = ([x[i:j] for i, j in zip(bounds[:-1], bounds[1:], strict=True)] for x in (place, n))
-    index = Index(places, counts, labels, weights, ids, idf, p)
-    index.steps, index.own = steps, ([], [])
-    return index
+        queries = [self.vector(x, n, o) for x, n, o in zip(places, counts, other, strict=True)]
+        found = self.search_all(places, queries)
+        return [float(np.interp(self.vote(*x), *self.steps)) for x in found], [self.ids[x[0]].tolist() for x in found]
 
 
 def score_toxicity(
@@ -296,45 +319,51 @@ def score_toxicity(
 
     Only labels of rows whose crc32 of the id's text has another remainder than
     held_out are used, and of these a bounded sample; scores depend on the text
-    alone. Text without words, also null and empty, gets the score of no
-    neighbours. Without labels of both classes all scores are the
-    base rate. A label other than 0 and 1, or of no row, is ignored; of
-    contradicting labels 1 holds. Repeated rows count as often as they occur in
-    the document frequencies and get equal scores. No rows give no rows. Other
-    columns are ignored.
+    alone. Text without letters, also null and empty, gets the score of no
+    neighbours. Without labels of both classes all scores are the base rate. A
+    label other than 0 and 1, or of no row, is ignored; of contradicting labels 1
+    holds. Repeated rows count as often as they occur in the document
+    frequencies and get equal scores. No rows give no rows. Other columns are
+    ignored.
+
+    The index, bounded by the sample's rows and bytes, goes to every task.
     """
     p = params or Neighbours()
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    chosen, rates = _sampled(labels, p, label_col)
-    sample = stage(rows.join(chosen, "doc_id"), "toxic-sample")
-    vocabulary, lean = learn_terms(sample, p)
-    vectors = stage(_vectors(rows, vocabulary, p, ["doc_id"]), "toxic-vectors")
+    sample, rates = _sampled(rows, labels, p, label_col)
+    examples = _example_terms(sample, p)
+    listed, counts = ([x.values.to_numpy() for x in examples.column(c)] for c in ("term", "n"))
+    vocabulary = np.unique(np.concatenate([x.view(np.uint64) for x in listed] or [np.empty(0, np.uint64)]))
+    places = [np.searchsorted(vocabulary, x.view(np.uint64)) for x in listed]
+    vectors = stage(_vectors(rows, vocabulary, p), "toxic-vectors")
     size = vectors.count()
     held = vectors.select(F.explode("place").alias("k")).groupBy("k").count().toArrow()
     df = np.zeros(len(vocabulary))
     df[held.column("k").to_numpy()] = held.column("count").to_numpy()
-    idf = (1 + np.log((1 + size) / (1 + df))) * (1 + p.stress * lean)
-    examples = _vectors(sample, vocabulary, p, ["doc_id", "label"]).toArrow().sort_by("doc_id")
-    places, counts = ([x.values.to_numpy() for x in examples.column(c)] for c in ("place", "n"))
     own = examples.column("label").to_numpy().astype(np.float64)
     weights = np.array([1 / rates[int(x)] for x in own])
-    index = Index(places, counts, own, weights, examples.column("doc_id").to_numpy(), idf, p)
-    index.calibrate(places, counts)
-    packed = index.packed()
+    leaning = lean(places, own, len(vocabulary))
+    best, index = np.inf, None
+    for stress in p.stress:  # chosen on the examples alone
+        idf = (1 + np.log((1 + size) / (1 + df))) * (1 + stress * leaning)
+        tried = Index(places, counts, own, weights, examples.column("doc_id").to_numpy(), idf, p, 1 + np.log(1 + size))
+        loss = tried.calibrate(places, counts)
+        if index is None or loss < best:
+            best, index = loss, tried
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = _index(packed)
-        for batch in batches:
-            place, n = ([x.values.to_numpy() for x in batch.column(c)] for c in ("place", "n"))
-            found = index.score(place, n)
-            scores, evidence = [x for x, _ in found], [x for _, x in found]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(pa.int64()))],
-                ["doc_id", "score", "evidence"],
-            )
-
-    scored = vectors.select("doc_id", "place", "n").mapInArrow(run, "doc_id long, score double, evidence array<long>")
+        for whole in batches:
+            for k in range(0, len(whole), 128):
+                batch = whole.slice(k, 128)
+                place, n = ([x.values.to_numpy() for x in batch.column(c)] for c in ("place", "n"))
+                scores, evidence = index.score([x.astype(np.int64) for x in place], n, batch.column("other").to_numpy())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(pa.int64()))],
+                    ["doc_id", "score", "evidence"],
+                )
+
+    scored = vectors.mapInArrow(run, "doc_id long, score double, evidence array<long>")
     return scored.select(
         "doc_id",
         (crc_remainder("doc_id", p.modulus) == p.held_out).alias("held_out"),

@@ -41,27 +41,69 @@ def test_toxicity(spark):
     assert held[held.predicted == 1].evidence.map(len).min() > 0
 
 
-def _index(seed=2, examples=300, terms=40):
+def _index(seed=2, examples=300, terms=40, **params):
     rng = np.random.default_rng(seed)
-    places = [np.sort(rng.choice(terms, rng.integers(1, 9), replace=False)) for _ in range(examples)]
+    # four languages with terms of their own, and some that all share
+    tongue = np.arange(examples) % 4
+    places = [
+        np.unique(np.concatenate([terms * (1 + t) + rng.choice(terms, rng.integers(1, 9)), rng.choice(terms, 2)])) for t in tongue
+    ]
     counts = [rng.integers(1, 5, len(p)) for p in places]
     own = rng.integers(0, 2, examples).astype(float)
-    idf = rng.random(terms) + 0.5
-    index = toxicity.Index(places, counts, own, np.ones(examples), np.arange(examples), idf, toxicity.Neighbours(block=16))
+    idf = rng.random(5 * terms) + 0.5
+    p = toxicity.Neighbours(**{"block": 16, "dense": 0.05} | params)
+    index = toxicity.Index(places, counts, own, np.ones(examples), np.arange(examples), idf, p, 2.0)
     return index, places, counts
 
 
-def test_block_max_search_is_exact():
-    index, places, counts = _index()
+@pytest.mark.parametrize("params", [{}, {"dense": 1.0}, {"dense": 0.0}, {"first": 1, "block": 4}, {"nearest": 500}])
+def test_block_max_search_is_exact(params):
+    index, places, counts = _index(**params)
     dense = np.zeros((len(places), len(index.idf)))
     for e, (p, n) in enumerate(zip(places, counts, strict=True)):
-        dense[e, p] = index.vector(p, n)
+        dense[index.slot[e], p] = index.vector(p, n)
+    index.visited = 0
     for e in range(40):
-        query = index.vector(places[e], counts[e] + 1)
+        query = index.vector(places[e], counts[e] + 1, 3.0)
         near, cosine = index.search(places[e], query)
-        plain = np.sort(dense[:, places[e]] @ query)[::-1][: len(near)]
-        assert np.allclose(cosine, plain)
-        assert np.allclose(dense[near][:, places[e]] @ query, cosine)
+        plain = dense[:, places[e]] @ query
+        order = np.lexsort((index.ids, -np.round(plain, 12)))[: index.p.nearest]
+        order = order[plain[order] > 0]
+        assert near.tolist() == order.tolist() and np.allclose(cosine, plain[order])
+    if not params:
+        # blocks whose bound is too low are not visited
+        assert index.visited < 0.8 * 40 * index.blocks
+
+
+def test_no_example_finds_itself():
+    index, places, counts = _index()
+    queries = [index.vector(p, n) for p, n in zip(places, counts, strict=True)]
+    for e, (near, _) in enumerate(index.search_all(places, queries, index.slot)):
+        assert index.slot[e] not in near
+
+
+def test_toxic_cosines_are_those_of_the_texts(spark):
+    """Evidence of the whole operator against TF-IDF cosines counted word by word."""
+    import math
+    import re
+    from collections import Counter
+
+    rng = np.random.default_rng(8)
+    word = lambda: "".join("bcdfgklm"[int(c)] for c in f"{rng.integers(0, 300):03d}")
+    rows = [(k, " ".join(word() for _ in range(int(rng.integers(3, 40)))).replace("b", "B", 1) + " 12, x!") for k in range(120)]
+    known = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, toxic int")
+    p = toxicity.Neighbours(modulus=1, held_out=1, prefixes=(), stress=(0.0,), nearest=5, block=4)
+    found = {r.doc_id: r.evidence for r in toxicity.score_toxicity(spark.createDataFrame(rows, "doc_id long, text string"), known, p).collect()}
+    counts = {k: Counter(re.findall("[a-z]+", t.lower())) for k, t in rows}
+    df = Counter(w for c in counts.values() for w in c)
+    vocabulary = {w for k in range(60) for w in counts[k]}
+    idf = lambda w: 1 + math.log((1 + len(rows)) / (1 + (df[w] if w in vocabulary else 0)))
+    vector = {k: {w: (1 + math.log(n)) * idf(w) for w, n in c.items()} for k, c in counts.items()}
+    length = {k: math.sqrt(sum(x * x for x in v.values())) for k, v in vector.items()}
+    for k, _ in rows:
+        cosine = {e: sum(x * vector[e].get(w, 0) for w, x in vector[k].items()) / length[k] / length[e] for e in range(60)}
+        order = sorted(cosine, key=lambda e: (-round(cosine[e], 12), e))[:5]
+        assert [e for e in order if cosine[e] > 0] == found[k]
 
 
 def test_rare_toxic_words_tell(spark):
@@ -81,6 +123,14 @@ def test_rare_toxic_words_tell(spark):
     assert sum(r.predicted for r in found.values()) > 90
 
 
+def test_index_is_bounded_in_bytes(spark):
+    docs = spark.createDataFrame([(k, f"word{'abcdefgh'[k % 8]} " * 200) for k in range(400)], "doc_id long, text string")
+    known = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    p = toxicity.Neighbours(modulus=1, held_out=1, index_bytes=100_000)
+    sample, rates = toxicity._sampled(docs, known, p, "toxic")
+    assert 0 < sample.agg(F.sum(F.octet_length("text"))).first()[0] < 150_000 and max(rates.values()) < 0.3
+
+
 def test_calibration_is_monotone():
     index, places, counts = _index()
     index.calibrate(places, counts)
