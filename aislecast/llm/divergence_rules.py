@@ -47,8 +47,8 @@ class Rules:
     languages: int = 100  # references at most, the largest languages
 
 
-def _length_without(text: Column, chars: str) -> Column:
-    return F.length(F.regexp_replace(text, f"[{chars}]+", ""))
+def _without(text: Column, chars: str) -> Column:
+    return F.regexp_replace(text, f"[{chars}]+", "")
 
 
 def _repeated(words: str) -> list[tuple[str, Column]]:
@@ -79,11 +79,15 @@ def _repeated(words: str) -> list[tuple[str, Column]]:
 
 def with_counts(docs: DataFrame, rules: Rules, text_col: str = "text") -> DataFrame:
     """Adds _text, _words, _class (histogram) and the base counts."""
-    text, t = text_of(text_col), F.col("_text")
+    text = text_of(text_col)
     lines = F.filter(F.split("_text", "\n", -1), lambda x: x.rlike(WORD))
     out = docs.withColumn("_text", text).withColumn("_chars", F.length("_text"))
+    # Two passes over the text; the other classes are counted in the little that is left.
+    out = out.withColumn("_solid", _without(F.col("_text"), CLASSES["space"])).withColumn("_few", _without(F.col("_solid"), "a-z"))
+    out = out.withColumn("_space", F.col("_chars") - F.length("_solid"))
     for name, chars in CLASSES.items():
-        out = out.withColumn(f"_{name}", F.col("_chars") - _length_without(t, chars))
+        if name != "space":
+            out = out.withColumn(f"_{name}", F.length("_few") - F.length(_without(F.col("_few"), chars)))
     rest = F.col("_chars") - sum((F.col(f"_{n}") for n in CLASSES), F.lit(0))
     out = (
         out.withColumn("_class", F.array(*(F.col(f"_{n}").cast("long") for n in CLASSES), rest.cast("long")))

@@ -62,6 +62,7 @@ def rules_sql(rules: Rules | None = None) -> str:
         f" + CASE WHEN {q} > 0 THEN {q} * log2(2.0 * {q} / ({p} + {q})) ELSE 0 END)"
     )
     share = lambda k: f"(b.c{k} / greatest(length(b.t), 1)::DOUBLE)"
+    prose = "" if r.max_prose_distance is None else f" OR coalesce(y.d > {r.max_prose_distance}, false)"
     class_terms = " + ".join(term(share(k), f"l.q{k}") for k in range(n + 1))
     return f"""
     WITH rows_ AS (SELECT row_number() OVER () AS id, doc_id, lang, coalesce(text, '') AS t,
@@ -98,12 +99,25 @@ def rules_sql(rules: Rules | None = None) -> str:
       SELECT id, min(d) AS d FROM (
         SELECT id, lang, sqrt(greatest(0, (sum({term("p", "q")}) + 1.0 - sum(q)) / 2)) AS d FROM shared GROUP BY id, lang)
       JOIN found USING (id) WHERE n >= {r.common_words} GROUP BY id),
+    every AS (SELECT lang, sum(n)::DOUBLE AS every FROM ranked GROUP BY lang),
+    tongues AS (
+      SELECT *, sqrt((common + CASE WHEN other > 0 THEN other * log2(2 * other / (1 + other)) ELSE 0 END + log2(2 / (1 + other))) / 2) AS none
+      FROM (SELECT lang, total / every AS common, greatest(0, 1.0 - total / every) AS other FROM spoken JOIN every USING (lang))),
+    spread AS (
+      SELECT id, lang, sum({term("p", "q")}) AS terms, sum(p) AS own, sum(q) AS seen FROM (
+        SELECT s.id, f.lang, s.n / b.n_words::DOUBLE AS p, f.q * t.common AS q
+        FROM seen s JOIN base b USING (id) JOIN refs f USING (word) JOIN tongues t ON t.lang = f.lang) GROUP BY id, lang),
+    prose_far AS (
+      SELECT id, min(sqrt(greatest(0, (terms + (common - seen) + {term("rest", "other")}) / 2)) / none) AS d FROM (
+        SELECT b.id, t.common, t.other, t.none, coalesce(s.terms, 0) AS terms, coalesce(s.seen, 0) AS seen,
+               greatest(0, 1.0 - coalesce(s.own, 0)) AS rest
+        FROM base b CROSS JOIN tongues t LEFT JOIN spread s ON s.id = b.id AND s.lang = t.lang WHERE b.n_words > 0) GROUP BY id),
     class_far AS (SELECT b.id, min(sqrt(greatest(0, ({class_terms}) / 2))) AS d FROM base b, langs l GROUP BY b.id),
     judged AS (
       SELECT b.*, (n_words < {r.min_words} OR 100 * n_repeat_words > {r.max_repeat_percent} * n_words) AS base_failed,
              n_words >= {r.divergence_words} AND (coalesce(c.d > {r.max_class_distance}, false)
-               OR coalesce(x.d > {r.max_word_distance}, false)) AS far
-      FROM base b LEFT JOIN class_far c USING (id) LEFT JOIN word_far x USING (id))
+               OR coalesce(x.d > {r.max_word_distance}, false){prose}) AS far
+      FROM base b LEFT JOIN class_far c USING (id) LEFT JOIN word_far x USING (id) LEFT JOIN prose_far y USING (id))
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
            NOT base_failed AND NOT far AS kept FROM judged"""
 
