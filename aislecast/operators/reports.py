@@ -209,9 +209,10 @@ def inventory_levels(curated: DataFrame, low: float = LOW_STOCK) -> DataFrame:
     )
 
 
-def inventory_heatmap(curated: DataFrame, stores: Sequence[str]) -> DataFrame:
-    """Products down, the named stores across. Naming them saves a job."""
-    return curated.groupBy("sku").pivot("store_id", list(stores)).agg(F.avg("avg_shelf_qty"))
+def inventory_heatmap(curated: DataFrame, stores: Sequence[str] | None = None) -> DataFrame:
+    """Products down, all stores across, or the named ones; naming them saves a job."""
+    across = curated.groupBy("sku").pivot("store_id", None if stores is None else list(stores))
+    return across.agg(F.avg("avg_shelf_qty"))
 
 
 def enrichment_summary(enriched: DataFrame) -> DataFrame:

@@ -216,6 +216,11 @@ CTES["late_daily"] = """
     WHERE sku NOT IN (SELECT sku FROM daily WHERE store_id = 'ASIA' AND date = DATE '1997-02-03'))"""
 CTES |= {f"late_{name}": re.sub(r"\b(daily|grid|merged)\b", r"late_\1", CTES[name]) for name in ("grid", "merged", "curated")}
 
+# The dense table of sales without repeated rows, and without shelf and reviews.
+_ONCE = ("filled", "daily", "grid", "merged", "curated")
+CTES["once_sales_raw"] = "SELECT DISTINCT * FROM sales_raw"
+CTES |= {f"once_{name}": re.sub(r"\b(sales_raw|filled|daily|grid|merged)\b", r"once_\1", CTES[name]) for name in _ONCE}
+
 _NAMES = re.compile(r"\b(" + "|".join(CTES) + r")\b")
 
 

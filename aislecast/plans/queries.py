@@ -607,12 +607,14 @@ def p21(t: Tables) -> DataFrame:
 
 @query(
     "p22_event_day",
-    "SELECT event_id, strftime(ts, '%Y-%m-%d') AS day FROM events",
+    "SELECT event_id, CASE WHEN event_id % 10 = 0 THEN '2030-01-02' WHEN event_id % 10 = 1 THEN 'soon' "
+    "ELSE strftime(ts, '%Y-%m-%d') END AS day FROM events",
 )
 def p22(t: Tables) -> DataFrame:
-    return t.table("events").select(
-        "event_id", dates.event_day(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("day")
-    )
+    """Some events without a time, which means now, and some whose time is no date."""
+    now, key = F.lit("2030-01-02 03:04:05").cast("timestamp"), F.col("event_id") % 10
+    ts = F.when(key == 1, "soon").when(key > 1, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    return t.table("events").select("event_id", dates.event_day(ts, now).alias("day"))
 
 
 @query(
@@ -1610,12 +1612,17 @@ def k5(t: Tables) -> DataFrame:
     )
 
 
+ENRICHED_SQL = f"""SELECT c.date, c.qty_sold, c.revenue, c.avg_shelf_qty, c.sentiment_score,
+  {r('g.graph_co_stock_freq', 6)} AS graph_co_stock_freq, g.graph_substitute_available AS graph_substitute_available
+  FROM curated c JOIN ({graph_sql('neighbours')}) g ON g.store_id = c.store_id AND g.sku = c.sku AND g.date = c.date"""
+
+
 def ks_sql() -> str:
-    columns = ["qty_sold", "revenue", "avg_shelf_qty", "sentiment_score"]
     long = " UNION ALL ".join(
-        f"SELECT '{c}' AS feature, {c}::DOUBLE AS value, date > (SELECT max(date) - 28 FROM curated) AS cur FROM curated"
-        for c in columns
+        f"SELECT '{c}' AS feature, {c}::DOUBLE AS value, date > (SELECT max(date) - 28 FROM curated) AS cur FROM enriched"
+        for c in drift.MONITORED
     )
+    long = f"WITH enriched AS ({ENRICHED_SQL}) {long}"
     return f"""SELECT feature, n_ref AS ref_rows, n_cur AS cur_rows, {r("max(abs(cr / n_ref - cc / n_cur))", 6)} AS statistic
 FROM (SELECT feature, value, sum(ref) OVER w AS cr, sum(cur) OVER w AS cc,
     (sum(ref) OVER (PARTITION BY feature))::BIGINT AS n_ref, (sum(cur) OVER (PARTITION BY feature))::BIGINT AS n_cur
@@ -1623,8 +1630,6 @@ FROM (SELECT feature, value, sum(ref) OVER w AS cr, sum(cur) OVER w AS cc,
   WINDOW w AS (PARTITION BY feature ORDER BY value)) GROUP BY ALL"""
 
 
-DRIFTING = ["qty_sold", "revenue", "avg_shelf_qty", "sentiment_score"]
-
 P_SQL = """CASE WHEN lam < 0.2 THEN 1.0 ELSE least(greatest(2.0 * list_sum(list_transform(range(1, 101),
   lambda k: (CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END) * exp(-2.0 * k * k * lam * lam))), 0.0), 1.0) END"""
 LAMBDA_SQL = f"""SELECT *, (nn + 0.12 + 0.11 / nn) * statistic AS lam FROM (SELECT *,
@@ -1634,9 +1639,9 @@ LAMBDA_SQL = f"""SELECT *, (nn + 0.12 + 0.11 / nn) * statistic AS lam FROM (SELE
 
 @query("f14_ecdf_gap", ks_sql())
 def f14(t: Tables) -> DataFrame:
-    reference, current = features.split_holdout(t.curated)
-    counts = drift.value_counts(reference, current, DRIFTING)
-    return rounded(drift.largest_gap(counts, drift.cut_points(t.curated, DRIFTING)), 6, "statistic")
+    reference, current = features.split_holdout(t.enriched)
+    counts = drift.value_counts(reference, current, drift.MONITORED)
+    return rounded(drift.largest_gap(counts, drift.cut_points(t.enriched, drift.MONITORED)), 6, "statistic")
 
 
 @query(
@@ -1645,7 +1650,7 @@ def f14(t: Tables) -> DataFrame:
     f"FROM ({LAMBDA_SQL})",
 )
 def k6(t: Tables) -> DataFrame:
-    out = drift.drift_report(t.curated).filter(F.col("feature").isin(DRIFTING))
+    out = drift.drift_report(t.enriched)
     return rounded(out.select("feature", "statistic", "p_value", "drifted"), 6, "statistic", "p_value")
 
 
@@ -1656,7 +1661,7 @@ def k6(t: Tables) -> DataFrame:
 FROM (SELECT count(*) AS n, count(*) FILTER ({P_SQL} < 0.05) AS d FROM ({LAMBDA_SQL}))""",
 )
 def k7(t: Tables) -> DataFrame:
-    return drift.drift_summary(drift.drift_report(t.curated, columns=DRIFTING)).drop("description")
+    return drift.drift_summary(drift.drift_report(t.enriched)).drop("description")
 
 
 @query("k8_seasonal_baseline")
@@ -1938,12 +1943,11 @@ def o1b(t: Tables) -> DataFrame:
     return rounded(reports.trend_by(t.curated, "month"), 2, "revenue")
 
 
-@query(
-    "o2_dedupe_sales",
-    "SELECT store_id, sku, count(*) AS rows FROM (SELECT DISTINCT * FROM sales_raw) GROUP BY ALL",
-)
+@query("o2_dedupe_sales", "SELECT store_id, sku, date, qty_sold, revenue, avg_price FROM once_curated")
 def o2(t: Tables) -> DataFrame:
-    return t.sales.dropDuplicates().groupBy(*SERIES).agg(F.count(F.lit(1)).alias("rows"))
+    """Online sales arrive twice; curating drops what is repeated."""
+    twice = t.sales.unionByName(t.sales.filter("channel = 'online'"))
+    return curate.curate(twice, dedupe=True).select(*KEYS, "qty_sold", "revenue", "avg_price")
 
 
 @query(
@@ -2009,7 +2013,8 @@ REGION_NAMES = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
     + " FROM curated GROUP BY sku",
 )
 def o5b(t: Tables) -> DataFrame:
-    return rounded(reports.inventory_heatmap(t.curated, REGION_NAMES), 4, *REGION_NAMES)
+    out = reports.inventory_heatmap(t.curated)
+    return rounded(out, 4, *(c for c in out.columns if c != "sku"))
 
 
 @query(
@@ -2233,16 +2238,20 @@ def s4(t: Tables) -> DataFrame:
 
 @query(
     "s6_replay",
-    "SELECT store_id AS key, count(*) AS pos_sent, count(*) AS iot_sent FROM sales_raw GROUP BY store_id",
+    """SELECT 'pos' AS kind, store_id AS key, store_id, sku, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, coalesce(qty_sold, 0)::INTEGER AS qty_sold,
+  coalesce(price::DOUBLE, 0.0) AS price, coalesce(channel, 'in-store') AS channel, NULL::INTEGER AS shelf_qty, NULL AS sensor_id FROM sales_raw
+UNION ALL SELECT 'iot', store_id, store_id, sku, strftime(ts, '%Y-%m-%d %H:%M:%S'), NULL, NULL, NULL,
+  greatest(0, 25 - coalesce(qty_sold, 0))::INTEGER, 'SNSR_' || store_id || '_' || sku FROM sales_raw""",
 )
 def s6(t: Tables) -> DataFrame:
-    """Both event kinds of every sale, keyed by store."""
-    def sent(events: DataFrame, name: str) -> DataFrame:
-        return writers.keyed_json(events).groupBy("key").agg(F.count("value").alias(name))
+    """Both event kinds of every sale as keyed messages, read back from their JSON."""
 
-    return sent(curate.replay_sales(t.sales), "pos_sent").join(
-        sent(curate.replay_shelf(t.sales), "iot_sent"), "key"
-    )
+    def sent(events: DataFrame, schema, kind: str) -> DataFrame:
+        messages = writers.keyed_json(events)
+        return messages.select(F.lit(kind).alias("kind"), "key", F.from_json("value", schema).alias("e")).select("kind", "key", "e.*")
+
+    pos = sent(curate.replay_sales(t.sales), contracts.POS_EVENT, "pos")
+    return pos.unionByName(sent(curate.replay_shelf(t.sales), contracts.SHELF_EVENT, "iot"), allowMissingColumns=True)
 
 
 @query(

@@ -7,6 +7,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aislecast.functions.numeric import round_even
 from aislecast.functions.text import lexicon_score
 from aislecast.operators import anomalies, baseline, curate, features, forecast, graph, sentiment
 from aislecast.session import stage
@@ -92,6 +93,12 @@ class Tables:
     def neighbours(self) -> DataFrame:
         return stage(graph.neighbours(self.substitutes), "neighbours")
 
+    @cached_property
+    def enriched(self) -> DataFrame:
+        """Curated rows with both graph features; frequencies rounded, as equal shares must stay equal."""
+        out = graph.point_in_time_features(self.curated, self.neighbours)
+        return stage(out.withColumn("graph_co_stock_freq", round_even(F.col("graph_co_stock_freq"), 6)), "enriched")
+
     @property
     def categories(self) -> DataFrame:
         return self.products.select("sku", "category")
