@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
+# What is staged goes on this list, if there is one: (path, table or None).
+_LISTED: ContextVar[list[tuple[str, str | None]] | None] = ContextVar("staged", default=None)
 
 
 def local_session(app: str = "aislecast", cpus: str | int = "*") -> SparkSession:
@@ -47,6 +52,32 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/aislecast/{app}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def listing(made: list[tuple[str, str | None]]) -> Iterator[None]:
+    """Put the stage tables made inside on a list, for :func:`release`."""
+    token = _LISTED.set(made)
+    try:
+        yield
+    finally:
+        _LISTED.reset(token)
+
+
+def _list(path: str, table: str | None = None) -> None:
+    made = _LISTED.get()
+    if made is not None:
+        made.append((path, table))
+
+
+def release(spark: SparkSession, made: list[tuple[str, str | None]]) -> None:
+    """Remove listed stage tables; nothing that reads them may run any more."""
+    while made:
+        path, table = made.pop()
+        if table is not None:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a stage result as a table and go on from the table.
 
@@ -55,6 +86,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = stage_path(spark, name)
+    _list(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -73,6 +105,7 @@ def stage_by(
     database = "aislecast_stage"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{shared_dir(spark)}/{database}'")
     table = f"{database}.{path.rsplit('/', 1)[1].replace('-', '_')}"
+    _list(path, table)
     (
         df.write.format("parquet")
         .option("path", path)
