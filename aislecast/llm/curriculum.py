@@ -192,11 +192,11 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     Rows are taken whole. Rows of equal id and text are one row taken as often
     as all of them are.
     """
-    rows = docs.select(
-        "doc_id", "text", "source", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_print"), F.struct(*docs.columns).alias("_row")
-    )
-    takes = training_order(plan_mix(rows, whole=True, keep=["_print"]), keep=["_print"])
-    takes = takes.select(F.col("doc_id").alias("_id"), F.col("_print").alias("_same"), "position", "epoch")
-    rows = rows.select("doc_id", "_print", "_row").dropDuplicates(["doc_id", "_print"])
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_print") == F.col("_same"))
-    return rows.join(takes, same).orderBy("position", "_id", "epoch").select("_row.*")
+    # One key that is never null serves the repeated rows and the join, so whole
+    # rows move once before they are sorted.
+    key = F.concat_ws("/", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.xxhash64(F.coalesce("text", F.lit(""))).cast("string"))
+    rows = docs.select("doc_id", "text", "source", key.alias("_same"), F.struct(*docs.columns).alias("_row"))
+    takes = training_order(plan_mix(rows, whole=True, keep=["_same"]), keep=["_same"])
+    takes = takes.select("_same", F.col("doc_id").alias("_id"), "position", "epoch")
+    rows = rows.select("_same", "_row").dropDuplicates(["_same"])
+    return rows.join(takes, "_same").orderBy("position", "_id", "epoch").select("_row.*")
