@@ -48,7 +48,7 @@ def daily_sales(sales: DataFrame) -> DataFrame:
 
 
 def daily_sales_filled(
-    sales: DataFrame, chunk: str = "hour", default: float = DEFAULT_PRICE
+    sales: DataFrame, chunk: str | None = None, default: float = DEFAULT_PRICE
 ) -> DataFrame:
     """Drop unsold rows, fill prices and roll up to days in one go.
 

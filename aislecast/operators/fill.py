@@ -1,9 +1,11 @@
 """Price filling by product: last known price, else the next one, else a default.
 
 Raw rows of one product may be a large part of the input, so no window ever
-runs over them. Prices are first reduced to one row per (product, time), those
-to one row per (product, chunk of time), and only the reduced rows are
-ordered: chunk summaries within the product, times within the chunk.
+runs over them. Prices are first reduced to one row per (product, time). These
+are cut into ranges of about equal size by product and time, wherever products
+or hours begin; then it is a scan in segments: the last known price of every
+range, carried over a product's ranges, and the times inside a range. So a
+product with all its times in one hour is as many tasks as any other rows.
 
 The order inside a product is: time, then rows with a price before rows
 without, then the price. A fill therefore depends on (sku, ts) alone.
@@ -15,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aislecast.functions.dates import present
+from aislecast.session import shuffle_partitions, stage
 
 DEFAULT_PRICE = 10.0
 COPY_BATCH = 1_000_000
@@ -25,7 +28,7 @@ def _known(value: str, by: str, pick) -> Column:
 
 
 def missing_price_fills(
-    sales: DataFrame, chunk: str = "hour", default: float = DEFAULT_PRICE
+    sales: DataFrame, chunk: str | None = None, default: float = DEFAULT_PRICE
 ) -> DataFrame:
     """(sku, ts, fill_price) for each time at which a product misses a price."""
     reduced = sales.groupBy("sku", "ts").agg(
@@ -36,23 +39,25 @@ def missing_price_fills(
     return fills_of_times(reduced, chunk, default)
 
 
-def fills_of_times(reduced: DataFrame, chunk: str = "hour", default: float = DEFAULT_PRICE) -> DataFrame:
+def _ranges(reduced: DataFrame, chunk: str | None) -> DataFrame:
+    """One row per product and time, with the range it lies in: of rows, or of a named length of time."""
+    times = present(reduced, "sku", "ts").groupBy("sku", "ts").agg(
+        F.min("_low").alias("_low"),
+        F.max("_high").alias("_high"),
+        F.max("_missing").alias("_missing"),
+    )
+    if chunk is not None:
+        return times.withColumn("_chunk", F.date_trunc(chunk, "ts").cast("timestamp_ntz"))
+    parts = shuffle_partitions(reduced.sparkSession)
+    ranged = times.repartitionByRange(parts, "sku", "ts").withColumn("_chunk", F.spark_partition_id())
+    # Written, as it is used twice and ranges must be the same both times.
+    return stage(ranged, "price-times")
+
+
+def fills_of_times(reduced: DataFrame, chunk: str | None = None, default: float = DEFAULT_PRICE) -> DataFrame:
     """The same from rows that hold the lowest and highest price of a product and time."""
     price_type = reduced.schema["_low"].dataType
-    # Both uses of the reduced times look alike to the optimizer, keys being
-    # present in either, so it computes them once.
-    times = (
-        present(
-            reduced.withColumn("_chunk", F.date_trunc(chunk, "ts").cast("timestamp_ntz")),
-            "sku", "ts", "_chunk",
-        )
-        .groupBy("sku", "_chunk", "ts")
-        .agg(
-            F.min("_low").alias("_low"),
-            F.max("_high").alias("_high"),
-            F.max("_missing").alias("_missing"),
-        )
-    )
+    times = _ranges(reduced, chunk)
     chunks = times.groupBy("sku", "_chunk").agg(
         _known("_low", "ts", F.min_by).alias("_first"),
         _known("_high", "ts", F.max_by).alias("_last"),
@@ -82,7 +87,7 @@ def fills_of_times(reduced: DataFrame, chunk: str = "hour", default: float = DEF
 
 
 def fill_prices(
-    sales: DataFrame, chunk: str = "hour", default: float = DEFAULT_PRICE, salts: int = 32
+    sales: DataFrame, chunk: str | None = None, default: float = DEFAULT_PRICE, salts: int = 32
 ) -> DataFrame:
     """Sales rows with every price present.
 

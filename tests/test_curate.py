@@ -11,7 +11,7 @@ KEYS = ["store_id", "sku", "date"]
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-@pytest.mark.parametrize("chunk", ["hour", "day", "month"])
+@pytest.mark.parametrize("chunk", [None, "hour", "month"])
 def test_prices_fill_as_a_sorted_scan_would(spark, seed, chunk):
     sales = frames.random_sales(seed)
     df = frames.to_spark(spark, sales, frames.SALES_DDL)
@@ -133,7 +133,22 @@ def test_rows_without_keys_are_kept_by_the_fill_and_left_out_of_days(spark):
 
 def test_fill_reads_the_reduced_times_once(spark, tmp_path):
     frames.to_spark(spark, frames.random_sales(1), frames.SALES_DDL).write.parquet(str(tmp_path / "s"))
-    df = fill.missing_price_fills(curate.by_day(spark.read.parquet(str(tmp_path / "s"))))
+    sales = curate.by_day(spark.read.parquet(str(tmp_path / "s")))
+    df = fill.missing_price_fills(sales, "hour")
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert plan.count("FileScan") == 1 and "IsNotNull(sku)" in plan
+    # in ranges of rows they are a written table, and the sales are not read again
+    plan = fill.missing_price_fills(sales)._jdf.queryExecution().optimizedPlan().toString()
+    assert "qty_sold" not in plan and "_chunk" in plan
+
+
+def test_one_product_in_one_hour_fills_in_several_tasks(spark):
+    ts = F.timestamp_millis(F.lit(1_700_000_000_000) + F.col("id") * 100).cast("timestamp_ntz")
+    price = F.when(F.col("id") % 500 == 0, (F.col("id") / 500).cast("decimal(18,2)"))
+    sales = spark.range(30_000).select(F.lit("S").alias("store_id"), F.lit("K").alias("sku"), ts.alias("ts"), F.col("id").cast("int").alias("qty_sold"), price.alias("price"), F.lit("online").alias("channel"))
+    times = fill._ranges(sales.groupBy("sku", "ts").agg(F.min("price").alias("_low"), F.max("price").alias("_high"), F.max(F.col("price").isNull()).alias("_missing")), None)
+    sizes = [r["count"] for r in times.groupBy("_chunk").count().collect()]
+    assert len(sizes) > 1 and max(sizes) < 0.6 * sum(sizes)
+    got = fill.fill_prices(sales, salts=3).agg(F.count_if(F.col("price") != F.floor(F.col("qty_sold") / 500)).alias("bad"), F.count(F.lit(1)).alias("n")).first()
+    assert got["bad"] == 0 and got["n"] == 30_000
