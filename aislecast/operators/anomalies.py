@@ -61,7 +61,7 @@ def classify(
         (F.lit(5.0) - shelf) / 5.0 + F.greatest(F.lit(0.0), mean / 5.0),
         "10:00:00",
         F.format_string(
-            "Only %s units left on the shelf against an expected demand of %.1f. Restock.", shelf, mean
+            "Only %s units left on the shelf against an expected demand of %.1f. Restock.", shelf, round_even(mean, 1)
         ),
     )
     spike = verdict(
@@ -69,7 +69,9 @@ def classify(
         F.when(z >= severe_z, "high").otherwise("medium"),
         z,
         "14:30:00",
-        F.format_string("%s units sold, z-score %.2f over a rolling mean of %.1f.", qty, z, mean),
+        F.format_string(
+            "%s units sold, z-score %.2f over a rolling mean of %.1f.", qty, round_even(z, 2), round_even(mean, 1)
+        ),
     )
     mismatch = verdict(
         "sensor_mismatch",

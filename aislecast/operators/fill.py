@@ -41,13 +41,14 @@ def missing_price_fills(
 
 def _ranges(reduced: DataFrame, chunk: str | None) -> DataFrame:
     """One row per product and time, with the range it lies in: of rows, or of a named length of time."""
-    times = present(reduced, "sku", "ts").groupBy("sku", "ts").agg(
-        F.min("_low").alias("_low"),
-        F.max("_high").alias("_high"),
-        F.max("_missing").alias("_missing"),
-    )
+    lowest = [F.min("_low").alias("_low"), F.max("_high").alias("_high"), F.max("_missing").alias("_missing")]
     if chunk is not None:
-        return times.withColumn("_chunk", F.date_trunc(chunk, "ts").cast("timestamp_ntz"))
+        # Both uses of the times look alike to the optimizer, keys being present
+        # in either, so it computes them once.
+        begin = F.date_trunc(chunk, "ts").cast("timestamp_ntz")
+        named = present(reduced.withColumn("_chunk", begin), "sku", "ts", "_chunk")
+        return named.groupBy("sku", "_chunk", "ts").agg(*lowest)
+    times = present(reduced, "sku", "ts").groupBy("sku", "ts").agg(*lowest)
     parts = shuffle_partitions(reduced.sparkSession)
     ranged = times.repartitionByRange(parts, "sku", "ts").withColumn("_chunk", F.spark_partition_id())
     # Written, as it is used twice and ranges must be the same both times.

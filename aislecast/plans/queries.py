@@ -1429,7 +1429,16 @@ def i7(t: Tables) -> DataFrame:
     )
 
 
-@query("i8_descriptions")
+@query(
+    "i8_descriptions",
+    f"""SELECT a.id, CASE a.anomaly_type
+  WHEN 'stockout_risk' THEN 'Only ' || a.shelf_qty::DOUBLE || ' units left on the shelf against an expected demand of '
+    || printf('%.1f', {r('d.rolling_mean', 1)}) || '. Restock.'
+  WHEN 'demand_spike' THEN a.qty_sold || ' units sold, z-score ' || printf('%.2f', {r('d.z_score', 2)})
+    || ' over a rolling mean of ' || printf('%.1f', {r('d.rolling_mean', 1)}) || '.'
+  ELSE 'Shelf reading stays at ' || a.shelf_qty::DOUBLE || ' although ' || a.qty_sold || ' units sold. Check the sensor.' END AS description
+FROM anomalies a JOIN demand d ON d.store_id = a.store_id AND d.sku = a.sku AND d.date = a.date""",
+)
 def i8(t: Tables) -> DataFrame:
     return t.anomalies.select("id", "description")
 
