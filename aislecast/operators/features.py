@@ -102,10 +102,16 @@ def with_rolling(df: DataFrame, windows: Sequence[int] = WINDOWS) -> DataFrame:
 
 
 def with_codes(df: DataFrame) -> DataFrame:
-    """Store and product as their rank among the sorted distinct values."""
-    return df.join(dense_index(df, "store_id", "store_encoded"), "store_id").join(
-        dense_index(df, "sku", "sku_encoded"), "sku"
+    """Store and product as their rank among the sorted distinct values.
+
+    The codes meet on the list of series, and dense rows are joined with that
+    alone: by the keys they are stored by, not by one hot store or product.
+    """
+    series = df.select(*SERIES).distinct()
+    codes = series.join(dense_index(series, "store_id", "store_encoded"), "store_id").join(
+        dense_index(series, "sku", "sku_encoded"), "sku"
     )
+    return df.join(codes, SERIES)
 
 
 def build_features(curated: DataFrame) -> DataFrame:
