@@ -277,11 +277,14 @@ def write_training_order(
             rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
             held.clear()
             slot = rows.column("slot").to_numpy()
-            data = b"".join(rows.column("data").to_pylist())
-            one = lambda c, t: pa.array([rows.column(c).to_pylist()], pa.list_(t))
+            data = rows.column("data")
+            first, last = np.frombuffer(data.buffers()[1], np.int32)[[data.offset, data.offset + len(data)]]
+            whole = data.buffers()[2].slice(int(first), int(last - first))
+            data = pa.BinaryArray.from_buffers(pa.binary(), 1, [None, pa.py_buffer(np.array([0, whole.size], np.int32)), whole])
+            one = lambda c: pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows.column(c))
             numbers = (int(slot[0] // p.shard), int(slot[0]), len(slot), p.stride)
             return pa.RecordBatch.from_arrays(
-                [*(pa.array([x], pa.int64()) for x in numbers), pa.array([data], pa.binary()), one("docs", pa.list_(pa.int64())), one("real", pa.int32())],
+                [*(pa.array([x], pa.int64()) for x in numbers), data, one("docs"), one("real")],
                 ["shard", "first_slot", "n", "stride", "data", "docs", "real"],
             )
 
@@ -298,8 +301,10 @@ def write_training_order(
 
     rows = packed.join(firsts, "block").select("first", "n", "data", "docs", "real")
     spread = rows.mapInArrow(place, "shard long, slot long, data binary, docs array<long>, real int")
+    # Slots are dense, so ranges of shards are known: nothing is sampled, and no row is placed twice.
+    shards, parts = -(-total // p.shard) or 1, shuffle_partitions(spark)
     (
-        spread.repartitionByRange(shuffle_partitions(spark), "shard")
+        spread.repartitionById(parts, F.expr(f"cast(shard * {parts} div {shards} as int)"))
         .sortWithinPartitions("slot")
         .mapInArrow(join, "shard long, first_slot long, n long, stride long, data binary, docs array<array<long>>, real array<int>")
         .write.option("compression", "zstd")
