@@ -27,9 +27,14 @@ def test_sql_twin_awkward(spark, tmp_path, name):
     """The twins also agree on nulls, empty texts, ties and repeated rows."""
     import duckdb
 
-    awkward(spark).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    nan, inf = float("nan"), float("inf")
+    odd = [None, [1.0, None], [nan, 1.0], [inf, 1.0], [0.0, 0.0], [-1.0, 0.5]]
+    vectors = [(k, odd[k % 13] if k % 13 < len(odd) else [1.0, (k % 7) / 8], None if k % 11 == 3 else k % 4) for k in range(0, 1000, 5)]
+    tables = {"documents": awkward(spark), "embeddings": spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int")}
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    for table, df in tables.items():
+        df.coalesce(1).write.parquet(str(tmp_path / f"{table}.parquet"))
+        con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{tmp_path}/{table}.parquet/*.parquet'")
     assert difference(QUERIES[name](spark, str(tmp_path)), con, SQL[name]) is None
 
 
