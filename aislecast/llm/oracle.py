@@ -137,3 +137,17 @@ FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 80 * positive_score
 WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id)
 QUALIFY row_number() OVER w <= 5
 """
+
+SQL["op11_ngram_join"] = r"""
+WITH RECURSIVE rows_ AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (SELECT DISTINCT k, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s FROM rows_),
+sizes AS (SELECT k, count(*) AS n FROM shingles GROUP BY k),
+shared AS (SELECT a.k AS x, b.k AS y, count(*) AS m FROM shingles a JOIN shingles b ON a.s = b.s AND a.k <> b.k GROUP BY ALL),
+links AS (SELECT x, y FROM shared JOIN sizes a ON a.k = x JOIN sizes b ON b.k = y WHERE 100 * m >= 85 * (a.n + b.n - m)),
+reached AS (SELECT k AS a, k AS c FROM rows_ UNION SELECT a, y FROM reached JOIN links ON c = x)
+SELECT r.doc_id, coalesce(any_value(s.n), 0)::BIGINT AS n_shingles, min(o.doc_id) AS component_id,
+  (SELECT count(*) FROM links WHERE x = r.k) AS n_links
+FROM rows_ r LEFT JOIN sizes s ON s.k = r.k JOIN reached ON a = r.k JOIN rows_ o ON o.k = c GROUP BY r.k, r.doc_id
+"""
