@@ -77,6 +77,47 @@ def test_crowded_nodes(spark):
     assert _components(found) == set(brute.components(rows, 3, 85).items())
 
 
+def _crowd(n, seed, versions=1):
+    """n texts, each a base text with one to twelve words changed; with versions, bases are changed in ten words."""
+    r = random.Random(seed)
+    base = [f"w{k}" for k in range(150)]
+    bases = [base]
+    for v in range(1, versions):
+        other = list(base)
+        for k in range(v, 150, 15):
+            other[k] = f"v{v}_{k}"
+        bases.append(other)
+    out = []
+    for k in range(n):
+        changed = list(bases[k % versions])
+        for place in r.sample(range(150), r.randint(1, 12)):
+            changed[place] = f"c{r.randint(0, 60)}"
+        if k % 7 == 0:
+            del changed[r.randrange(140) :][:4]
+        out.append((k, " ".join(changed)))
+    return out
+
+
+@pytest.mark.parametrize("versions", [1, 3])
+def test_crowd_pairs_grow_with_the_crowd(spark, monkeypatch, versions):
+    """A crowd of texts alike but mostly not linked: right components from a bounded number of pairs a text."""
+    made = []
+    real = chosen_path.stage
+
+    def counted(df, name):
+        out = real(df, name)
+        if name == "cp-pairs":
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(chosen_path, "stage", counted)
+    rows = _crowd(600, versions, versions)
+    params = chosen_path.ChosenPath(shingle=3, percent=85)
+    found = chosen_path.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), params).collect()
+    assert _components(found) == set(brute.components(rows, 3, 85).items())
+    assert sum(made) < 20 * len(rows)
+
+
 @pytest.mark.parametrize(
     "run",
     [
