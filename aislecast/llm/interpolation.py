@@ -15,7 +15,7 @@ get the counts back.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -224,32 +224,97 @@ def _estimates(p: Interpolation, counts: Table, g: Grams, total: int, rest: bool
     return shares, places
 
 
+def first_weights(p: Interpolation) -> np.ndarray:
+    weights = np.full((p.order, p.buckets), 0.5)
+    weights[:, 0] = 0.0
+    return weights
+
+
+def expected(p: Interpolation, weights: np.ndarray, cells: np.ndarray, n: np.ndarray, uniform: float) -> np.ndarray:
+    """Expected tokens by order and bucket: those an order's own estimate explains, and all that come down to it.
+
+    These add up over parts of the cells.
+    """
+    places = cells[:, 0::2].astype(np.int64)
+    shares = cells[:, 1::2]
+    below = np.full(len(n), uniform)
+    parts = []
+    for k in range(p.order):
+        w = weights[k, places[:, k]]
+        parts.append((w * shares[:, k], (1 - w) * below))
+        below = parts[-1][0] + parts[-1][1]
+    out = np.zeros((2, p.order, p.buckets))
+    reach = n.astype(np.float64)  # expected tokens that come down to this order
+    for k in reversed(range(p.order)):
+        taken, left = parts[k]
+        share = taken / np.maximum(taken + left, 1e-300)
+        out[0, k] = np.bincount(places[:, k], reach * share, p.buckets)
+        out[1, k] = np.bincount(places[:, k], reach, p.buckets)
+        reach = reach * (1 - share)
+    return out
+
+
+def next_weights(weights: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    num, den = sums
+    out = np.where(den > 0, num / np.maximum(den, 1e-300), weights)
+    out[:, 0] = 0.0
+    return out
+
+
 def learn_weights(p: Interpolation, cells: np.ndarray, n: np.ndarray, uniform: float) -> np.ndarray:
     """Weights (order, bucket) by expectation-maximisation.
 
     cells holds, per order, a bucket and a probability; n is how many tokens a
     cell stands for. The likelihood of the held-out tokens grows every round.
     """
-    places = cells[:, 0::2].astype(np.int64)
-    shares = cells[:, 1::2]
-    weights = np.full((p.order, p.buckets), 0.5)
-    weights[:, 0] = 0.0
+    weights = first_weights(p)
     for _ in range(p.rounds):
-        below = np.full(len(n), uniform)
-        parts = []
-        for k in range(p.order):
-            w = weights[k, places[:, k]]
-            parts.append((w * shares[:, k], (1 - w) * below))
-            below = parts[-1][0] + parts[-1][1]
-        reach = n.astype(np.float64)  # expected tokens that come down to this order
-        for k in reversed(range(p.order)):
-            taken, left = parts[k]
-            share = taken / np.maximum(taken + left, 1e-300)
-            num = np.bincount(places[:, k], reach * share, p.buckets)
-            den = np.bincount(places[:, k], reach, p.buckets)
-            weights[k] = np.where(den > 0, num / np.maximum(den, 1e-300), weights[k])
-            reach = reach * (1 - share)
-        weights[:, 0] = 0.0
+        weights = next_weights(weights, expected(p, weights, cells, n, uniform))
+    return np.clip(weights, 0.0, 1.0 - 1e-6)
+
+
+def _pack_cells(columns: list[str]):
+    """Cells as arrays, a row for each batch: buckets and steps in turn, and how many tokens each stands for."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells = np.stack([batch.column(c).to_numpy() for c in columns], axis=1).astype(np.int32)
+            n = batch.column("n").to_numpy().astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (cells, n)], ["cells", "n"])
+
+    return run
+
+
+def learn_weights_of(p: Interpolation, cells: DataFrame, columns: list[str], uniform: float) -> np.ndarray:
+    """The same of a table of cells, in the columns and n, with probabilities as steps of 1 / grain.
+
+    The distinct cells grow with the corpus, so they stay in a stage table: tasks
+    read it once a round, and the driver sees a sum of each task, which has as
+    many numbers as there are weights.
+    """
+    packed = stage(cells.mapInArrow(_pack_cells(columns), "cells binary, n binary"), "lm-cells")
+
+    def summed(weights: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = None
+            for batch in batches:
+                for row, n in zip(batch.column("cells"), batch.column("n"), strict=True):
+                    values = np.frombuffer(row.as_buffer(), np.int32).reshape(-1, len(columns)).astype(np.float64)
+                    steps = values[:, 1::2]
+                    values[:, 1::2] = np.where(steps >= 0, 2.0 ** (-steps / p.grain), 0.0)
+                    own = expected(p, weights, values, np.frombuffer(n.as_buffer(), np.int64), uniform)
+                    sums = own if sums is None else sums + own
+            if sums is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], ["sums"])
+
+        return run
+
+    weights = first_weights(p)
+    for _ in range(p.rounds):
+        parts = [np.frombuffer(r["sums"]) for r in packed.mapInArrow(summed(weights), "sums binary").collect()]
+        if not parts:
+            break
+        weights = next_weights(weights, np.sum(parts, axis=0).reshape(2, *weights.shape))
     return np.clip(weights, 0.0, 1.0 - 1e-6)
 
 
@@ -311,16 +376,8 @@ def lm_scores(docs: DataFrame, params: Interpolation | None = None, id_col: str
         per_block(blocks, gather, ", ".join(f"{c} long" for c in [*columns, "n"]), answers)
         .groupBy(*columns)
         .agg(F.sum("n").alias("n"))
-        .toPandas()
     )
-    if len(cells):
-        values = cells[columns].to_numpy(dtype=np.float64)
-        steps = values[:, 1::2]
-        values[:, 1::2] = np.where(steps >= 0, 2.0 ** (-steps / p.grain), 0.0)
-        weights = learn_weights(p, values, cells["n"].to_numpy(dtype=np.float64), 1 / (distinct_rest + 1))
-    else:
-        weights = np.full((p.order, p.buckets), 0.5)
-        weights[:, 0] = 0.0
+    weights = learn_weights_of(p, cells, columns, 1 / (distinct_rest + 1))
 
     def score(_: int, block: Block, answers: dict[int, bytes]) -> Iterator[pa.RecordBatch]:
         fold = remainders(block.ids, p.modulus) == p.held_out

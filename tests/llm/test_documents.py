@@ -319,6 +319,40 @@ def test_weights_raise_the_likelihood():
     assert values == sorted(values)
 
 
+def test_weights_of_a_table_are_those_of_its_cells(spark):
+    rng = np.random.default_rng(2)
+    p = interpolation.Interpolation(order=3, rounds=7)
+    columns = ["b0", "q0", "b1", "q1", "b2", "q2"]
+    rows = np.stack([c for _ in range(3) for c in (rng.integers(0, p.buckets, 3000), rng.integers(-1, 60, 3000))], axis=1)
+    n = rng.integers(1, 9, 3000)
+    table = spark.createDataFrame([(*map(int, r), int(k)) for r, k in zip(rows, n, strict=True)], [*columns, "n"]).repartition(5)
+    values = rows.astype(float)
+    values[:, 1::2] = np.where(rows[:, 1::2] >= 0, 2.0 ** (-rows[:, 1::2] / p.grain), 0.0)
+    found = interpolation.learn_weights_of(p, table, columns, 0.01)
+    assert np.allclose(found, interpolation.learn_weights(p, values, n.astype(float), 0.01), rtol=1e-9)
+    nothing = interpolation.learn_weights_of(p, table.filter("n < 0"), columns, 0.01)
+    assert (nothing[:, 1:] == 0.5).all() and not nothing[:, 0].any()
+
+
+def test_lm_cells_stay_off_the_driver(spark, sf_dir, monkeypatch):
+    """A row of sums of each task is all that comes to the driver."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    kind, seen = type(docs), []
+
+    def counted(f):
+        def run(self, *args, **more):
+            out = f(self, *args, **more)
+            seen.append(len(out))
+            return out
+
+        return run
+
+    for name in ("collect", "toPandas", "toArrow"):
+        monkeypatch.setattr(kind, name, counted(getattr(kind, name)))
+    interpolation.lm_scores(docs, interpolation.Interpolation(order=3, rounds=3))
+    assert max(seen) <= 64  # of thousands of cells
+
+
 def test_rules_distances(spark, sf_dir):
     """Prose is near its language; symbols and word lists are not."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
