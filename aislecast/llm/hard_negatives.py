@@ -18,12 +18,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aislecast.llm.blocks import bounded_batches
-from aislecast.llm.common import shuffle_partitions
 from aislecast.llm.multi_index import codebook, nearest_code
 from aislecast.session import stage
 
@@ -208,11 +206,10 @@ SIDE = "ids binary, labels binary, x binary"
 
 def _blocks(rows: DataFrame, size: int, limit: int, scale: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
-        for k, made in enumerate(_packed(batches, size, limit, scale)):
-            yield pa.RecordBatch.from_arrays([pa.array([number + k], pa.int64()), *(pa.array([b], pa.binary()) for b in made)], ["block", "ids", "labels", "x"])
+        for made in _packed(batches, size, limit, scale):
+            yield pa.RecordBatch.from_arrays([pa.array([b], pa.binary()) for b in made], ["ids", "labels", "x"])
 
-    return stage(rows.select("vec_id", "label", "v").mapInArrow(run, f"block long, {SIDE}"), "negative-blocks")
+    return stage(rows.select("vec_id", "label", "v").mapInArrow(run, SIDE), "negative-blocks")
 
 
 def _packs(anchors: DataFrame, centres: np.ndarray, p: HardNegatives, limit: int) -> DataFrame:
@@ -248,8 +245,8 @@ def _packs(anchors: DataFrame, centres: np.ndarray, p: HardNegatives, limit: int
     )
 
 
-def _meet(packs: DataFrame, blocks: DataFrame, lanes: int, work: Callable[[dict], list[np.ndarray]], names: list[str]) -> DataFrame:
-    """Every pack at every block. Blocks are dealt into lanes once; packs go to every lane."""
+def _meet(packs: DataFrame, blocks: DataFrame, work: Callable[[dict], list[np.ndarray]], names: list[str]) -> DataFrame:
+    """Every pack at every block. A task reads a part of both tables: nothing is copied, shuffled or broadcast."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -258,9 +255,8 @@ def _meet(packs: DataFrame, blocks: DataFrame, lanes: int, work: Callable[[dict]
                 if len(row["aids"].as_buffer()):
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in work(row)], names)
 
-    held = blocks.withColumn("lane", F.pmod(F.xxhash64("block"), F.lit(lanes)).cast("int"))
-    sent = packs.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
-    return held.join(sent, "lane").drop("lane", "block").mapInArrow(run, ", ".join(f"{c} long" for c in names))
+    met = blocks.join(packs.hint("shuffle_replicate_nl"))
+    return met.mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
 def _first(found: DataFrame, by: list[str], score: str, of: str, n: int) -> DataFrame:
@@ -315,7 +311,6 @@ def mine(
     centres = codebook(sample / np.where(norm > 0, norm, 1), int(min(p.clusters, max(1, n // 128))), 8)
 
     blocks = _blocks(rows, max(64, p.block_values // d), limit, p.scale)
-    lanes = max(1, min(blocks.count(), 4 * shuffle_partitions(spark)))
     none = F.lit(None).cast("array<long>")
 
     def side(row: dict) -> tuple[Side, Side, np.ndarray]:
@@ -327,7 +322,7 @@ def mine(
         return [a.ids[slot], ids, s]
 
     packs = stage(_packs(asked.select("*", none.alias("pos_ids"), none.alias("pos_scores")), centres, p, limit), "negative-packs")
-    found = _meet(packs, blocks, lanes, positives, ["anchor_id", "positive_id", "positive_score"])
+    found = _meet(packs, blocks, positives, ["anchor_id", "positive_id", "positive_score"])
     near = (
         _first(found, ["anchor_id"], "positive_score", "positive_id", p.positives)
         .groupBy("anchor_id")
@@ -342,7 +337,7 @@ def mine(
         return [a.ids[slot // p.positives], ids.ravel()[slot], found_, given.ravel()[slot], s]
 
     second = stage(_packs(asked.join(near, "vec_id"), centres, p, limit), "negative-packs")
-    found = _meet(second, blocks, lanes, negatives, ["anchor_id", "positive_id", "negative_id", "positive_score", "negative_score"])
+    found = _meet(second, blocks, negatives, ["anchor_id", "positive_id", "negative_id", "positive_score", "negative_score"])
     return _first(found, ["anchor_id", "positive_id"], "negative_score", "negative_id", p.negatives).select(
         "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"
     )

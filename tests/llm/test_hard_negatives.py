@@ -118,3 +118,10 @@ def test_no_bound_is_below_a_score():
 def test_large_components_stay_exact():
     u = np.array([[30_000_000, 1], [3, -30_000_000]], np.int32)
     assert H.scores(u, u).tolist() == [[int(a) for a in row] for row in (u.astype(object) @ u.T.astype(object))]
+
+
+def test_packs_are_neither_broadcast_nor_copied(spark):
+    """However small their table: a copy for every block would be a broadcast by the product of both."""
+    frame = spark.createDataFrame([(*r, *("clash",) * 4) for r in vectors(300, 6, 3)], SCHEMA)
+    plan = H.mine(frame, F.col("vec_id") % 20 == 0, H.HardNegatives(block_values=64))._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Broadcast" not in plan and "Generate" not in plan
