@@ -105,10 +105,12 @@ def substitutes(
     The tolerance is relative to the product with the smaller id. Prices are
     cut into bands one upper tolerance wide on a log scale, so partners can
     only lie in the same band or in a few next to it, and the join compares
-    those instead of every pair of the category. A band with many products is
-    dealt into parts of about ``crowd``: each product has one part, and goes
-    looking in all parts of the bands in its reach. So a category that holds all
-    products, at one price even, is many tasks.
+    those instead of every pair of the category. The products of a band are
+    dealt in id order into parts of ``crowd``: each product has one part, and
+    is looked for by the parts of the bands in reach that begin before it. So a
+    category that holds all products, at one price even, is many tasks, and no
+    pair is met from its other end. Nodes are few next to their pairs, so they
+    are always shuffled: with a broadcast, a task would be a file of nodes.
     """
     width = math.log1p(tolerance)
     lowest = math.floor(math.log1p(-tolerance) / width) if tolerance < 1 else None
@@ -116,23 +118,25 @@ def substitutes(
         raise ValueError("the tolerance must be below 1")
     price = F.col("avg_price")
     band = F.when(price > 0, F.floor(F.log(F.when(price > 0, price)) / width))
-    nodes = product_nodes.filter(price >= 0).select(
+    known = F.col("sku").isNotNull() & F.col("category").isNotNull()
+    nodes = product_nodes.filter((price >= 0) & known).select(
         "sku", "category", price, F.coalesce(band, F.lit(-(10**6))).alias("_band")
     )
-    parts = nodes.groupBy("category", "_band").agg(F.ceil(F.count(F.lit(1)) / crowd).cast("int").alias("_parts"))
     cell = ["category", "_band"]
+    place = F.row_number().over(Window.partitionBy(*cell).orderBy("sku")) - 1
     first = nodes.select(
-        F.col("sku").alias("src"),
-        "category",
-        F.col("avg_price").alias("_p1"),
-        F.explode(F.sequence(F.col("_band") + lowest - 1, F.col("_band") + 2)).alias("_band"),
-    ).join(parts, cell)
-    first = first.withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
-    own = F.pmod(F.xxhash64("sku"), F.col("_parts")).cast("int").alias("_part")
-    second = nodes.join(parts, cell).select(F.col("sku").alias("dst"), *cell, price.alias("_p2"), own)
+        F.col("sku").alias("src"), *cell, price.alias("_p1"), F.floor(place / crowd).cast("int").alias("_part")
+    )
+    parts = first.groupBy(*cell, "_part").agg(F.min("src").alias("_least"))
+    second = nodes.select(
+        F.col("sku").alias("dst"),
+        F.col("category"),
+        price.alias("_p2"),
+        F.explode(F.sequence(F.col("_band") - 2, F.col("_band") + (1 - lowest))).alias("_band"),
+    ).join(parts, cell).filter(F.col("_least") < F.col("dst")).drop("_least")
     gap = F.abs(F.col("_p1") - F.col("_p2"))
     return (
-        first.join(second, [*cell, "_part"])
+        second.join(first.hint("merge"), [*cell, "_part"])
         .filter((F.col("src") < F.col("dst")) & (gap <= F.lit(tolerance) * F.col("_p1")))
         .select(
             "src", "dst", "category",
